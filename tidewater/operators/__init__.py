@@ -1,7 +1,7 @@
 """Relational operators that Spark has no single call for."""
 
 from .changes import append_feed, keep_inserts, newest_changes, pending_count, table_changes
-from .dedup import latest_per_key, version_rank
+from .dedup import latest_per_key
 from .masking import MASKS, mask_email, mask_phone, mask_ssn, masked
 from .merge import deactivate_stale, delete_where, upsert
 from .quantiles import exact_quantiles
@@ -14,7 +14,6 @@ __all__ = [
     "pending_count",
     "table_changes",
     "latest_per_key",
-    "version_rank",
     "MASKS",
     "mask_email",
     "mask_phone",

@@ -80,9 +80,17 @@ def keep_inserts(feed: DataFrame) -> DataFrame:
     return feed.filter(F.col(ACTION).isin(INSERT, "UPDATE"))
 
 
-def newest_changes(feed: DataFrame, stamp: str = "created_at") -> DataFrame:
-    """Inspection view: stamped change rows, newest first."""
-    return feed.filter(F.col(stamp).isNotNull()).orderBy(F.col(stamp).desc_nulls_first())
+def newest_changes(
+    feed: DataFrame, keys: Sequence[str], stamp: str = "created_at"
+) -> DataFrame:
+    """Inspection view: stamped change rows, newest first.
+
+    Equal stamps are ordered by key, which also lets the sort split a stamp shared by very many
+    rows over several tasks.
+    """
+    return feed.filter(F.col(stamp).isNotNull()).orderBy(
+        F.col(stamp).desc_nulls_first(), *keys, ACTION
+    )
 
 
 def pending_count(feed: DataFrame) -> int:

@@ -11,18 +11,22 @@ from pyspark.sql.window import Window
 RANK_COLUMN = "_rank"
 
 
-def version_rank(
+def latest_per_key(
     df: DataFrame,
     keys: Sequence[str],
     order_by: str = "created_at",
     nulls: str = "first",
     tie_break: Sequence[str] | None = None,
+    keep_rank: bool = False,
 ) -> DataFrame:
-    """Add ``_rank``: 1 for the newest version of each key.
+    """One row per key: the newest version. ``keep_rank`` leaves the row number in ``_rank``.
 
     ``nulls="first"`` ranks unstamped rows as newest, the host dialect's order for a descending
     sort; ``"last"`` ranks them oldest. Equal stamps are ordered by ``tie_break`` (default: every
     other column), so a rerun picks the same row.
+
+    Filtering the rank to 1 lets Spark apply its group limit before the shuffle as well, so each
+    map task sends at most one row per key and a key with very many versions is not a hot spot.
     """
     if nulls not in ("first", "last"):
         raise ValueError("nulls must be 'first' or 'last'")
@@ -31,22 +35,8 @@ def version_rank(
     if tie_break is None:
         tie_break = [c for c in df.columns if c not in {*keys, order_by}]
     order = [newest, *[F.col(c).asc_nulls_first() for c in tie_break]]
-    return df.withColumn(
+    ranked = df.withColumn(
         RANK_COLUMN, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     )
-
-
-def latest_per_key(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: str = "created_at",
-    nulls: str = "first",
-    tie_break: Sequence[str] | None = None,
-) -> DataFrame:
-    """One row per key: the newest version.
-
-    Filtering the rank to 1 lets Spark apply its group limit before the shuffle as well, so each
-    map task sends at most one row per key and a key with very many versions is not a hot spot.
-    """
-    ranked = version_rank(df, keys, order_by, nulls, tie_break)
-    return ranked.filter(F.col(RANK_COLUMN) == 1).drop(RANK_COLUMN)
+    latest = ranked.filter(F.col(RANK_COLUMN) == 1)
+    return latest if keep_rank else latest.drop(RANK_COLUMN)

@@ -65,7 +65,7 @@ class TableStore:
         """Create the table without rows; an existing one is kept unless ``replace``."""
         schema = StructType(spec.read_schema.fields).add(spec.partition_column, LongType())
         mode = "overwrite" if replace else "ignore"
-        empty = self.spark.createDataFrame([], schema)
+        empty = empty_rows(self.spark, schema)
         empty.write.mode(mode).partitionBy(spec.partition_column).parquet(self.path(spec))
 
     def overwrite(self, spec: TableSpec, df: DataFrame) -> None:
@@ -132,7 +132,7 @@ class TableStore:
         touched = blocks if blocks is not None else self._all_blocks(spec)
         filled = {r[0] for r in survivors.select(spec.partition_column).distinct().collect()}
         self._replace_blocks(spec, survivors, keep_partition=True)
-        empty = self.spark.createDataFrame([], spec.read_schema)
+        empty = empty_rows(self.spark, spec.read_schema)
         for block in touched:
             if block not in filled:  # a partition without rows is not replaced by the write above
                 value = "__HIVE_DEFAULT_PARTITION__" if block is None else block
@@ -206,7 +206,12 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return empty_rows(spark, schema)
+
+
+def empty_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(0).select(*columns)
 
 
 def write_clustered(df: DataFrame, path: str, columns: Sequence[str], partitions: int | None = None):

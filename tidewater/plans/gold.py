@@ -70,11 +70,17 @@ _DAILY_INSERT_ONLY = ("order_year", "order_month", "order_quarter")
 
 
 def load_daily_sales_summary(
-    store: TableStore, lookback_days: int = LOOKBACK_DAYS, now: Column | None = None
+    store: TableStore,
+    lookback_days: int = LOOKBACK_DAYS,
+    now: Column | None = None,
+    newest: date | None = None,
 ) -> JobResult:
-    """Recompute the days of the look-back window and upsert them; older days stay as they are."""
+    """Recompute the days of the look-back window and upsert them; older days stay as they are.
+
+    ``newest`` saves the scan for the newest order date where the caller knows it.
+    """
     orders = store.read(ORDERS_SILVER)
-    newest = high_water_mark(orders)
+    newest = newest or high_water_mark(orders)
     if newest is None:
         return JobResult(0, "daily sales: no cleaned orders")
     stamp = F.current_timestamp() if now is None else now
@@ -199,10 +205,11 @@ def load_customer_ltv(
     as_of: date = DEFAULT_AS_OF,
     lookback_days: int = LOOKBACK_DAYS,
     now: Column | None = None,
+    newest: date | None = None,
 ) -> JobResult:
     """Refresh the affected customers, then deactivate the ones that went stale."""
     orders, customers = store.read(ORDERS_SILVER), store.read(CUSTOMER_SILVER)
-    newest = high_water_mark(orders)
+    newest = newest or high_water_mark(orders)
     if newest is None:
         return JobResult(0, "customer value: no cleaned orders")
     stamp = F.current_timestamp() if now is None else now

@@ -2,19 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
+from pyspark import inheritable_thread_target
+
 from ..operators.store import JobResult, TableStore
-from ..schemas import DERIVED, STAGING
+from ..schemas import DERIVED, ORDERS_SILVER, STAGING
 from ..sources.delimited import bulk_load
 from ..streaming.ingest import ingest_new_files
-from .gold import DEFAULT_AS_OF, load_customer_ltv, load_daily_sales_summary
+from .gold import (
+    DEFAULT_AS_OF,
+    high_water_mark,
+    load_customer_ltv,
+    load_daily_sales_summary,
+)
 from .silver import SILVER_JOBS, merge_changes
 
 BULK_BATCH = -1
 
 
+def _side_by_side(store: TableStore, steps: Sequence[Callable[[], object]]) -> list:
+    """Run independent Spark jobs at the same time; results in the given order."""
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        run = inheritable_thread_target(store.spark)
+        return [f.result() for f in [pool.submit(run(step)) for step in steps]]
+
+
 def create_tables(store: TableStore, replace: bool = False) -> None:
     for spec in (*STAGING.values(), *DERIVED.values()):
         store.create(spec, replace)
@@ -42,7 +57,11 @@ def ingest_all(store: TableStore, stage_dir: str, tables: Sequence[str] = tuple(
 def refresh(store: TableStore, stage_dir: str, as_of: date = DEFAULT_AS_OF) -> list[JobResult]:
     """One run in dependency order. Each step can be repeated; merges without news do nothing."""
     ingest_all(store, stage_dir)
-    results = [merge_changes(store, job) for job in SILVER_JOBS]
-    results.append(load_daily_sales_summary(store))
-    results.append(load_customer_ltv(store, as_of))
-    return results
+    merges = [lambda job=job: merge_changes(store, job) for job in SILVER_JOBS]
+    merged = _side_by_side(store, merges)
+    newest = high_water_mark(store.read(ORDERS_SILVER))
+    reports = [
+        lambda: load_daily_sales_summary(store, newest=newest),
+        lambda: load_customer_ltv(store, as_of, newest=newest),
+    ]
+    return merged + _side_by_side(store, reports)

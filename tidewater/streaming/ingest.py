@@ -65,6 +65,9 @@ def ingest_new_files(
     """
 
     def store_batch(rows: DataFrame, batch_id: int) -> None:
+        # Files of other tables in a shared folder also start a batch, which then has no rows.
+        if rows.isEmpty():
+            return
         store.write_batch(spec, rows, batch_id)
         if after_batch:
             after_batch(batch_id)

@@ -419,8 +419,6 @@ def _violations(rules: list[tuple[str, str, str, str]]) -> str:
 
 def oracle_sql() -> dict[str, str]:
     """Check statement per registered query."""
-    rank = "row_number() OVER (PARTITION BY {} ORDER BY {})"
-    line_order = f"created_at DESC NULLS FIRST, {_ties(LINEITEM_TIES)}"
     return {
         # -- sources and incremental loading
         "csv_bulk_load": _with({}, f"SELECT {_show(ORDERS_FILE)} FROM stg_orders"),
@@ -459,8 +457,10 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
                        strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate,
                        CAST(l_extendedprice AS DOUBLE) AS l_extendedprice,
-                       {rank.format("l_orderkey, l_linenumber", line_order)} AS _rank
-                FROM stg_lineitem""",
+                       row_number() OVER (
+                           PARTITION BY l_orderkey, l_linenumber
+                           ORDER BY created_at DESC NULLS FIRST, {_ties(LINEITEM_TIES)}) AS _rank
+                FROM stg_lineitem QUALIFY _rank = 1""",
         ),
         "orders_cdc_merge": _with(
             _merge_expectation("orders", ORDERS_SILVER, "o_orderkey", ORDERS_BEFORE, ORDERS_AFTER),

@@ -26,7 +26,7 @@ from ..operators.changes import (
     newest_changes,
     table_changes,
 )
-from ..operators.dedup import version_rank
+from ..operators.dedup import latest_per_key
 from ..operators.masking import masked
 from ..operators.merge import deactivate_stale, delete_where
 from ..operators.store import TableStore, write_clustered
@@ -314,7 +314,9 @@ def lineitem_silver_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_version_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = version_rank(staged(spark, sf_dir, "lineitem"), STAGING["lineitem"].keys)
+    ranked = latest_per_key(
+        staged(spark, sf_dir, "lineitem"), STAGING["lineitem"].keys, keep_rank=True
+    )
     return shown(
         ranked.select(
             "l_orderkey",
@@ -382,7 +384,7 @@ def orders_pending_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_newest_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = newest_changes(_orders_feed(spark, sf_dir))
+    feed = newest_changes(_orders_feed(spark, sf_dir), STAGING["orders"].keys)
     return shown(feed.select("o_orderkey", "o_comment", "_action", "created_at"))
 
 
