@@ -104,7 +104,7 @@ def follow_stage(
 def ingest_status(query: StreamingQuery) -> DataFrame:
     """Latest load status as one row."""
     progress = query.lastProgress
-    return query.sparkSession.createDataFrame(
+    return SparkSession.active().createDataFrame(
         [
             (
                 query.name,
