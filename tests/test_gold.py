@@ -154,3 +154,13 @@ def test_orders_are_summed_before_the_shuffle(spark, store):
         assert df.first().total_orders == 50
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_affected_keys_without_a_customer_row(spark, store):
+    store.overwrite(CUSTOMER_SILVER, customers(spark, 1))
+    store.overwrite(ORDERS_SILVER, orders(spark, (1, 77, DAY, "10.00")))
+    assert gold.load_customer_ltv(store).rows_affected == 0
+    assert store.read(CUSTOMER_LTV).count() == 0
+    store.create(CUSTOMER_LTV, replace=True)
+    store.overwrite(CUSTOMER_SILVER, customers(spark, 1).limit(0))
+    assert gold.load_customer_ltv(store).rows_affected == 0

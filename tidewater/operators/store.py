@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -102,14 +103,17 @@ class TableStore:
         if blocks == []:
             return MergeCounts()
         target = self._only_blocks(spec, blocks).select(*spec.columns.names)
+        merged = upsert(target, source, spec.keys, update, insert, on_update, on_insert)
+        # Counted behind the last shuffle, in the writing tasks: a writing task counts once even if
+        # lost executors make Spark repeat earlier stages.
         counts = Observation()
-        merged = upsert(target, source, spec.keys, update, insert, on_update, on_insert).observe(
+        counted = self._clustered(spec, merged).observe(
             counts,
             F.count(F.when(F.col(MERGE_FLAG) == INSERTED, 1)).alias("inserted"),
             F.count(F.when(F.col(MERGE_FLAG) == UPDATED, 1)).alias("updated"),
         )
-        self._replace_blocks(spec, merged.drop(MERGE_FLAG))
-        return MergeCounts(**counts.get)
+        self._replace_blocks(spec, counted.drop(MERGE_FLAG))
+        return _observed(counts)
 
     def update_where(
         self, spec: TableSpec, condition: Column, values: Mapping[str, Column]
@@ -119,7 +123,8 @@ class TableStore:
         blocks, affected = self._blocks_and_count(spec, hits)
         if affected:
             rows = self._only_blocks(spec, blocks).select(*spec.columns.names)
-            self._replace_blocks(spec, update_where(rows, condition, values))
+            changed = update_where(rows, condition, values)
+            self._replace_blocks(spec, self._clustered(spec, changed))
         return affected
 
     def delete_where(self, spec: TableSpec, condition: Column) -> int:
@@ -131,7 +136,7 @@ class TableStore:
         survivors = delete_where(self._only_blocks(spec, blocks), condition)
         touched = blocks if blocks is not None else self._all_blocks(spec)
         filled = {r[0] for r in survivors.select(spec.partition_column).distinct().collect()}
-        self._replace_blocks(spec, survivors, keep_partition=True)
+        self._replace_blocks(spec, self._clustered(spec, survivors, keep_partition=True))
         empty = empty_rows(self.spark, spec.read_schema)
         for block in touched:
             if block not in filled:  # a partition without rows is not replaced by the write above
@@ -160,9 +165,8 @@ class TableStore:
             df = df.withColumn(column, spec.block())
         return df.hint("rebalance", column).sortWithinPartitions(column, *spec.cluster_by)
 
-    def _replace_blocks(self, spec: TableSpec, df: DataFrame, keep_partition: bool = False) -> None:
-        writer = self._clustered(spec, df, keep_partition).write.mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").partitionBy(
+    def _replace_blocks(self, spec: TableSpec, clustered: DataFrame) -> None:
+        clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             spec.partition_column
         ).parquet(self.path(spec))
 
@@ -199,6 +203,14 @@ class TableStore:
         return table.filter(condition)
 
 
+def _observed(counts: Observation) -> MergeCounts:
+    """The counts of a finished write. A plan found to be empty is not run and reports none."""
+    try:
+        return MergeCounts(**counts.get)
+    except Py4JJavaError:
+        return MergeCounts()
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Parquet rows at ``path``; nothing there yet means no rows."""
     try:

@@ -16,7 +16,7 @@ from ..functions import (
 )
 from ..operators.changes import FEED_COLUMNS, keep_inserts
 from ..operators.dedup import latest_per_key
-from ..operators.store import JobResult, TableStore
+from ..operators.store import JobResult, MergeCounts, TableStore
 from ..schemas import CUSTOMER_SILVER, LINEITEM_SILVER, ORDERS_SILVER, STAGING, TableSpec
 from ..streaming.feed import ChangeFeed
 
@@ -214,22 +214,36 @@ def full_load(store: TableStore, job: SilverJob, now: Column | None = None) -> N
 
 
 def apply_changes(
-    store: TableStore, job: SilverJob, changes: DataFrame, now: Column | None = None
-):
-    """Upsert the insert images of a feed. Deletes in the source never remove cleaned rows."""
+    store: TableStore,
+    job: SilverJob,
+    changes: DataFrame,
+    now: Column | None = None,
+    keep_feed: bool = False,
+) -> MergeCounts:
+    """Upsert the insert images of a feed. Deletes in the source never remove cleaned rows.
+
+    The feed is read twice, once for its keys only. Reading staged batches twice is cheap; for a
+    feed that is computed, as a snapshot difference is, ``keep_feed`` persists it in between.
+    """
     stamp = F.current_timestamp() if now is None else now
     images = keep_inserts(changes).drop(*FEED_COLUMNS)
+    if keep_feed:
+        images = images.persist()
     source = job.build(store, images)
     copied = [c for c in source.columns if c not in job.target.keys]
-    return store.merge(
-        job.target,
-        source,
-        update=[c for c in copied if c not in job.insert_only],
-        insert=copied,
-        on_update={job.stamp: stamp},
-        on_insert={job.stamp: stamp},
-        keys_from=images.select(*job.target.keys),
-    )
+    try:
+        return store.merge(
+            job.target,
+            source,
+            update=[c for c in copied if c not in job.insert_only],
+            insert=copied,
+            on_update={job.stamp: stamp},
+            on_insert={job.stamp: stamp},
+            keys_from=images.select(*job.target.keys),
+        )
+    finally:
+        if keep_feed:
+            images.unpersist()
 
 
 def merge_changes(store: TableStore, job: SilverJob, now: Column | None = None) -> JobResult:

@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Let rebalanced writes split a hot block instead of giving it to one task.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Recording the caller of every column expression makes building wide plans slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -337,6 +337,7 @@ def _merged(
     before: DataFrame,
     feed: DataFrame,
     lookups: tuple[str, ...] = (),
+    keep_feed: bool = True,
 ) -> DataFrame:
     """Load ``before`` in full, apply the feed, read the cleaned table."""
     store = TableStore(spark, scratch_dir(spark, "tables"))
@@ -344,7 +345,7 @@ def _merged(
         store.write_batch(STAGING[name], staged(spark, sf_dir, name), 0)
     store.write_batch(STAGING[job.staging], before, 0)
     silver.full_load(store, job)
-    silver.apply_changes(store, job, feed)
+    silver.apply_changes(store, job, feed, keep_feed=keep_feed)
     return shown(store.read(job.target).drop(job.stamp, "source_file"))
 
 
@@ -367,7 +368,8 @@ def customer_cdc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lineitem_cdc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = append_feed(_lineitem_second(spark, sf_dir), STAGING["lineitem"].keys)
     before = _lineitem_first(spark, sf_dir)
-    return _merged(spark, sf_dir, silver.LINEITEM_JOB, before, feed, ("part", "supplier"))
+    lookups = ("part", "supplier")
+    return _merged(spark, sf_dir, silver.LINEITEM_JOB, before, feed, lookups, keep_feed=False)
 
 
 # -- change feed ---------------------------------------------------------------------------------
