@@ -9,7 +9,7 @@ from datetime import date
 from pyspark import inheritable_thread_target
 
 from ..operators.store import JobResult, TableStore
-from ..schemas import DERIVED, ORDERS_SILVER, STAGING
+from ..schemas import DERIVED, ORDERS_SILVER, STAGING, TableSpec
 from ..sources.delimited import bulk_load
 from ..streaming.ingest import ingest_new_files
 from .gold import (
@@ -25,22 +25,24 @@ BULK_BATCH = -1
 
 def _side_by_side(store: TableStore, steps: Sequence[Callable[[], object]]) -> list:
     """Run independent Spark jobs at the same time; results in the given order."""
-    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+    with ThreadPoolExecutor(max_workers=8) as pool:
         run = inheritable_thread_target(store.spark)
         return [f.result() for f in [pool.submit(run(step)) for step in steps]]
 
 
 def create_tables(store: TableStore, replace: bool = False) -> None:
-    for spec in (*STAGING.values(), *DERIVED.values()):
-        store.create(spec, replace)
+    specs = (*STAGING.values(), *DERIVED.values())
+    _side_by_side(store, [lambda spec=spec: store.create(spec, replace) for spec in specs])
 
 
 def initial_load(store: TableStore, stage_dir: str, tables: Sequence[str] = tuple(STAGING)) -> None:
     """First load of the staging tables. It precedes the feeds and has its own batch."""
-    for name in tables:
-        spec = STAGING[name]
+
+    def load(spec: TableSpec) -> None:
         store.write_batch(spec, bulk_load(store.spark, stage_dir, spec), BULK_BATCH)
 
+    _side_by_side(store, [lambda name=name: load(STAGING[name]) for name in tables])
+
 
 def start_feeds(store: TableStore, include_initial: bool = False) -> None:
     for job in SILVER_JOBS:

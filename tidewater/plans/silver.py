@@ -154,13 +154,33 @@ def lookup_supplier(supplier: DataFrame) -> DataFrame:
 # -- jobs on stored tables -----------------------------------------------------------------------
 
 
+# Most distinct keys of a batch that are broadcast to cut a lookup table down before it is shuffled
+# (8 MB of keys).
+MAX_BROADCAST_KEYS = 1_000_000
+
+
+def only_needed(lookup: DataFrame, key: str, rows: DataFrame, fact_key: str) -> DataFrame:
+    """Lookup rows a small batch refers to; all of them when the batch refers to too many.
+
+    A daily batch names few of a large lookup's keys, so filtering the lookup while it is scanned
+    saves shuffling it. The number of keys is counted before they are broadcast.
+    """
+    needed = rows.select(F.col(fact_key).alias("_needed")).distinct()
+    if needed.limit(MAX_BROADCAST_KEYS + 1).count() > MAX_BROADCAST_KEYS:
+        return lookup
+    return lookup.join(F.broadcast(needed), F.col(key) == F.col("_needed"), "left_semi")
+
+
 @dataclass(frozen=True)
 class SilverJob:
-    """How one staging table becomes its cleaned table."""
+    """How one staging table becomes its cleaned table.
+
+    ``build`` gets the store, the staged rows and whether they are one batch of changes.
+    """
 
     staging: str
     target: TableSpec
-    build: Callable[[TableStore, DataFrame], DataFrame]
+    build: Callable[[TableStore, DataFrame, bool], DataFrame]
     stamp: str
     insert_only: tuple[str, ...] = ()
 
@@ -179,37 +199,38 @@ def _staged(store: TableStore, name: str) -> DataFrame:
 ORDERS_JOB = SilverJob(
     "orders",
     ORDERS_SILVER,
-    lambda store, rows: orders_silver(rows),
+    lambda store, rows, batch: orders_silver(rows),
     "last_updated_at",
     ("first_loaded_at",),
 )
 CUSTOMER_JOB = SilverJob(
     "customer",
     CUSTOMER_SILVER,
-    lambda store, rows: customer_silver(
+    lambda store, rows, batch: customer_silver(
         rows,
         lookup_nation(_staged(store, "nation")),
         lookup_region(_staged(store, "region")),
     ),
     "load_timestamp",
 )
-LINEITEM_JOB = SilverJob(
-    "lineitem",
-    LINEITEM_SILVER,
-    lambda store, rows: lineitem_silver(
-        rows,
-        lookup_part(_staged(store, "part")),
-        lookup_supplier(_staged(store, "supplier")),
-    ),
-    "load_timestamp",
-)
+
+
+def _build_lineitem(store: TableStore, rows: DataFrame, batch: bool) -> DataFrame:
+    part, supplier = _staged(store, "part"), _staged(store, "supplier")
+    if batch:
+        part = only_needed(part, "p_partkey", rows, "l_partkey")
+        supplier = only_needed(supplier, "s_suppkey", rows, "l_suppkey")
+    return lineitem_silver(rows, lookup_part(part), lookup_supplier(supplier))
+
+
+LINEITEM_JOB = SilverJob("lineitem", LINEITEM_SILVER, _build_lineitem, "load_timestamp")
 SILVER_JOBS = (ORDERS_JOB, CUSTOMER_JOB, LINEITEM_JOB)
 
 
 def full_load(store: TableStore, job: SilverJob, now: Column | None = None) -> None:
     """Rebuild a cleaned table from all staged rows."""
     stamp = F.current_timestamp() if now is None else now
-    rows = job.build(store, _staged(store, job.staging))
+    rows = job.build(store, _staged(store, job.staging), False)
     store.overwrite(job.target, rows.withColumn(job.stamp, stamp))
 
 
@@ -229,7 +250,7 @@ def apply_changes(
     images = keep_inserts(changes).drop(*FEED_COLUMNS)
     if keep_feed:
         images = images.persist()
-    source = job.build(store, images)
+    source = job.build(store, images, True)
     copied = [c for c in source.columns if c not in job.target.keys]
     try:
         return store.merge(
