@@ -6,8 +6,30 @@ stamps are text. The registered queries show their results in the same way.
 
 from __future__ import annotations
 
+from ..functions.classify import (
+    PRIORITY_DEFAULT,
+    PRIORITY_RANKS,
+    REVENUE_DEFAULT,
+    REVENUE_TIERS,
+    STATUS_DEFAULT,
+    STATUS_DESCRIPTIONS,
+)
+from ..operators.masking import EMAIL_HIDDEN, PHONE_HIDDEN, PHONE_PREFIX, SSN_HIDDEN
+
 AS_OF = "DATE '1998-09-02'"
 
+# The fixed values of the classifications, as lookups.
+_STATUS = (
+    f"coalesce(map {dict(STATUS_DESCRIPTIONS)}[o_orderstatus], '{STATUS_DEFAULT}')"
+)
+_RANK = "CAST(CASE {} ELSE {} END AS BIGINT)".format(
+    " ".join(
+        f"WHEN starts_with(o_orderpriority, '{prefix}') THEN {rank}"
+        for prefix, rank in PRIORITY_RANKS
+    ),
+    PRIORITY_DEFAULT,
+)
+
 
 def _loaded_at(key: str) -> str:
     return (
@@ -102,19 +124,13 @@ def _ties(columns: str) -> str:
 def _orders_silver(source: str) -> str:
     return f"""
         SELECT o_orderkey, o_custkey, o_orderstatus,
-               CASE o_orderstatus WHEN 'F' THEN 'FINISHED' WHEN 'O' THEN 'OPEN'
-                    WHEN 'P' THEN 'PENDING' ELSE 'UNKNOWN' END AS o_orderstatus_desc,
+               {_STATUS} AS o_orderstatus_desc,
                o_totalprice, o_orderdate,
                CAST(year(o_orderdate) AS BIGINT) AS o_order_year,
                CAST(month(o_orderdate) AS BIGINT) AS o_order_month,
                CAST(quarter(o_orderdate) AS BIGINT) AS o_order_quarter,
                o_orderpriority,
-               CAST(CASE WHEN o_orderpriority LIKE '1-URGENT%' THEN 1
-                    WHEN o_orderpriority LIKE '2-HIGH%' THEN 2
-                    WHEN o_orderpriority LIKE '3-MEDIUM%' THEN 3
-                    WHEN o_orderpriority LIKE '4-NOT SPECIFIED%' THEN 4
-                    WHEN o_orderpriority LIKE '5-LOW%' THEN 5 ELSE 9 END AS BIGINT)
-                    AS o_priority_rank,
+               {_RANK} AS o_priority_rank,
                o_clerk,
                TRY_CAST(nullif(regexp_extract(o_clerk, '[0-9]+'), '') AS BIGINT) AS o_clerk_id,
                o_shippriority, o_comment, created_at AS first_loaded_at
@@ -249,10 +265,8 @@ def _daily(orders: str, since: str) -> str:
 
 
 def _tier(total: str) -> str:
-    return (
-        f"CASE WHEN {total} >= 500000 THEN 'VIP' WHEN {total} >= 100000 THEN 'GOLD'"
-        f" WHEN {total} >= 10000 THEN 'SILVER' ELSE 'STANDARD' END"
-    )
+    branches = " ".join(f"WHEN {total} >= {bound} THEN '{tier}'" for bound, tier in REVENUE_TIERS)
+    return f"CASE {branches} ELSE '{REVENUE_DEFAULT}' END"
 
 
 def _ltv(customers: str, orders: str, as_of: str, keys: str | None = None) -> str:
@@ -707,14 +721,14 @@ def oracle_sql() -> dict[str, str]:
             _SENSITIVE,
             rf"""SELECT {_show(_SENSITIVE_PLAIN)},
                         regexp_replace(email, '(^[^@]{{2}})[^@]+', '\1***') AS email,
-                        '***-**-****' AS ssn_last_9,
-                        'XXX-XXX-' || right(CAST(phone_number AS VARCHAR), 4) AS phone_number
+                        '{SSN_HIDDEN}' AS ssn_last_9,
+                        '{PHONE_PREFIX}' || right(CAST(phone_number AS VARCHAR), 4) AS phone_number
                  FROM sensitive""",
         ),
         "masked_viewer": _with(
             _SENSITIVE,
-            f"""SELECT {_show(_SENSITIVE_PLAIN)}, '***@masked.com' AS email,
-                       '***-**-****' AS ssn_last_9, 'XXX-XXX-XXX' AS phone_number
+            f"""SELECT {_show(_SENSITIVE_PLAIN)}, '{EMAIL_HIDDEN}' AS email,
+                       '{SSN_HIDDEN}' AS ssn_last_9, '{PHONE_HIDDEN}' AS phone_number
                 FROM sensitive""",
         ),
         "vw_customer_public": _with(
@@ -782,13 +796,8 @@ ORDERS_FINAL = """
 
 _ORDER_FUNCTIONS = f"""
     SELECT o_orderkey,
-           CASE o_orderstatus WHEN 'F' THEN 'FINISHED' WHEN 'O' THEN 'OPEN' WHEN 'P' THEN 'PENDING'
-                ELSE 'UNKNOWN' END AS status_desc,
-           CAST(CASE WHEN o_orderpriority LIKE '1-URGENT%' THEN 1
-                WHEN o_orderpriority LIKE '2-HIGH%' THEN 2
-                WHEN o_orderpriority LIKE '3-MEDIUM%' THEN 3
-                WHEN o_orderpriority LIKE '4-NOT SPECIFIED%' THEN 4
-                WHEN o_orderpriority LIKE '5-LOW%' THEN 5 ELSE 9 END AS BIGINT) AS priority_rank,
+           {_STATUS} AS status_desc,
+           {_RANK} AS priority_rank,
            {_tier("o_totalprice")} AS price_tier
     FROM stg_orders"""
 _CUSTOMER_FUNCTIONS = """
