@@ -37,6 +37,16 @@ def test_status_profiles(spark):
         (1995, 1, "OPEN", 2, Decimal("3.00"), Decimal("1.500000"), 1)
     ]
     assert rows(profiling.orders_by(orders.union(orders), "o_orderstatus_desc")) == [("OPEN", 3)]
+    assert rows(profiling.orders_by(orders, "o_orderstatus_desc", unique_keys=True)) == [("OPEN", 3)]
+
+
+def test_load_probe(spark):
+    staged = spark.createDataFrame(
+        [(1, "2024-01-01", "a"), (5, "2024-01-02", "b"), (6, "2024-01-03", "c"), (7, None, None)],
+        "o_orderkey int, created_at string, from_source string",
+    )
+    found = profiling.load_probe(staged, "o_orderkey", 5).collect()
+    assert [(r.o_orderkey, r.from_source) for r in found] == [(7, None), (6, "c"), (5, "b")]
 
 
 def test_counts_nulls_and_keys(spark):

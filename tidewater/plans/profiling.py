@@ -36,9 +36,23 @@ def customers_per_country(customer: DataFrame, nation: DataFrame) -> DataFrame:
     )
 
 
-def orders_by(orders: DataFrame, column: str) -> DataFrame:
-    """Distinct orders per value of a status column (raw code or description)."""
-    return orders.groupBy(column).agg(F.count_distinct("o_orderkey").alias("order_count"))
+def orders_by(orders: DataFrame, column: str, unique_keys: bool = False) -> DataFrame:
+    """Distinct orders per value of a status column (raw code or description).
+
+    In a table whose keys are unique (the cleaned orders) a plain count is the distinct count, and
+    only one row per status and task is shuffled.
+    """
+    counted = F.count("o_orderkey") if unique_keys else F.count_distinct("o_orderkey")
+    return orders.groupBy(column).agg(counted.alias("order_count"))
+
+
+def load_probe(staged: DataFrame, key: str, from_key: int) -> DataFrame:
+    """Rows from a key on with where and when they were loaded, newest first."""
+    return (
+        staged.filter(F.col(key) >= from_key)
+        .select(key, "created_at", "from_source")
+        .orderBy(F.col("created_at").desc_nulls_first(), key)
+    )
 
 
 def top_part_types(lineitem: DataFrame, rows: int = 10) -> DataFrame:

@@ -533,7 +533,7 @@ def customers_per_country(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_by_status_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiling.orders_by(_orders(spark, sf_dir), "o_orderstatus_desc")
+    return profiling.orders_by(_orders(spark, sf_dir), "o_orderstatus_desc", unique_keys=True)
 
 
 def orders_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
