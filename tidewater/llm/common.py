@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..workspace import scratch_dir
 
 #: Characters handled at a time inside a task; a longer text is a chunk of its own.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 400_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

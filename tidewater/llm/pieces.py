@@ -23,7 +23,7 @@ LONG_TEXT = 4_000_000
 #: Longer pieces are looked up by their characters, not by hash.
 LONG_PIECE = 256
 #: Distinct pieces that a worker remembers before it starts over.
-MAX_PIECES = 400_000
+MAX_PIECES = 300_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))

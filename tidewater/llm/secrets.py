@@ -41,7 +41,7 @@ REDACTED = "[REDACTED]"
 SAMPLE_DOCS = 20_000
 WINDOWS, REACH = 4000, 8
 ROUNDS, RATE, DECAY = 80, 0.15, 1e-3
-MAX_TOKENS = 300_000
+MAX_TOKENS = 200_000
 #: Neighbours whose features count for a token.
 ROLES = (-2, -1, 0, 1)
 OUTSIDE, BEGIN, INSIDE = range(3)
