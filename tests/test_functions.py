@@ -3,6 +3,7 @@ from __future__ import annotations
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from tidewater.functions import (
@@ -100,6 +101,11 @@ def test_clerk_id(spark):
     assert [r.x for r in got.collect()] == [None if w is None else Decimal(w) for _, w in cases]
 
 
+def test_a_clerk_number_that_does_not_fit_is_an_error(spark):
+    with pytest.raises(ArithmeticException):
+        frame(spark, [("Clerk#1234567890123", None)], "string").select(clerk_id(F.col("v"))).collect()
+
+
 def test_clamp_keeps_null(spark):
     cases = [(-3, 0), (0, 0), (4, 4), (None, None)]
     got = frame(spark, cases, "int").orderBy("i").select(clamp_negative(F.col("v")).alias("x"))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import shutil
 from datetime import date
 from decimal import Decimal
 
@@ -123,6 +124,30 @@ def test_bulk_load_first_then_pipes(spark, store, stage, tmp_path):
     assert store.read(STAGING["orders"]).count() == 3
 
 
+def test_later_bulk_loads_add_and_reach_the_feed(spark, store, stage):
+    deliver(stage, "orders_1", order(1, 1, "1.00", "1998-08-01"), order(2, 1, "2.00", "1998-08-01"))
+    initial_load(store, str(stage), ("orders",))
+    start_feeds(store)
+    deliver(stage, "orders_2", order(3, 1, "3.00", "1998-08-01"))
+    initial_load(store, str(stage), ("orders",))
+    assert store.read(STAGING["orders"]).count() == 3
+    assert silver.merge_orders_cdc(store).rows_affected == 1
+
+
+def test_a_new_checkpoint_replaces_nothing(spark, store, stage, tmp_path):
+    from tidewater.plans.refresh import ingest_all
+
+    create_tables(store)
+    deliver(stage, "orders_1", order(1, 1, "1.00", "1998-08-01"))
+    ingest_all(store, str(stage), ("orders",))
+    shutil.move(store.control_path("ingest"), tmp_path / "lost")
+    later = tmp_path / "later"
+    later.mkdir()
+    deliver(later, "orders_2", order(2, 1, "2.00", "1998-08-01"))
+    ingest_all(store, str(later), ("orders",))
+    assert rows(store.read(STAGING["orders"]), "o_orderkey") == [(1,), (2,)]
+
+
 def test_changes_in_one_batch_keep_the_newest(spark, store, stage):
     """Without a stamp difference inside one file the tie-break decides, the same way every time."""
     other = TableStore(spark, store.root + "-other")

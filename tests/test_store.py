@@ -8,7 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidewater.operators import store as store_module
-from tidewater.schemas import CUSTOMER_LTV, STAGING, key_range_block
+from tidewater.schemas import CUSTOMER_LTV, CUSTOMER_SENSITIVE, STAGING, key_range_block
 from tidewater.sources.catalog import register_tables
 
 SPEC = replace(CUSTOMER_LTV, block=key_range_block("c_custkey", 2))
@@ -66,8 +66,7 @@ def test_null_key_block(spark, store):
     assert [r[0] for r in rows(store.read(SPEC), "c_custkey")] == [None, None, 1]
 
 
-def test_more_touched_blocks_than_are_listed(spark, store, monkeypatch):
-    monkeypatch.setattr(store_module, "MAX_LISTED_BLOCKS", 2)
+def test_many_touched_blocks(spark, store):
     store.overwrite(SPEC, ltv(spark, range(40)))
     counts = merge(store, ltv(spark, range(0, 50, 2), "m"))
     assert (counts.inserted, counts.updated) == (5, 20)
@@ -123,6 +122,28 @@ def test_staging_delete(spark, store):
     assert rows(store.read_partitioned(spec), "r_regionkey", "_batch_id") == [(0, 0), (1, 0), (2, 0)]
 
 
+def test_sensitive_table_is_not_registered(store):
+    with pytest.raises(PermissionError):
+        register_tables(store, [CUSTOMER_SENSITIVE])
+
+
+def test_overwrite_drops_old_blocks_in_any_session_mode(spark, store):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        store.overwrite(SPEC, ltv(spark, [1]))
+        store.overwrite(SPEC, ltv(spark, [30]))
+        assert [r[0] for r in rows(store.read(SPEC), "c_custkey")] == [30]
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_batch_numbers_are_kept_and_never_reused(spark, store):
+    spec = STAGING["region"]
+    assert [store.batch_number(spec, "a", 0), store.batch_number(spec, "a", 1)] == [0, 1]
+    assert store.batch_number(spec, "b", 0) == 2
+    assert [store.batch_number(spec, "a", 1), store.batch_number(spec, "b", 0)] == [1, 2]
+
+
 def test_tables_by_name(spark, store):
     store.overwrite(SPEC, ltv(spark, range(10)))
     try:

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 
 def clerk_id(clerk: Column) -> Column:
-    """First run of digits in the clerk text as a number; NULL if there is none."""
-    return F.regexp_substr(clerk, F.lit("[0-9]+")).try_cast("decimal(9,0)")
+    """First run of digits in the clerk text as a number; NULL if there is none.
+
+    More than nine digits are an error, not NULL; more than 38 are NULL.
+    """
+    return F.regexp_substr(clerk, F.lit("[0-9]+")).try_cast("decimal(38,0)").cast("decimal(9,0)")
 
 
 def clamp_negative(value: Column) -> Column:

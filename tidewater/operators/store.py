@@ -9,14 +9,14 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StringType, StructType
 
 from ..schemas import BATCH_COLUMN, TableSpec
 from .merge import INSERTED, MERGE_FLAG, UPDATED, delete_where, update_where, upsert
 
-# Longest list of touched blocks that is put into a partition filter. Beyond it the whole table is
-# rewritten, which gives the same rows.
-MAX_LISTED_BLOCKS = 10_000
+_BATCHES = StructType().add("load", StringType()).add("batch", LongType()).add("number", LongType())
+# A full overwrite drops all old partitions, whatever the session's mode.
+_STATIC = {"partitionOverwriteMode": "static"}
 
 
 @dataclass(frozen=True)
@@ -67,13 +67,13 @@ class TableStore:
         schema = StructType(spec.read_schema.fields).add(spec.partition_column, LongType())
         mode = "overwrite" if replace else "ignore"
         empty = empty_rows(self.spark, schema)
-        empty.write.mode(mode).partitionBy(spec.partition_column).parquet(self.path(spec))
+        empty.write.mode(mode).options(**_STATIC).partitionBy(spec.partition_column).parquet(self.path(spec))
 
     def overwrite(self, spec: TableSpec, df: DataFrame) -> None:
         """Replace all rows."""
-        self._clustered(spec, self._conform(spec, df)).write.mode("overwrite").partitionBy(
-            spec.partition_column
-        ).parquet(self.path(spec))
+        self._clustered(spec, self._conform(spec, df)).write.mode("overwrite").options(
+            **_STATIC
+        ).partitionBy(spec.partition_column).parquet(self.path(spec))
 
     def write_batch(self, spec: TableSpec, df: DataFrame, batch_id: int) -> None:
         """Store one load of a staging table. Repeating a batch replaces it."""
@@ -81,6 +81,24 @@ class TableStore:
             f"{self.path(spec)}/{BATCH_COLUMN}={batch_id}"
         )
 
+    def batch_number(self, spec: TableSpec, load: str, batch_id: int) -> int:
+        """The table's number of a load's batch: given once, and above all numbers in use."""
+        path = self.control_path(f"batches/{spec.name}")
+        given = read_or_empty(self.spark, path, _BATCHES)
+        mine = (F.col("load") == load) & (F.col("batch") == batch_id)
+        own, highest = given.agg(F.max(F.when(mine, F.col("number"))), F.max("number")).first()
+        if own is not None:
+            return own
+        stored = self.read_partitioned(spec).agg(F.max(BATCH_COLUMN)).first()[0]
+        number = 1 + max(-1, *(n for n in (highest, stored) if n is not None), -1)
+        row = self.spark.range(1).select(
+            F.lit(load).alias("load"),
+            F.lit(batch_id).cast("bigint").alias("batch"),
+            F.lit(number).cast("bigint").alias("number"),
+        )
+        row.write.mode("append").parquet(path)
+        return number
+
     # -- row-level changes ---------------------------------------------------------------------
 
     def merge(
@@ -134,11 +152,10 @@ class TableStore:
         if not affected:
             return 0
         survivors = delete_where(self._only_blocks(spec, blocks), condition)
-        touched = blocks if blocks is not None else self._all_blocks(spec)
         filled = {r[0] for r in survivors.select(spec.partition_column).distinct().collect()}
         self._replace_blocks(spec, self._clustered(spec, survivors, keep_partition=True))
         empty = empty_rows(self.spark, spec.read_schema)
-        for block in touched:
+        for block in blocks:
             if block not in filled:  # a partition without rows is not replaced by the write above
                 value = "__HIVE_DEFAULT_PARTITION__" if block is None else block
                 empty.write.mode("overwrite").parquet(
@@ -170,32 +187,22 @@ class TableStore:
             spec.partition_column
         ).parquet(self.path(spec))
 
-    def _blocks_of(self, spec: TableSpec, rows: DataFrame) -> list[int | None] | None:
-        """Blocks the rows fall into; None if there are too many to list."""
-        blocks = rows.select(spec.block().alias("b")).distinct().limit(MAX_LISTED_BLOCKS + 1)
-        listed = [r.b for r in blocks.collect()]
-        return None if len(listed) > MAX_LISTED_BLOCKS else listed
+    def _blocks_of(self, spec: TableSpec, rows: DataFrame) -> list[int | None]:
+        """Blocks the rows fall into: no more than the partitions that are to be listed and replaced."""
+        return [r.b for r in rows.select(spec.block().alias("b")).distinct().collect()]
 
     def _blocks_and_count(
         self, spec: TableSpec, hits: DataFrame
-    ) -> tuple[list[int | None] | None, int]:
+    ) -> tuple[list[int | None], int]:
         """Stored blocks of the rows and their number, in one pass over the partitions' counts."""
         rows = hits.groupBy(F.col(spec.partition_column).alias("b")).agg(
             F.count(F.lit(1)).alias("n")
         )
-        found = rows.limit(MAX_LISTED_BLOCKS + 1).collect()
-        if len(found) > MAX_LISTED_BLOCKS:
-            return None, hits.count()
+        found = rows.collect()
         return [r.b for r in found], sum(r.n for r in found)
 
-    def _all_blocks(self, spec: TableSpec) -> list[int | None]:
-        rows = self.read_partitioned(spec).select(spec.partition_column).distinct()
-        return [r[0] for r in rows.collect()]
-
-    def _only_blocks(self, spec: TableSpec, blocks: list[int | None] | None) -> DataFrame:
+    def _only_blocks(self, spec: TableSpec, blocks: list[int | None]) -> DataFrame:
         table = self.read_partitioned(spec)
-        if blocks is None:
-            return table
         column = F.col(spec.partition_column)
         condition = column.isin([b for b in blocks if b is not None])
         if None in blocks:

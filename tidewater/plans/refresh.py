@@ -9,9 +9,8 @@ from datetime import date
 from pyspark import inheritable_thread_target
 
 from ..operators.store import JobResult, TableStore
-from ..schemas import DERIVED, ORDERS_SILVER, STAGING, TableSpec
-from ..sources.delimited import bulk_load
-from ..streaming.ingest import ingest_new_files
+from ..schemas import DERIVED, ORDERS_SILVER, STAGING
+from ..streaming.ingest import bulk_load_new_files, ingest_new_files
 from .gold import (
     DEFAULT_AS_OF,
     high_water_mark,
@@ -20,8 +19,6 @@ from .gold import (
 )
 from .silver import SILVER_JOBS, merge_changes
 
-BULK_BATCH = -1
-
 
 def _side_by_side(store: TableStore, steps: Sequence[Callable[[], object]]) -> list:
     """Run independent Spark jobs at the same time; results in the given order."""
@@ -36,12 +33,10 @@ def create_tables(store: TableStore, replace: bool = False) -> None:
 
 
 def initial_load(store: TableStore, stage_dir: str, tables: Sequence[str] = tuple(STAGING)) -> None:
-    """First load of the staging tables. It precedes the feeds and has its own batch."""
-
-    def load(spec: TableSpec) -> None:
-        store.write_batch(spec, bulk_load(store.spark, stage_dir, spec), BULK_BATCH)
-
-    _side_by_side(store, [lambda name=name: load(STAGING[name]) for name in tables])
+    """Add bulk files not loaded yet to the staging tables; a bad row aborts its table's load."""
+    loads = [bulk_load_new_files(store, STAGING[name], stage_dir) for name in tables]
+    for load in loads:
+        load.awaitTermination()
 
 
 def start_feeds(store: TableStore, include_initial: bool = False) -> None:

@@ -166,7 +166,7 @@ def only_needed(lookup: DataFrame, key: str, rows: DataFrame, fact_key: str) ->
     saves shuffling it. The number of keys is counted before they are broadcast.
     """
     needed = rows.select(F.col(fact_key).alias("_needed")).distinct()
-    if needed.limit(MAX_BROADCAST_KEYS + 1).count() > MAX_BROADCAST_KEYS:
+    if needed.count() > MAX_BROADCAST_KEYS:
         return lookup
     return lookup.join(F.broadcast(needed), F.col(key) == F.col("_needed"), "left_semi")
 

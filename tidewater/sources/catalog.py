@@ -5,14 +5,18 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from ..operators.store import TableStore
-from ..schemas import TableSpec
+from ..schemas import CUSTOMER_SENSITIVE, TableSpec
 
 
 def register_tables(store: TableStore, specs: Iterable[TableSpec]) -> list[str]:
     """External catalog tables over the stored files, one database per layer.
 
-    The files stay the only copy: run it again after a load to pick up new partitions.
+    The files stay the only copy: run it again after a load to pick up new partitions. The sensitive
+    table is refused: a plain table would show what its masks hide.
     """
+    specs = list(specs)
+    if any(spec.name == CUSTOMER_SENSITIVE.name for spec in specs):
+        raise PermissionError("read the sensitive table with read_sensitive, which masks it")
     spark = store.spark
     names = []
     for spec in specs:

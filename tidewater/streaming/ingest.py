@@ -11,7 +11,14 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.store import TableStore
 from ..schemas import TableSpec
 from ..session import require_ansi
-from ..sources.delimited import CSV_PIPE, path_matches, project_positional, read_text_columns
+from ..sources.delimited import (
+    CSV_BULK,
+    CSV_PIPE,
+    path_matches,
+    project_positional,
+    read_text_columns,
+    with_lineage,
+)
 
 ALL_AVAILABLE: Mapping[str, object] = {"availableNow": True}
 
@@ -59,24 +66,54 @@ def ingest_new_files(
 ) -> StreamingQuery:
     """Start loading the files not loaded yet into the staging table.
 
-    The checkpoint remembers the files. A micro-batch is stored under its own batch id, so a batch
-    repeated after a failure replaces itself. ``trigger={"processingTime": "1 minute"}`` keeps
+    The checkpoint remembers the files. A micro-batch gets a number of its own in the table and keeps
+    it, so a batch repeated after a failure replaces itself, and one of a new checkpoint replaces
+    nothing. ``trigger={"processingTime": "1 minute"}`` keeps
     following the folder; ``after_batch`` then runs what depends on the new rows.
     """
 
-    def store_batch(rows: DataFrame, batch_id: int) -> None:
+    rows = staged_rows(store.spark, stage_dir, spec, pattern, max_files_per_trigger)
+    return _store_batches(store, spec, rows, "ingest", trigger, after_batch)
+
+
+def bulk_load_new_files(
+    store: TableStore, spec: TableSpec, stage_dir: str, pattern: str | None = None
+) -> StreamingQuery:
+    """Add the rows of bulk files not loaded yet, by the strict rules: a bad row aborts the load.
+
+    Lineage columns are NULL. The bulk load has a checkpoint of its own, so each file is loaded once
+    and later deliveries are added to what is there.
+    """
+    require_ansi(store.spark)
+    text = read_text_columns(store.spark.readStream, spec, CSV_BULK, stage_dir).filter(
+        path_matches(pattern or spec.bulk_pattern)
+    )
+    rows = with_lineage(project_positional(text, spec.file_columns, truncate=False))
+    return _store_batches(store, spec, rows, "bulk", ALL_AVAILABLE)
+
+
+def _store_batches(
+    store: TableStore,
+    spec: TableSpec,
+    rows: DataFrame,
+    kind: str,
+    trigger: Mapping[str, object],
+    after_batch: Callable[[int], None] | None = None,
+) -> StreamingQuery:
+    def store_batch(batch: DataFrame, batch_id: int) -> None:
         # Files of other tables in a shared folder also start a batch, which then has no rows.
-        if rows.isEmpty():
+        if batch.isEmpty():
             return
-        store.write_batch(spec, rows, batch_id)
+        # The query's id is kept in its checkpoint: a new checkpoint is a new load.
+        load = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        store.write_batch(spec, batch, store.batch_number(spec, load, batch_id))
         if after_batch:
             after_batch(batch_id)
 
-    rows = staged_rows(store.spark, stage_dir, spec, pattern, max_files_per_trigger)
     return (
-        rows.writeStream.queryName(f"ingest_{spec.name}")
+        rows.writeStream.queryName(f"{kind}_{spec.name}")
         .foreachBatch(store_batch)
-        .option("checkpointLocation", store.control_path(f"ingest/{spec.name}"))
+        .option("checkpointLocation", store.control_path(f"{kind}/{spec.name}"))
         .trigger(**trigger)
         .start()
     )

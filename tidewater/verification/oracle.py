@@ -752,7 +752,7 @@ def oracle_sql() -> dict[str, str]:
         "validate_contacts": _with(
             _SENSITIVE,
             """SELECT c_custkey, c_name, FALSE AS is_valid_pn, TRUE AS is_valid_email
-               FROM sensitive ORDER BY c_custkey LIMIT 100""",
+               FROM sensitive""",
         ),
         "order_functions": _with({}, _ORDER_FUNCTIONS),
         "customer_functions": _with(_SENSITIVE, _CUSTOMER_FUNCTIONS),
