@@ -24,12 +24,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..workspace import scratch_dir
-from .common import CHUNK_CHARS, chunks
+from .common import chunks
 from .heap_counts import byte_symbols
 from .pieces import SPECIAL_MARK, PieceCache, ragged
 
 LENGTH = 2048
 END_TOKEN = 1
+#: Characters tokenised at a time: the more, the fewer lookups for pieces that repeat.
+CHUNK_CHARS = 1_000_000
 _STREAM = "doc_id long, part int, part_start long, doc_tokens long, ids binary"
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 

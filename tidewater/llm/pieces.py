@@ -23,7 +23,7 @@ LONG_TEXT = 4_000_000
 #: Longer pieces are looked up by their characters, not by hash.
 LONG_PIECE = 256
 #: Distinct pieces that a worker remembers before it starts over.
-MAX_PIECES = 300_000
+MAX_PIECES = 500_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -116,8 +116,13 @@ class PieceCache:
         np.cumsum((codes + np.uint64(1)) * self.powers[: len(codes)], out=sums[1:])
         hashes = (sums[hi] - sums[lo]) * self.inverses[lo] + (hi - lo).astype(np.uint64) * _LENGTH
         distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        found = np.fromiter((self._number(h, codes, lo[i], hi[i]) for h, i in zip(distinct.tolist(), first.tolist(), strict=True)), np.int64, len(distinct))
-        numbers = found[back]
+        keys = distinct.tolist()
+        found = list(map(self.known.get, keys))
+        for k, number in enumerate(found):
+            if number is None:
+                i = first[k]
+                found[k] = self._number(keys[k], codes, lo[i], hi[i])
+        numbers = np.array(found, np.int64)[back]
         for i in np.flatnonzero(hi - lo > LONG_PIECE).tolist():
             numbers[i] = self._number(codes[lo[i] : hi[i]].tobytes(), codes, lo[i], hi[i])
         return numbers
