@@ -36,9 +36,17 @@ def test_bulk_load_trims_and_splits_empty_from_missing(spark, stage):
     assert [f.dataType.simpleString() for f in df.schema][:3] == ["bigint", "string", "bigint"]
 
 
+def test_a_quoted_line_break_stays_in_its_field(spark, stage):
+    df = nations(spark, stage, '1,"line one\n2,x",2,"a\nb"\n3,y,4,\n')
+    assert rows(df, "n_nationkey", "n_name", "n_regionkey", "n_comment") == [
+        (1, "line one\n2,x", 2, "a\nb"),
+        (3, "y", 4, None),
+    ]
+
+
 @pytest.mark.parametrize(
     "line",
-    ["1,a,2", "1,a,2,c,extra", "x,a,2,c", "1,a,two,c", f"1,{'n' * 26},2,c"],
+    ["1,a,2","1,a,2,c,extra", "x,a,2,c", "1,a,two,c", f"1,{'n' * 26},2,c"],
     ids=["short", "long", "bad key", "bad number", "text too long"],
 )
 def test_bulk_load_aborts_on_a_bad_row(spark, stage, line):

@@ -156,20 +156,23 @@ _LTV_CUSTOMER = ("c_custkey", "c_name", "c_nation_name", "c_region_name", "c_mkt
 
 
 def customer_ltv(
-    customers: DataFrame, orders: DataFrame, affected: DataFrame, as_of: date = DEFAULT_AS_OF
+    customers: DataFrame,
+    orders: DataFrame,
+    affected: DataFrame | None = None,
+    as_of: date = DEFAULT_AS_OF,
 ) -> DataFrame:
-    """Lifetime value of the affected customers, with or without orders.
+    """Lifetime value of the affected customers (all without ``affected``), with or without orders.
 
     Orders are summed per customer before any join, so a customer with very many orders is reduced
     before the shuffle. The restriction to affected keys is a semi-join over that aggregate:
     Spark moves it below the aggregate when the keys are small enough to broadcast and leaves it
     above otherwise.
     """
-    keys = affected.select(F.col("c_custkey").alias("_key"))
-    totals = order_totals(orders).join(keys, F.col("o_custkey") == F.col("_key"), "left_semi")
-    chosen = customers.select(*_LTV_CUSTOMER).join(
-        keys, F.col("c_custkey") == F.col("_key"), "left_semi"
-    )
+    totals, chosen = order_totals(orders), customers.select(*_LTV_CUSTOMER)
+    if affected is not None:
+        keys = affected.select(F.col("c_custkey").alias("_key"))
+        totals = totals.join(keys, F.col("o_custkey") == F.col("_key"), "left_semi")
+        chosen = chosen.join(keys, F.col("c_custkey") == F.col("_key"), "left_semi")
     joined = chosen.join(totals, F.col("c_custkey") == F.col("o_custkey"), "left")
     return _ltv_columns(joined, as_of)
 

@@ -23,6 +23,9 @@ _COMMON = {
     "nullValue": "\u0000",
     "emptyValue": "",
     "enforceSchema": "true",
+    # A quoted field may hold line breaks, so a file is read by one task: deliveries should be many
+    # files of moderate size. ``{**CSV_PIPE, "multiLine": "false"}`` splits files that have no such field.
+    "multiLine": "true",
 }
 # Bulk load: spaces are trimmed and a row with too few or too many fields aborts the load.
 CSV_BULK = {

@@ -6,29 +6,22 @@ stamps are text. The registered queries show their results in the same way.
 
 from __future__ import annotations
 
-from ..functions.classify import (
-    PRIORITY_DEFAULT,
-    PRIORITY_RANKS,
-    REVENUE_DEFAULT,
-    REVENUE_TIERS,
-    STATUS_DEFAULT,
-    STATUS_DESCRIPTIONS,
-)
-from ..operators.masking import EMAIL_HIDDEN, PHONE_HIDDEN, PHONE_PREFIX, SSN_HIDDEN
-
 AS_OF = "DATE '1998-09-02'"
 
-# The fixed values of the classifications, as lookups.
+# Fixed values, written here once more so that the checks do not depend on the code they check.
 _STATUS = (
-    f"coalesce(map {dict(STATUS_DESCRIPTIONS)}[o_orderstatus], '{STATUS_DEFAULT}')"
-)
-_RANK = "CAST(CASE {} ELSE {} END AS BIGINT)".format(
-    " ".join(
-        f"WHEN starts_with(o_orderpriority, '{prefix}') THEN {rank}"
-        for prefix, rank in PRIORITY_RANKS
-    ),
-    PRIORITY_DEFAULT,
+    "CASE o_orderstatus WHEN 'F' THEN 'FINISHED' WHEN 'O' THEN 'OPEN' WHEN 'P' THEN 'PENDING'"
+    " ELSE 'UNKNOWN' END"
 )
+_RANK = """CAST(CASE WHEN o_orderpriority LIKE '1-URGENT%' THEN 1
+                WHEN o_orderpriority LIKE '2-HIGH%' THEN 2
+                WHEN o_orderpriority LIKE '3-MEDIUM%' THEN 3
+                WHEN o_orderpriority LIKE '4-NOT SPECIFIED%' THEN 4
+                WHEN o_orderpriority LIKE '5-LOW%' THEN 5 ELSE 9 END AS BIGINT)"""
+EMAIL_HIDDEN = "***@masked.com"
+PHONE_PREFIX = "XXX-XXX-"
+PHONE_HIDDEN = "XXX-XXX-XXX"
+SSN_HIDDEN = "***-**-****"
 
 
 def _loaded_at(key: str) -> str:
@@ -265,8 +258,8 @@ def _daily(orders: str, since: str) -> str:
 
 
 def _tier(total: str) -> str:
-    branches = " ".join(f"WHEN {total} >= {bound} THEN '{tier}'" for bound, tier in REVENUE_TIERS)
-    return f"CASE {branches} ELSE '{REVENUE_DEFAULT}' END"
+    return f"""CASE WHEN {total} >= 500000 THEN 'VIP' WHEN {total} >= 100000 THEN 'GOLD'
+                    WHEN {total} >= 10000 THEN 'SILVER' ELSE 'STANDARD' END"""
 
 
 def _ltv(customers: str, orders: str, as_of: str, keys: str | None = None) -> str:
@@ -445,13 +438,31 @@ def oracle_sql() -> dict[str, str]:
                       CASE WHEN c_acctbal >= 0 THEN c_comment END AS c_comment
                FROM stg_customer""",
         ),
-        "pipe_incremental": _with(
-            {},
-            f"""SELECT {_show(ORDERS_FILE)},
-                       CAST(CASE WHEN o_orderdate < DATE '1998-01-01' THEN 0 ELSE 1 END AS BIGINT)
-                           AS _batch_id
-                FROM stg_orders""",
+        "csv_quoted_breaks": _with(
+            {
+                "broken": """
+                    SELECT * REPLACE ('one, "two"' || chr(10) || 'three,' || o_orderkey || ',x'
+                                      AS o_comment)
+                    FROM stg_orders"""
+            },
+            f"""SELECT {_show(ORDERS_FILE)}, 'bulk' AS load FROM broken
+                UNION ALL SELECT {_show(ORDERS_FILE)}, 'pipe' AS load FROM broken""",
         ),
+        "stage_listing": _with(
+            {},
+            """SELECT DISTINCT o_orderstatus AS delivery, TRUE AS has_modified,
+                      TRUE AS scanned_later FROM stg_orders""",
+        ),
+        **{
+            name: _with(
+                {},
+                f"""SELECT {_show(ORDERS_FILE)},
+                           CAST(CASE WHEN o_orderdate < DATE '1998-01-01' THEN 0 ELSE 1 END
+                                AS BIGINT) AS _batch_id
+                    FROM stg_orders""",
+            )
+            for name in ("pipe_incremental", "bulk_load_twice", "pipe_new_checkpoint")
+        },
         "pipe_lineage": _with(
             {},
             """SELECT TRUE AS has_source, TRUE AS has_modified, TRUE AS has_ingested,
@@ -476,10 +487,15 @@ def oracle_sql() -> dict[str, str]:
                            ORDER BY created_at DESC NULLS FIRST, {_ties(LINEITEM_TIES)}) AS _rank
                 FROM stg_lineitem QUALIFY _rank = 1""",
         ),
-        "orders_cdc_merge": _with(
-            _merge_expectation("orders", ORDERS_SILVER, "o_orderkey", ORDERS_BEFORE, ORDERS_AFTER),
-            f"SELECT {_show(ORDERS_SILVER)} FROM merged",
-        ),
+        **{
+            name: _with(
+                _merge_expectation(
+                    "orders", ORDERS_SILVER, "o_orderkey", ORDERS_BEFORE, ORDERS_AFTER
+                ),
+                f"SELECT {_show(ORDERS_SILVER)} FROM merged",
+            )
+            for name in ("orders_cdc_merge", "orders_merge_many_blocks")
+        },
         "customer_cdc_merge": _with(
             _merge_expectation(
                 "customer", CUSTOMER_SILVER, "c_custkey", CUSTOMER_BEFORE, CUSTOMER_AFTER
@@ -671,8 +687,17 @@ def oracle_sql() -> dict[str, str]:
                 }
             ),
         ),
-        "key_uniqueness": _with(
+        "load_probe": _with(
+            {},
+            f"SELECT {_show('o_orderkey, created_at')} FROM stg_orders WHERE o_orderkey >= 1000",
+        ),
+        "tables_by_name": _with(
             {},
+            """SELECT o_orderstatus_desc, count(*) AS order_count FROM orders_silver
+               GROUP BY 1""",
+        ),
+        "key_uniqueness": _with(
+            {**_LTV_NOW, "daily": _daily("orders_silver", "DATE '1900-01-01'")},
             _uniqueness(
                 [
                     ("orders", "stg_orders", "o_orderkey"),
@@ -680,6 +705,8 @@ def oracle_sql() -> dict[str, str]:
                     ("orders_silver", "orders_silver", "o_orderkey"),
                     ("customer_silver", "customer_silver", "c_custkey"),
                     ("lineitem_silver", "lineitem_silver", "l_orderkey, l_linenumber"),
+                    ("daily_sales_summary", "daily", "summary_date"),
+                    ("customer_ltv", "ltv", "c_custkey"),
                 ]
             ),
         ),
@@ -717,14 +744,18 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT {_show(_SENSITIVE_PLAIN)}, email, ssn_last_9,
                        CAST(phone_number AS VARCHAR) AS phone_number FROM sensitive""",
         ),
-        "masked_analyst": _with(
-            _SENSITIVE,
-            rf"""SELECT {_show(_SENSITIVE_PLAIN)},
-                        regexp_replace(email, '(^[^@]{{2}})[^@]+', '\1***') AS email,
-                        '{SSN_HIDDEN}' AS ssn_last_9,
-                        '{PHONE_PREFIX}' || right(CAST(phone_number AS VARCHAR), 4) AS phone_number
-                 FROM sensitive""",
-        ),
+        **{
+            name: _with(
+                _SENSITIVE,
+                rf"""SELECT {_show(_SENSITIVE_PLAIN)},
+                            regexp_replace(email, '(^[^@]{{2}})[^@]+', '\1***') AS email,
+                            '{SSN_HIDDEN}' AS ssn_last_9,
+                            '{PHONE_PREFIX}' || right(CAST(phone_number AS VARCHAR), 4)
+                                AS phone_number
+                     FROM sensitive""",
+            )
+            for name in ("masked_analyst", "sensitive_stored")
+        },
         "masked_viewer": _with(
             _SENSITIVE,
             f"""SELECT {_show(_SENSITIVE_PLAIN)}, '{EMAIL_HIDDEN}' AS email,
@@ -751,8 +782,11 @@ def oracle_sql() -> dict[str, str]:
         # -- functions
         "validate_contacts": _with(
             _SENSITIVE,
-            """SELECT c_custkey, c_name, FALSE AS is_valid_pn, TRUE AS is_valid_email
-               FROM sensitive""",
+            """SELECT c_custkey, c_name, c_custkey % 3 <> 0 AS is_valid_pn,
+                      c_custkey % 5 <> 0 AS is_valid_email, 'TPCH_ADMIN' AS role FROM sensitive
+               UNION ALL
+               SELECT c_custkey, c_name, FALSE AS is_valid_pn,
+                      c_custkey % 5 <> 0 AS is_valid_email, 'TPCH_ANALYST' AS role FROM sensitive""",
         ),
         "order_functions": _with({}, _ORDER_FUNCTIONS),
         "customer_functions": _with(_SENSITIVE, _CUSTOMER_FUNCTIONS),

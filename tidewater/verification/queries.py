@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,7 +43,9 @@ from ..schemas import (
     ORDERS_SILVER,
     STAGING,
     TableSpec,
+    key_range_block,
 )
+from ..sources.catalog import register_tables
 from ..sources.delimited import bulk_load
 from ..sources.given_tables import staging_table
 from ..sources.stage import staged_files
@@ -124,10 +127,16 @@ def _build_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stamped(rows, "load_timestamp")
 
 
+def _build_ltv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers, orders = _customers(spark, sf_dir), _orders(spark, sf_dir)
+    return _stamped(gold.customer_ltv(customers, orders, as_of=AS_OF), "load_timestamp")
+
+
 _BUILD = {
     "orders_silver": _build_orders,
     "customer_silver": _build_customer,
     "lineitem_silver": _build_lineitem,
+    "customer_ltv": _build_ltv,
 }
 
 
@@ -147,13 +156,8 @@ def _sensitive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return governance.customer_sensitive(_customers(spark, sf_dir))
 
 
-def _all_keys(customers: DataFrame) -> DataFrame:
-    return customers.select("c_custkey")
-
-
 def _ltv_now(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = _customers(spark, sf_dir)
-    return gold.customer_ltv(customers, _orders(spark, sf_dir), _all_keys(customers), AS_OF)
+    return cleaned(spark, sf_dir, CUSTOMER_LTV).drop("load_timestamp")
 
 
 # The two snapshots used for change capture (same rules as in the check SQL).
@@ -249,13 +253,65 @@ def csv_ragged_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(_file_columns(store.read(STAGING["customer"]), "customer"))
 
 
+def csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments with line breaks, quotes and commas, through the bulk load and the pipe."""
+    stage = scratch_dir(spark, "stage")
+    store = TableStore(spark, scratch_dir(spark, "tables"))
+    spec = STAGING["orders"]
+    comment = F.concat(F.lit('one, "two"\nthree,'), F.col("o_orderkey"), F.lit(",x"))
+    orders = staged(spark, sf_dir, "orders").withColumn("o_comment", comment)
+    _deliver(_file_columns(orders, "orders"), stage, "tpch_sf1_orders_1.csv")
+    ingest_new_files(store, spec, stage).awaitTermination()
+    loads = {"bulk": bulk_load(spark, stage, spec), "pipe": store.read(spec)}
+    bulk, pipe = (
+        _file_columns(df, "orders").withColumn("load", F.lit(name)) for name, df in loads.items()
+    )
+    return shown(bulk.unionByName(pipe))
+
+
+def bulk_load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two bulk deliveries and a run without news: the second adds to the first."""
+    stage = scratch_dir(spark, "stage")
+    store = TableStore(spark, scratch_dir(spark, "tables"))
+    orders = _file_columns(staged(spark, sf_dir, "orders"), "orders")
+    border = F.col("o_orderdate") < F.lit(date(1998, 1, 1))
+    for number, part in ((1, border), (2, ~border)):
+        _deliver(orders.filter(part), stage, f"tpch_sf1_orders_{number}.csv")
+        initial_load(store, stage, ["orders"])
+    initial_load(store, stage, ["orders"])
+    columns = [*orders.columns, BATCH_COLUMN]
+    return shown(store.read_partitioned(STAGING["orders"]).select(*columns))
+
+
+def pipe_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bulk load, then a pipe with a checkpoint of its own: its first batch replaces nothing."""
+    bulk, later = scratch_dir(spark, "stage"), scratch_dir(spark, "stage")
+    store = TableStore(spark, scratch_dir(spark, "tables"))
+    orders = _file_columns(staged(spark, sf_dir, "orders"), "orders")
+    border = F.col("o_orderdate") < F.lit(date(1998, 1, 1))
+    _deliver(orders.filter(border), bulk, "tpch_sf1_orders_1.csv")
+    _deliver(orders.filter(~border), later, "tpch_sf1_orders_1.csv")
+    initial_load(store, bulk, ["orders"])
+    ingest_new_files(store, STAGING["orders"], later).awaitTermination()
+    columns = [*orders.columns, BATCH_COLUMN]
+    return shown(store.read_partitioned(STAGING["orders"]).select(*columns))
+
+
 def stage_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder of order files per status; customers' files do not match the pattern."""
     stage = scratch_dir(spark, "stage")
-    for table in ("orders", "customer"):
-        _deliver(
-            _file_columns(staged(spark, sf_dir, table), table), stage, f"tpch_sf1_{table}_1.csv"
-        )
-    return staged_files(spark, stage, STAGING["orders"].pipe_pattern)
+    orders = _file_columns(staged(spark, sf_dir, "orders"), "orders")
+    orders.withColumn("delivery", F.col("o_orderstatus")).write.partitionBy("delivery").csv(
+        f"{stage}/tpch_sf1_orders_1.csv"
+    )
+    customers = _file_columns(staged(spark, sf_dir, "customer"), "customer")
+    _deliver(customers, stage, "tpch_sf1_customer_1.csv")
+    listed = staged_files(spark, stage, STAGING["orders"].pipe_pattern)
+    return listed.select(
+        F.regexp_extract("file_name", "delivery=([^/]+)", 1).alias("delivery"),
+        F.col("last_modified").isNotNull().alias("has_modified"),
+        (F.col("scanned_at") >= F.col("last_modified")).alias("scanned_later"),
+    ).distinct()
 
 
 def pipe_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,6 +415,18 @@ def orders_cdc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def orders_merge_many_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same merge into a table of narrow key blocks, so that many of them are replaced."""
+    narrow = replace(ORDERS_SILVER, block=key_range_block("o_orderkey", 10))
+    return _merged(
+        spark,
+        sf_dir,
+        replace(silver.ORDERS_JOB, target=narrow),
+        _orders_before(spark, sf_dir),
+        _orders_feed(spark, sf_dir),
+    )
+
+
 def customer_cdc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = _customer_before(spark, sf_dir)
     feed = table_changes(before, _customer_after(spark, sf_dir), STAGING["customer"].keys)
@@ -452,9 +520,7 @@ def customer_ltv_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         "load_timestamp", F.lit("1990-01-01 00:00:00").cast("timestamp")
     )
     early = orders.filter(F.col("o_orderdate") < F.lit(EARLY))
-    store.overwrite(
-        CUSTOMER_LTV, gold.customer_ltv(customers, early, _all_keys(customers), EARLY)
-    )
+    store.overwrite(CUSTOMER_LTV, gold.customer_ltv(customers, early, as_of=EARLY))
     store.overwrite(ORDERS_SILVER, orders)
     store.overwrite(CUSTOMER_SILVER, customers)
     gold.load_customer_ltv(store, LATE)
@@ -463,7 +529,7 @@ def customer_ltv_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_ltv_deactivate(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = _customers(spark, sf_dir)
-    ltv = gold.customer_ltv(customers, _orders(spark, sf_dir), _all_keys(customers), LATE)
+    ltv = gold.customer_ltv(customers, _orders(spark, sf_dir), as_of=LATE)
     before = ltv.withColumn("load_timestamp", F.lit("2001-08-01").cast("timestamp"))
     after = deactivate_stale(
         before, F.lit(date(2001, 10, 1)), now=F.lit("2001-10-01").cast("timestamp")
@@ -576,7 +642,30 @@ def key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
         spec.name: (tables[spec.name], spec.keys)
         for spec in (ORDERS_SILVER, CUSTOMER_SILVER, LINEITEM_SILVER)
     }
-    return profiling.key_uniqueness({**staging, **keyed})
+    reports = {
+        "daily_sales_summary": (
+            gold.daily_sales(tables["orders_silver"]),
+            DAILY_SALES_SUMMARY.keys,
+        ),
+        "customer_ltv": (_ltv_now(spark, sf_dir), CUSTOMER_LTV.keys),
+    }
+    return profiling.key_uniqueness({**staging, **keyed, **reports})
+
+
+def load_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = profiling.load_probe(staged(spark, sf_dir, "orders"), "o_orderkey", 1000)
+    return shown(probe.drop("from_source"))
+
+
+def tables_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored tables queried by name."""
+    store = TableStore(spark, scratch_dir(spark, "tables"))
+    store.overwrite(ORDERS_SILVER, _orders(spark, sf_dir))
+    register_tables(store, [ORDERS_SILVER])
+    return spark.sql(
+        "SELECT o_orderstatus_desc, count(*) AS order_count FROM analytics.orders_silver"
+        " GROUP BY o_orderstatus_desc"
+    )
 
 
 def rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -618,7 +707,25 @@ def publish_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validate_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return governance.validate_contacts(_sensitive(spark, sf_dir), "TPCH_ANALYST")
+    """Two roles; every third phone number is too short and every fifth address is none."""
+    key = F.col("c_custkey")
+    phone = F.when(key % 3 == 0, key).otherwise(key + 1_000_000_000)
+    email = F.when(key % 5 == 0, "no address").otherwise(F.col("email"))
+    contacts = governance.customer_sensitive(_customers(spark, sf_dir), phone)
+    contacts = contacts.withColumn("email", email)
+    admin, analyst = (
+        governance.validate_contacts(contacts, role).withColumn("role", F.lit(role))
+        for role in ("TPCH_ADMIN", "TPCH_ANALYST")
+    )
+    return admin.unionByName(analyst)
+
+
+def sensitive_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored sensitive table through its accessor."""
+    store = TableStore(spark, scratch_dir(spark, "tables"))
+    store.overwrite(CUSTOMER_SILVER, _customers(spark, sf_dir))
+    governance.build_customer_sensitive(store)
+    return shown(governance.read_sensitive(store, "TPCH_ANALYST"))
 
 
 def order_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -721,8 +828,11 @@ def queries() -> dict[str, Query]:
     named = (
         csv_bulk_load,
         csv_ragged_load,
+        csv_quoted_breaks,
+        bulk_load_twice,
         stage_listing,
         pipe_incremental,
+        pipe_new_checkpoint,
         pipe_lineage,
         layout_pruned_scan,
         orders_silver_full,
@@ -730,6 +840,7 @@ def queries() -> dict[str, Query]:
         lineitem_silver_full,
         lineitem_version_rank,
         orders_cdc_merge,
+        orders_merge_many_blocks,
         customer_cdc_merge,
         lineitem_cdc_merge,
         orders_change_feed,
@@ -759,7 +870,10 @@ def queries() -> dict[str, Query]:
         null_counts,
         key_uniqueness,
         rule_violations,
+        load_probe,
+        tables_by_name,
         customer_sensitive,
+        sensitive_stored,
         vw_customer_public,
         vw_customer_summary,
         publish_views,
