@@ -8,6 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidewater.operators import store as store_module
+from tidewater.operators.pending import PendingSwap
 from tidewater.schemas import CUSTOMER_LTV, CUSTOMER_SENSITIVE, STAGING, key_range_block
 from tidewater.sources.catalog import register_tables
 
@@ -113,6 +114,63 @@ def test_files_without_the_added_columns_read_as_null(spark, store):
     ]
 
 
+def interrupted_moves(monkeypatch, after):
+    """Let ``after`` moves into the table succeed and the next one fail between delete and rename."""
+    move, done = PendingSwap._move, []
+
+    def failing(swap, old, new):
+        if new.startswith(swap.table):
+            if len(done) == after:
+                raise OSError("driver lost")
+            done.append(new)
+        move(swap, old, new)
+
+    monkeypatch.setattr(PendingSwap, "_move", failing)
+
+
+@pytest.mark.parametrize("after", [0, 1, 2])
+def test_interrupted_merge_is_finished_once(spark, store, monkeypatch, after):
+    store.overwrite(SPEC, ltv(spark, range(12)))
+    with monkeypatch.context() as patch:
+        interrupted_moves(patch, after)
+        with pytest.raises(OSError):
+            merge(store, ltv(spark, [1, 5, None], "m"), offset=("consumer", 7))
+    store.recover(SPEC)
+    names = [tuple(r) for r in store.read(SPEC).select("c_custkey", "c_name").collect()]
+    expected = [(k, f"{'m' if k in (1, 5) else 'n'}{k}") for k in range(12)] + [(None, "mNone")]
+    assert sorted(names, key=str) == sorted(expected, key=str)
+    assert [r[0] for r in spark.read.parquet(store.control_path("offsets/consumer")).select("upto").collect()] == [7]
+    store.recover(SPEC)
+    assert store.read(SPEC).count() == 13
+
+
+def test_interrupted_delete_and_overwrite_are_finished(spark, store, monkeypatch):
+    store.overwrite(SPEC, ltv(spark, range(10)))
+    with monkeypatch.context() as patch:
+        interrupted_moves(patch, 0)
+        with pytest.raises(OSError):
+            store.delete_where(SPEC, F.col("c_custkey").between(3, 7))
+    assert merge(store, ltv(spark, [20])).inserted == 1
+    assert sorted(r.c_custkey for r in store.read(SPEC).collect()) == [0, 1, 2, 8, 9, 20]
+    with monkeypatch.context() as patch:
+        interrupted_moves(patch, 0)
+        with pytest.raises(OSError):
+            store.overwrite(SPEC, ltv(spark, [30]))
+    store.recover(SPEC)
+    assert rows(store.read(SPEC), "c_custkey") == [(30,)]
+
+
+def test_write_that_never_was_ready_leaves_the_table(spark, store, monkeypatch):
+    store.overwrite(SPEC, ltv(spark, range(4)))
+    with monkeypatch.context() as patch:
+        patch.setattr(PendingSwap, "mark_ready", lambda *_: (_ for _ in ()).throw(OSError("driver lost")))
+        with pytest.raises(OSError):
+            store.overwrite(SPEC, ltv(spark, [9]))
+    store.recover(SPEC)
+    assert rows(store.read(SPEC), "c_custkey") == [(0,), (1,), (2,), (3,)]
+    assert not any(names for _, _, names in os.walk(store.control_path("pending")))
+
+
 def test_staging_delete(spark, store):
     spec = STAGING["region"]
     for batch in (0, 1):

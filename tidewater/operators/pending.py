@@ -1,0 +1,84 @@
+"""Replacing partitions of a stored table in steps that can be repeated after a lost driver."""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Sequence
+
+from pyspark.sql import SparkSession
+
+
+class PendingSwap:
+    """Partitions written beside a table and then moved into it.
+
+    Spark writes ``rows``; ``ready`` appears last and by a rename, so it is there whole or not at
+    all. A folder without it never happened. One with it is moved into the table, and each move can
+    be repeated: a partition is waiting in ``rows`` until it is in the table. No row is written twice.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, table: str):
+        self.spark = spark
+        self.folder = folder
+        self.table = table
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        self._fs = self._path(folder).getFileSystem(conf)
+
+    @property
+    def rows(self) -> str:
+        return f"{self.folder}/rows"
+
+    @classmethod
+    def left_in(cls, spark: SparkSession, parent: str, table: str) -> list[PendingSwap]:
+        """Folders that interrupted writes left."""
+        found = cls(spark, parent, table)
+        return [cls(spark, f"{parent}/{name}", table) for name in found._names(parent)]
+
+    def partitions(self) -> list[str]:
+        """Folder names of the partitions still waiting."""
+        return [name for name in self._names(self.rows) if "=" in name]
+
+    def mark_ready(self, note: dict) -> None:
+        draft = f"{self.folder}/draft"
+        out = self._fs.create(self._path(draft), True)
+        out.writeBytes(json.dumps(note))
+        out.close()
+        self._move(draft, f"{self.folder}/ready")
+
+    def note(self) -> dict | None:
+        """What was noted when the rows were ready; None if they are not."""
+        path = f"{self.folder}/ready"
+        if not self._fs.exists(self._path(path)):
+            return None
+        return json.loads(self.spark.read.text(path, wholetext=True).first()[0])
+
+    def replace_table(self) -> None:
+        if self._fs.exists(self._path(self.rows)):
+            self._delete(self.table)
+            self._fs.mkdirs(self._path(self.table).getParent())
+            self._move(self.rows, self.table)
+        self.spark.catalog.refreshByPath(self.table)
+
+    def replace_partitions(self, emptied: Sequence[str]) -> None:
+        self._fs.mkdirs(self._path(self.table))
+        for name in emptied:
+            self._delete(f"{self.table}/{name}")
+        for name in self.partitions():
+            self._delete(f"{self.table}/{name}")
+            self._move(f"{self.rows}/{name}", f"{self.table}/{name}")
+        self.spark.catalog.refreshByPath(self.table)
+
+    def discard(self) -> None:
+        self._delete(self.folder)
+
+    def _names(self, path: str) -> list[str]:
+        if not self._fs.exists(self._path(path)):
+            return []
+        return [s.getPath().getName() for s in self._fs.listStatus(self._path(path))]
+
+    def _delete(self, path: str) -> None:
+        self._fs.delete(self._path(path), True)
+
+    def _move(self, old: str, new: str) -> None:
+        if not self._fs.rename(self._path(old), self._path(new)):
+            raise OSError(f"could not move {old} to {new}")

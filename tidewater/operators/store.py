@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -13,6 +14,7 @@ from pyspark.sql.types import LongType, StringType, StructType
 
 from ..schemas import BATCH_COLUMN, TableSpec
 from .merge import INSERTED, MERGE_FLAG, UPDATED, delete_where, update_where, upsert
+from .pending import PendingSwap
 
 _BATCHES = StructType().add("load", StringType()).add("batch", LongType()).add("number", LongType())
 # A full overwrite drops all old partitions, whatever the session's mode.
@@ -64,16 +66,16 @@ class TableStore:
 
     def create(self, spec: TableSpec, replace: bool = False) -> None:
         """Create the table without rows; an existing one is kept unless ``replace``."""
+        self.recover(spec)
         schema = StructType(spec.read_schema.fields).add(spec.partition_column, LongType())
         mode = "overwrite" if replace else "ignore"
         empty = empty_rows(self.spark, schema)
         empty.write.mode(mode).options(**_STATIC).partitionBy(spec.partition_column).parquet(self.path(spec))
 
     def overwrite(self, spec: TableSpec, df: DataFrame) -> None:
-        """Replace all rows."""
-        self._clustered(spec, self._conform(spec, df)).write.mode("overwrite").options(
-            **_STATIC
-        ).partitionBy(spec.partition_column).parquet(self.path(spec))
+        """Replace all rows. The old ones stay until the new ones are written."""
+        self.recover(spec)
+        self._replace(spec, self._clustered(spec, self._conform(spec, df)), whole=True)
 
     def write_batch(self, spec: TableSpec, df: DataFrame, batch_id: int) -> None:
         """Store one load of a staging table. Repeating a batch replaces it."""
@@ -110,15 +112,21 @@ class TableStore:
         on_update: Mapping[str, Column] | None = None,
         on_insert: Mapping[str, Column] | None = None,
         keys_from: DataFrame | None = None,
+        offset: tuple[str, int] | None = None,
     ) -> MergeCounts:
         """Upsert ``source`` and rewrite the blocks it touches.
 
         ``keys_from`` is a cheaper DataFrame holding (at least) the source's keys, used to find
-        those blocks. The write replaces partitions only at job commit, so the table can be read in
-        the same job, and repeating an interrupted merge gives the same rows.
+        those blocks. Partitions are replaced only after the job, so the table can be read in it,
+        and an interrupted merge is either finished by ``recover`` or has not happened. ``offset``
+        (consumer, batch) is committed with the rows: a consumer that recovers first never applies
+        a batch twice, NULL keys included.
         """
+        self.recover(spec)
         blocks = self._blocks_of(spec, source if keys_from is None else keys_from)
         if blocks == []:
+            if offset:
+                self.commit_offset(*offset)
             return MergeCounts()
         target = self._only_blocks(spec, blocks).select(*spec.columns.names)
         merged = upsert(target, source, spec.keys, update, insert, on_update, on_insert)
@@ -130,41 +138,61 @@ class TableStore:
             F.count(F.when(F.col(MERGE_FLAG) == INSERTED, 1)).alias("inserted"),
             F.count(F.when(F.col(MERGE_FLAG) == UPDATED, 1)).alias("updated"),
         )
-        self._replace_blocks(spec, counted.drop(MERGE_FLAG))
+        self._replace(spec, counted.drop(MERGE_FLAG), offset=offset)
         return _observed(counts)
 
     def update_where(
         self, spec: TableSpec, condition: Column, values: Mapping[str, Column]
     ) -> int:
         """Set ``values`` where ``condition`` holds; returns the number of rows changed."""
+        self.recover(spec)
         hits = self.read_partitioned(spec).filter(condition)
         blocks, affected = self._blocks_and_count(spec, hits)
         if affected:
             rows = self._only_blocks(spec, blocks).select(*spec.columns.names)
             changed = update_where(rows, condition, values)
-            self._replace_blocks(spec, self._clustered(spec, changed))
+            self._replace(spec, self._clustered(spec, changed))
         return affected
 
     def delete_where(self, spec: TableSpec, condition: Column) -> int:
         """Delete the rows where ``condition`` holds; returns how many there were."""
+        self.recover(spec)
         hits = self.read_partitioned(spec).filter(condition)
         blocks, affected = self._blocks_and_count(spec, hits)
         if not affected:
             return 0
         survivors = delete_where(self._only_blocks(spec, blocks), condition)
-        filled = {r[0] for r in survivors.select(spec.partition_column).distinct().collect()}
-        self._replace_blocks(spec, self._clustered(spec, survivors, keep_partition=True))
-        empty = empty_rows(self.spark, spec.read_schema)
-        for block in blocks:
-            if block not in filled:  # a partition without rows is not replaced by the write above
-                value = "__HIVE_DEFAULT_PARTITION__" if block is None else block
-                empty.write.mode("overwrite").parquet(
-                    f"{self.path(spec)}/{spec.partition_column}={value}"
-                )
+        clustered = self._clustered(spec, survivors, keep_partition=True)
+        self._replace(spec, clustered, touched=blocks)
         return affected
 
+    # -- interrupted writes --------------------------------------------------------------------
+
+    def recover(self, spec: TableSpec) -> None:
+        """Finish a write that was ready when its driver was lost, and drop one that was not.
+
+        Every write does this first. It is for the table's one writer: a reader must not call it.
+        """
+        for swap in PendingSwap.left_in(self.spark, self._pending(spec), self.path(spec)):
+            note = swap.note()
+            if note is None:
+                swap.discard()
+            else:
+                self._finish(swap, note)
+
+    def commit_offset(self, consumer: str, upto: int) -> None:
+        """Note that a feed's consumer has applied all batches up to ``upto``."""
+        self.spark.range(1).select(
+            F.lit(consumer).alias("consumer"),
+            F.lit(upto).cast("bigint").alias("upto"),
+            F.current_timestamp().alias("at"),
+        ).write.mode("append").parquet(self.control_path(f"offsets/{consumer}"))
+
     # -- helpers -------------------------------------------------------------------------------
 
+    def _pending(self, spec: TableSpec) -> str:
+        return self.control_path(f"pending/{spec.layer}/{spec.name}")
+
     def _conform(self, spec: TableSpec, df: DataFrame) -> DataFrame:
         """The spec's columns in order and type; columns the input lacks are NULL."""
         have = set(df.columns)
@@ -182,10 +210,35 @@ class TableStore:
             df = df.withColumn(column, spec.block())
         return df.hint("rebalance", column).sortWithinPartitions(column, *spec.cluster_by)
 
-    def _replace_blocks(self, spec: TableSpec, clustered: DataFrame) -> None:
-        clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            spec.partition_column
-        ).parquet(self.path(spec))
+    def _replace(
+        self,
+        spec: TableSpec,
+        clustered: DataFrame,
+        touched: Sequence[int | None] = (),
+        whole: bool = False,
+        offset: tuple[str, int] | None = None,
+    ) -> None:
+        """Put the rows in place of their partitions, or of the whole table.
+
+        A ``touched`` block that got no rows is removed.
+        """
+        swap = PendingSwap(self.spark, f"{self._pending(spec)}/{uuid4().hex}", self.path(spec))
+        clustered.write.partitionBy(spec.partition_column).parquet(swap.rows)
+        values = ["__HIVE_DEFAULT_PARTITION__" if b is None else b for b in touched]
+        names = {f"{spec.partition_column}={v}" for v in values}
+        emptied = sorted(names.difference(swap.partitions()))
+        note = {"whole": whole, "emptied": emptied, "offset": offset}
+        swap.mark_ready(note)
+        self._finish(swap, note)
+
+    def _finish(self, swap: PendingSwap, note: dict) -> None:
+        if note["whole"]:
+            swap.replace_table()
+        else:
+            swap.replace_partitions(note["emptied"])
+        if note["offset"]:
+            self.commit_offset(*note["offset"])
+        swap.discard()
 
     def _blocks_of(self, spec: TableSpec, rows: DataFrame) -> list[int | None]:
         """Blocks the rows fall into: no more than the partitions that are to be listed and replaced."""

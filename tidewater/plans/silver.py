@@ -240,9 +240,12 @@ def apply_changes(
     changes: DataFrame,
     now: Column | None = None,
     keep_feed: bool = False,
+    offset: tuple[str, int] | None = None,
 ) -> MergeCounts:
     """Upsert the insert images of a feed. Deletes in the source never remove cleaned rows.
 
+    ``offset`` (consumer, batch) is committed together with the rows.
+
     The feed is read twice, once for its keys only. Reading staged batches twice is cheap; for a
     feed that is computed, as a snapshot difference is, ``keep_feed`` persists it in between.
     """
@@ -261,6 +264,7 @@ def apply_changes(
             on_update={job.stamp: stamp},
             on_insert={job.stamp: stamp},
             keys_from=images.select(*job.target.keys),
+            offset=offset,
         )
     finally:
         if keep_feed:
@@ -268,13 +272,12 @@ def apply_changes(
 
 
 def merge_changes(store: TableStore, job: SilverJob, now: Column | None = None) -> JobResult:
-    """Apply what is waiting in the job's feed, then move the feed forward."""
-    feed = job.feed(store)
-    pending = feed.pending()
+    """Apply what is waiting in the job's feed and move the feed forward, both or neither."""
+    store.recover(job.target)
+    pending = job.feed(store).pending()
     if not pending.count:
         return JobResult(0, f"{job.target.name}: no waiting changes")
-    counts = apply_changes(store, job, pending.rows, now)
-    feed.commit(pending.upto)
+    counts = apply_changes(store, job, pending.rows, now, offset=(job.feed_name, pending.upto))
     return JobResult(
         counts.affected,
         f"{job.target.name}: {counts.affected} rows affected from {pending.count} change rows",

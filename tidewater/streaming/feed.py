@@ -32,8 +32,8 @@ class ChangeFeed:
     """Rows added to a staging table since the consumer last committed.
 
     Loads are partitions of the table, so reading the feed lists and opens only new partitions.
-    Offsets are appended after the rows were applied: a job that fails in between gets the same
-    rows again, which its upsert turns into the same result.
+    Offsets are appended after the rows were applied. A merge that is given the offset commits it
+    with its rows; any other consumer that fails in between gets the same rows again.
     """
 
     def __init__(self, store: TableStore, spec: TableSpec, consumer: str):
@@ -74,9 +74,4 @@ class ChangeFeed:
         return Pending(append_feed(rows.drop(BATCH_COLUMN), self.spec.keys), count, upto)
 
     def commit(self, upto: int) -> None:
-        self.store.spark.range(1).select(
-            F.lit(self.consumer).alias("consumer"),
-            F.lit(upto).cast("bigint").alias("upto"),
-            F.current_timestamp().alias("at"),
-        ).write.mode("append").parquet(self._offset_path)
-
+        self.store.commit_offset(self.consumer, upto)
