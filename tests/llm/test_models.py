@@ -213,3 +213,19 @@ def test_nearest(spark, rows, dims):
         total += len(order)
     assert hits / total >= 0.9
     assert posting_lists.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_recall_holds_without_clusters_and_with_many_lists(spark, monkeypatch):
+    monkeypatch.setattr(posting_lists, "AIMED_ROWS", 8)
+    n = 12_000
+    x = np.random.default_rng(9).normal(size=(n, 48))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for row in posting_lists.nearest(frame, F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(row.query_id, set()).add(row.vec_id)
+    hits = 0
+    for q in range(0, n, 100):
+        d = ((x - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hits += len(got[q] & set(np.argsort(d)[:10].tolist()))
+    assert hits / (n // 10) >= 0.9

@@ -4,7 +4,11 @@ Centroids come from a balanced clustering of a bounded sample: sets are halved a
 get equal shares. They are few (``MAX_LISTS`` at most) and searched through an in-memory neighbour graph, by beam
 search. Every vector goes to its nearest list, and a vector near a boundary also to up to ``REPLICAS`` - 1 further
 ones that are not much farther. A query takes the lists whose centroids are within a distance ratio of its nearest,
-``PROBES`` at most. Distances in a list are exact.
+up to a number of them. Distances in a list are exact.
+
+That number and the ratio are measured, not fixed: ``CALIBRATION`` queries are compared with all vectors, and both grow
+from ``PROBES`` and ``PROBE_RATIO`` until the lists hold ``RECALL`` of their true neighbours, up to all lists. The beam
+is at least as wide. Vectors without clusters so get as many lists as they need at every size.
 
 Equal vectors are one entry with their smallest ids: no query needs more of them than it wants neighbours, so a very
 common vector costs nothing. A list longer than ``LIST_ROWS`` is cut into parts, and so are the queries that come to
@@ -31,8 +35,12 @@ SAMPLE_ROWS, SAMPLE_VALUES = 20_000, 4_000_000
 #: Vectors aimed at in a list, and the bounds of the number of lists.
 AIMED_ROWS, MAX_LISTS = 256, 2048
 REPLICAS, REPLICA_RATIO = 4, 1.15
+#: The least that a query takes; more if that does not hold this share of the true neighbours of so many queries.
 PROBES, PROBE_RATIO = 64, 1.6
+RECALL, CALIBRATION = 0.97, 256
 DEGREE, BEAM, ENTRIES = 24, 96, 8
+#: Centroids opened in one step are this part of the beam.
+_OPENED_PART = 32
 LIST_ROWS = 4000
 
 
@@ -66,6 +74,7 @@ class Centroids:
 
     def __init__(self, centroids: np.ndarray):
         self.points = centroids
+        self.probes, self.ratio = PROBES, PROBE_RATIO
         k = len(centroids)
         near = np.argsort(_squares(centroids, centroids), axis=1, kind="stable")[:, 1 : DEGREE + 1]
         # besides the nearest, a few far links keep the graph in one piece
@@ -79,6 +88,11 @@ class Centroids:
         n, k = len(queries), len(self.points)
         beam = min(max(BEAM, want), k)
         rows = np.arange(n)[:, None]
+        if beam == k:  # the graph leaves out nothing
+            far = np.maximum(_squares(queries, self.points), 0)
+            best = np.argsort(far, axis=1, kind="stable")[:, :want]
+            return best, np.sqrt(np.take_along_axis(far, best, 1))
+        width = max(1, beam // _OPENED_PART)
         seen = np.zeros((n, k), bool)
         ids = np.zeros((n, beam), int)
         far = np.full((n, beam), np.inf)
@@ -100,11 +114,11 @@ class Centroids:
             best = np.argsort(all_far, axis=1, kind="stable")[:, :beam]
             ids, far, opened = (np.take_along_axis(x, best, 1) for x in (all_ids, all_far, all_open))
             waiting = np.where(opened | np.isinf(far), np.inf, far)
-            nexts = waiting.argmin(1)
-            if np.isinf(waiting[rows[:, 0], nexts]).all():
+            nexts = np.argpartition(waiting, width - 1, axis=1)[:, :width] if width > 1 else waiting.argmin(1)[:, None]
+            if np.isinf(waiting[rows, nexts]).all():
                 break
-            opened[rows[:, 0], nexts] = True
-            new = self.links[ids[rows[:, 0], nexts]]
+            opened[rows, nexts] = True
+            new = self.links[ids[rows, nexts]].reshape(n, -1)
         return ids[:, :want], np.sqrt(far[:, :want])
 
     def lists_for(self, vectors: np.ndarray) -> list[list[int]]:
@@ -122,8 +136,33 @@ class Centroids:
 
     def lists_of_query(self, vectors: np.ndarray) -> list[list[int]]:
         """Lists to search for each query."""
-        ids, far = self.search(vectors, PROBES)
-        return [[j for j, dj in zip(i, d) if dj <= PROBE_RATIO * d[0] or j == i[0]] for i, d in zip(ids.tolist(), far.tolist())]
+        ids, far = self.search(vectors, self.probes)
+        return [[j for j, dj in zip(i, d) if dj <= self.ratio * d[0] or j == i[0]] for i, d in zip(ids.tolist(), far.tolist())]
+
+    def calibrate(self, vectors: np.ndarray, held: list[list[list[int]]]) -> float:
+        """Set ``probes`` and ``ratio`` so that the lists of the queries hold ``RECALL`` of their neighbours; the share they hold.
+
+        ``held`` has the lists of each true neighbour of each query.
+        """
+        k = len(self.points)
+        far = np.sqrt(np.maximum(_squares(vectors, self.points), 0))
+        order = np.argsort(far, axis=1, kind="stable")
+        place = np.empty_like(order)
+        np.put_along_axis(place, order, np.arange(k)[None, :].repeat(len(vectors), 0), 1)
+        needed = [(int(place[q][lists].min()), float(far[q][lists].min() / max(far[q].min(), 1e-300))) for q, near in enumerate(held) for lists in near]
+        if not needed:
+            return 1.0
+        places, ratios = (np.array(x) for x in zip(*needed, strict=True))
+        last = math.ceil((1 + RECALL) / 2 * len(needed)) - 1  # the ratio may cost half of what may be missed
+        self.ratio = max(PROBE_RATIO, float(np.sort(ratios)[last]) * (1 + 1e-9))
+        fits = np.where(ratios <= self.ratio, places, k)
+        self.probes = min(k, max(PROBES, 1 + int(np.sort(fits)[math.ceil(RECALL * len(needed)) - 1])))
+        while True:
+            taken = [set(x) for lo in range(0, len(vectors), 64) for x in self.lists_of_query(vectors[lo : lo + 64])]
+            share = sum(not taken[q].isdisjoint(lists) for q, near in enumerate(held) for lists in near) / len(needed)
+            if share >= RECALL or self.probes >= k:
+                return share
+            self.probes = min(k, math.ceil(1.1 * self.probes))  # the beam had missed some
 
 
 def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -169,6 +208,38 @@ def _placed(rows: DataFrame, centroids: Centroids, queries: bool) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def calibrate(centroids: Centroids, entries: DataFrame, index: DataFrame, queries: DataFrame, want: int) -> None:
+    """Fit the centroids' probes to a bounded sample of the queries, which is compared with all entries."""
+    some = queries.orderBy(F.xxhash64(F.lit("calibrate"), "query"), "query").limit(CALIBRATION).select("query", "vector").toArrow()
+    if not some.num_rows:
+        return
+    names, y = some.column("query").to_numpy(), matrix(some.column("vector"))
+
+    def run(batches):
+        near = np.full((len(y), want), np.inf)
+        ids = np.full((len(y), want), -1, np.int64)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 4096):
+                part = batch.slice(lo, 4096)
+                entry = part.column(0).to_numpy()
+                square = _squares(y, matrix(part.column(1)))
+                square[names[:, None] == entry[None, :]] = np.inf
+                all_near = np.concatenate([near, square], 1)
+                all_ids = np.concatenate([ids, np.broadcast_to(entry, square.shape)], 1)
+                best = np.argpartition(all_near, want - 1, axis=1)[:, :want]
+                near, ids = np.take_along_axis(all_near, best, 1), np.take_along_axis(all_ids, best, 1)
+        q, at = np.nonzero(np.isfinite(near))
+        yield pa.RecordBatch.from_arrays([pa.array(q.astype(np.int32)), pa.array(ids[q, at]), pa.array(near[q, at])], names=["q", "entry", "square"])
+
+    rank = F.row_number().over(Window.partitionBy("q").orderBy("square", "entry"))
+    true = entries.select("entry", "vector").mapInArrow(run, "q int, entry long, square double").withColumn("n", rank).where(F.col("n") <= want).select("q", "entry")
+    true = F.broadcast(written(entries.sparkSession, true, "true-neighbours"))  # at most CALIBRATION * want rows
+    held: list[list[list[int]]] = [[] for _ in names]
+    for row in index.join(true, "entry").groupBy("q", "entry").agg(F.collect_list("list").alias("lists")).collect():
+        held[row.q].append(row.lists)
+    centroids.calibrate(y, held)
+
+
 def _nearest_in(want: int):
     """Search of one part of a list for one part of its queries."""
 
@@ -212,6 +283,7 @@ def nearest(embeddings: DataFrame, is_query: Column, want: int = NEIGHBOURS, id_
     asked = written(spark, asked, "queries")
     one_each = asked.groupBy("query").agg(F.first("vector").alias("vector"))
     index = written(spark, _placed(entries, centroids, False).withColumn("list", F.explode("lists")).drop("lists"), "index")
+    calibrate(centroids, entries, index, one_each, want)
     queries = written(spark, _placed(one_each, centroids, True).withColumn("list", F.explode("lists")).drop("lists"), "probes")
     # One row per list: at most MAX_LISTS.
     sizes = index.groupBy("list").agg(F.ceil(F.count("*") / LIST_ROWS).cast("int").alias("index_parts")).join(
