@@ -229,3 +229,13 @@ def test_recall_holds_without_clusters_and_with_many_lists(spark, monkeypatch):
         d[q] = np.inf
         hits += len(got[q] & set(np.argsort(d)[:10].tolist()))
     assert hits / (n // 10) >= 0.9
+
+
+@pytest.mark.parametrize("fp_tokens", [0, 10])
+def test_every_frequent_token_can_make_a_rule(spark, monkeypatch, fp_tokens):
+    monkeypatch.setattr(url_rules, "FP_TOKENS", fp_tokens, raising=False)
+    filler = [(f"f{i}-{k}", [f"path:common{i}", "host:com"], "allow" if k % 2 else "block") for i in range(80) for k in range(8)]
+    rare = [(f"r{k}", ["path:rare", "host:com"], "block") for k in range(5)]
+    pairs = [(f"p{i}{j}{k}", [t for t, h in (("path:left", i), ("path:right", j)) if h] + ["host:com"], "block" if i and j else "allow" if k % 2 else "block") for i in (0, 1) for j in (0, 1) for k in range(20)]
+    got = {(tuple(x["items"]), x.verdict) for x in url_rules.mine(spark.createDataFrame(filler + rare + pairs, "url string, tokens array<string>, verdict string")).collect()}
+    assert got == {(("path:rare",), "block"), (("path:left", "path:right"), "block")}

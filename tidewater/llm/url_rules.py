@@ -2,8 +2,9 @@
 
 Hand-written rules (host with its subdomains, path prefix) are applied first; the longest that fits decides. For the
 rest, rules are learned: a labelled URL is a set of tokens (host labels and their words, path words) with its label,
-and Spark's FP-growth finds token combinations that go with it. Rules below the support and confidence bounds are
-pruned, and so are rules that hold a stronger or equal rule. A rule is filed under its rarest token; URLs
+and Spark's FP-growth finds token combinations that go with it. Every token that reaches the support bound takes part;
+where a URL has very many of them, a levelwise join finds the same rules. Rules hold at most ``MAX_RULE_TOKENS`` tokens.
+Rules below the support and confidence bounds are pruned, and so are rules that hold a stronger or equal rule. A rule is filed under its rarest token; URLs
 that share a token combination are matched once, by joining their tokens with that index and checking the rest of
 the rule. A URL is blocked if its strongest matching rule says so, and allowed if none matches.
 
@@ -17,6 +18,7 @@ rows and learns no rules; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
@@ -37,10 +39,9 @@ SAMPLE_ROWS = 20_000
 MIN_SUPPORT = 0.005
 MIN_CONFIDENCE = 0.9
 MAX_RULE_TOKENS = 4
-#: Tokens that can take part in rules, the commonest first, and how many of them a labelled URL brings along:
-#: together they bound the combinations that FP-growth can meet.
-VOCABULARY, TOKENS_PER_URL = 64, 10
-MAX_RULES = 500
+#: FP-growth lists every combination of a URL's frequent tokens, of any length. If a URL has more than so many of
+#: them, combinations are counted level by level instead, up to ``MAX_RULE_TOKENS``, with the same rules.
+FP_TOKENS = 10
 _LABELS = {"block": "label:block", "allow": "label:allow"}
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -83,31 +84,56 @@ def mine(labelled: DataFrame) -> DataFrame:
     share = min(1.0, SAMPLE_ROWS / max(1, labelled.count()))
     sample = labelled.where(F.pmod(F.xxhash64(F.lit("sample"), "url"), F.lit(1_000_000)) < int(share * 1_000_000))
     distinct = written(spark, sample.groupBy("url", "verdict").agg(F.first("tokens").alias("tokens")), "labelled-urls")
+    least = math.ceil(MIN_SUPPORT * distinct.count())
     counts = distinct.select(F.explode("tokens").alias("token")).groupBy("token").count()
-    common = [r.token for r in counts.orderBy(F.desc("count"), "token").limit(VOCABULARY).collect()]
+    common = [r.token for r in counts.where(F.col("count") >= least).orderBy(F.desc("count"), "token").collect()]  # at most tokens per URL / MIN_SUPPORT
+    baskets = written(spark, distinct.select(F.array_sort(F.filter("tokens", lambda x: x.isin(common))).alias("tokens"), "verdict"), "baskets")
+    longest = baskets.agg(F.max(F.size("tokens")).alias("n")).first().n or 0
+    found = by_fp_growth(baskets) if longest <= FP_TOKENS else by_levels(baskets, least)
+    rarest = F.element_at(F.array_sort(F.transform("items", lambda x: F.struct(F.array_position(_strings(common), x).alias("n"), x.alias("token")))), -1)["token"]
+    ruled = written(spark, found.select("*", rarest.alias("token")).coalesce(1), "rules")
+    # A rule's parts are looked up by equality: less than 2 ** MAX_RULE_TOKENS of them.
+    parts = ruled.where(F.size("items") > 1).select("items", "confidence", F.explode(F.expr("sequence(1, shiftleft(1, size(items)) - 2)")).alias("mask"))
+    parts = parts.select("items", "confidence", F.expr("filter(items, (x, i) -> (shiftright(mask, i) & 1) = 1)").alias("part"))
+    smaller = ruled.select(F.col("items").alias("part"), F.col("confidence").alias("part_confidence"))
+    redundant = parts.join(smaller, "part").where(F.col("part_confidence") >= F.col("confidence")).select("items").distinct()
+    return ruled.join(redundant, "items", "left_anti")
+
+
+def by_fp_growth(baskets: DataFrame) -> DataFrame:
+    """(items, verdict, confidence, support) of all rules in (tokens, verdict) rows, from FP-growth."""
     label = F.when(F.col("verdict") == "block", _LABELS["block"]).otherwise(_LABELS["allow"])
-    chosen = F.slice(F.array_intersect(_strings(common), F.col("tokens")), 1, TOKENS_PER_URL)
-    baskets = distinct.select(F.concat(chosen, F.array(label)).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=MIN_SUPPORT, minConfidence=MIN_CONFIDENCE).fit(baskets)
-    rarest = F.element_at(F.array_sort(F.transform("antecedent", lambda x: F.struct(F.array_position(_strings(common), x).alias("n"), x.alias("token")))), -1)["token"]
-    ruled = (
+    model = FPGrowth(itemsCol="items", minSupport=MIN_SUPPORT, minConfidence=MIN_CONFIDENCE).fit(baskets.select(F.concat("tokens", F.array(label)).alias("items")))
+    return (
         model.associationRules.where(F.col("consequent")[0].isin(*_LABELS.values()))
         .where(~F.arrays_overlap("antecedent", _strings(_LABELS.values())))
         .where(F.size("antecedent") <= MAX_RULE_TOKENS)
-        .select(F.array_sort("antecedent").alias("items"), F.substring(F.col("consequent")[0], 7, 9).alias("verdict"), "confidence", "support", rarest.alias("token"))
+        .select(F.array_sort("antecedent").alias("items"), F.substring(F.col("consequent")[0], 7, 9).alias("verdict"), "confidence", "support")
     )
-    ruled = written(spark, ruled.coalesce(1), "rules")
-    weaker, stronger = ruled.alias("a"), ruled.alias("b")
-    # A rule's parts are looked up by equality: at most 2 ** MAX_RULE_TOKENS of them.
-    parts = weaker.select("items", "confidence", F.explode("items").alias("one"))
-    smaller = stronger.select(F.col("items").alias("part"), F.col("confidence").alias("part_confidence"), F.explode("items").alias("one"))
-    redundant = (
-        parts.join(smaller, "one")
-        .where((F.size("part") < F.size("items")) & (F.size(F.array_except("part", "items")) == 0) & (F.col("part_confidence") >= F.col("confidence")))
-        .select("items")
-        .distinct()
-    )
-    return ruled.join(redundant, "items", "left_anti").orderBy(F.desc("confidence"), F.desc("support"), "items").limit(MAX_RULES)
+
+
+def by_levels(baskets: DataFrame, least: int) -> DataFrame:
+    """The rules of ``by_fp_growth``, less some that hold a rule of confidence 1: combinations grow by one token a level.
+
+    A combination is extended only while one verdict has it often enough, and no verdict has it alone.
+    """
+    spark = baskets.sparkSession
+    n = baskets.count()
+    verdict = F.when(F.col("verdict") == "block", "block").otherwise("allow")
+    alike = written(spark, baskets.groupBy("tokens", verdict.alias("verdict")).agg(F.count("*").alias("times")), "alike")
+    level = alike.select("*", F.array().cast("array<string>").alias("items"))
+    found = None
+    for _ in range(MAX_RULE_TOKENS):
+        later = F.filter("tokens", lambda x: (F.size("items") == 0) | (x > F.coalesce(F.get("items", F.size("items") - 1), F.lit(""))))
+        longer = level.select("tokens", "verdict", "times", "items", F.explode(later).alias("last")).withColumn("items", F.concat("items", F.array("last"))).drop("last")
+        tally = longer.groupBy("items").agg(F.sum("times").alias("both"), *(F.sum(F.when(F.col("verdict") == v, F.col("times")).otherwise(0)).alias(v) for v in _LABELS))
+        tally = written(spark, tally.where(F.greatest(*_LABELS) >= least), "combinations")
+        rules = tally.select("items", "both", F.explode(F.array(*(F.struct(F.lit(v).alias("verdict"), F.col(v).alias("hits")) for v in _LABELS))).alias("x")).select(
+            "items", F.col("x.verdict").alias("verdict"), (F.col("x.hits") / F.col("both")).alias("confidence"), (F.col("x.hits") / n).alias("support"), (F.col("x.hits") >= least).alias("often")
+        ).where(F.col("often") & (F.col("confidence") >= MIN_CONFIDENCE)).drop("often")
+        found = rules if found is None else found.unionByName(rules)
+        level = longer.join(tally.where(F.least(*_LABELS) > 0).select("items"), "items", "left_semi").select("tokens", "verdict", "times", "items")
+    return found
 
 
 def _strings(values) -> Column:
@@ -123,12 +149,11 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = HAND_WRITTEN
     if labelled is None:
         labelled = ruled.where("said is not null").select("url", "tokens", F.col("said").alias("verdict"))
     learned = written(spark, mine(labelled), "mined")
-    used = [r[0] for r in learned.select(F.explode("items")).distinct().collect()]  # at most VOCABULARY tokens
-    marked = ruled.withColumn("combination", F.array_join(F.array_intersect(_strings(sorted(used)), F.col("tokens")), " "))
+    used = [r[0] for r in learned.select(F.explode("items")).distinct().collect()]  # at most tokens per URL / MIN_SUPPORT
+    marked = ruled.withColumn("combination", F.array_sort(F.filter("tokens", lambda x: x.isin(used))))
     combinations = marked.where("said is null").select("combination").distinct()
     matched = (
-        combinations.select("combination", F.split("combination", " ").alias("held"))
-        .select("combination", "held", F.explode("held").alias("token"))
+        combinations.select("combination", F.col("combination").alias("held"), F.explode("combination").alias("token"))
         .join(learned, "token")
         .where(F.size(F.array_except("items", "held")) == 0)
         .groupBy("combination")
