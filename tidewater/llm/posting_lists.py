@@ -88,8 +88,9 @@ class Centroids:
         n, k = len(queries), len(self.points)
         beam = min(max(BEAM, want), k)
         rows = np.arange(n)[:, None]
+        table = np.maximum(_squares(queries, self.points), 0)  # n * MAX_LISTS values
         if beam == k:  # the graph leaves out nothing
-            far = np.maximum(_squares(queries, self.points), 0)
+            far = table
             best = np.argsort(far, axis=1, kind="stable")[:, :want]
             return best, np.sqrt(np.take_along_axis(far, best, 1))
         width = max(1, beam // _OPENED_PART)
@@ -101,7 +102,7 @@ class Centroids:
         while True:
             fresh = ~seen[rows, new]
             seen[rows, new] = True
-            square = ((queries[:, None, :] - self.points[new]) ** 2).sum(2)
+            square = table[rows, new]
             square[~fresh] = np.inf
             # the same centroid twice in one step: keep its first place
             order = np.argsort(new, axis=1, kind="stable")
