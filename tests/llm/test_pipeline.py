@@ -11,7 +11,7 @@ from .cases import AWKWARD, documents, words
 
 def test_registered():
     names = contract.queries()
-    assert {n.split("_")[0] for n in queries.queries()} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.queries()} == {f"op{n}" for n in range(1, 14)}
     assert set(queries.queries()) | {"pipeline"} <= set(names)
 
 
