@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import near_copies, packing, quality, secrets, substrings
+from tidewater.llm import packing, quality, secrets, simhash, substrings
 from tidewater.llm.common import table, written
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -17,8 +17,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
-    return near_copies.keep_one(docs)
+    """One document of each group that SimHash links: four-word shingles, four bits at most."""
+    return simhash.keep_one(docs)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
