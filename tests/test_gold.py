@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidewater.plans import gold
-from tidewater.schemas import CUSTOMER_LTV, CUSTOMER_SILVER, DAILY_SALES_SUMMARY, ORDERS_SILVER
+from tidewater.schemas import CUSTOMER_LTV, CUSTOMER_SILVER, CUSTOMER_TOTALS, DAILY_SALES_SUMMARY, ORDERS_SILVER
 
 D = Decimal
 OLD = datetime(1990, 1, 1)
@@ -164,3 +164,77 @@ def test_affected_keys_without_a_customer_row(spark, store):
     store.create(CUSTOMER_LTV, replace=True)
     store.overwrite(CUSTOMER_SILVER, customers(spark, 1).limit(0))
     assert gold.load_customer_ltv(store).rows_affected == 0
+
+
+def test_the_window_opens_only_blocks_with_recent_orders(spark, store):
+    """Three key blocks; the newest orders are in the last, one late order of the window in the first."""
+    width = 1 << 23
+    data = [(1, 1, date(1998, 1, 1), "1.00"), (2, 1, DAY, "2.00"), (width, 1, date(1998, 2, 1), "3.00"), (2 * width, 2, DAY, "4.00")]
+    store.overwrite(ORDERS_SILVER, orders(spark, *data))
+    assert gold.newest_order_date(store) == DAY
+    recent = gold.orders_since(store, date(1998, 8, 1))
+    plan = recent._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "PartitionFilters: [" in plan and "key_block" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    opened = store.spark.table(store.table_name(ORDERS_SILVER)).where(F.col("key_block").isin(0, 2))
+    assert {r[0] for r in recent.select("o_orderkey").collect()} == {2, 2 * width}
+    assert sorted(recent.inputFiles()) == sorted(opened.inputFiles())
+    # merges, deletes and whole writes keep the ranges right
+    store.merge(ORDERS_SILVER, orders(spark, (width + 1, 3, date(1998, 8, 9), "1.00")), ["o_orderdate"], ["o_custkey", "o_orderdate"])
+    assert gold.newest_order_date(store) == date(1998, 8, 9)
+    store.delete_where(ORDERS_SILVER, F.col("o_orderkey") >= width)
+    assert gold.newest_order_date(store) == DAY
+    store.overwrite(ORDERS_SILVER, orders(spark, (5, 1, date(1990, 1, 1), "1.00")))
+    assert gold.newest_order_date(store) == date(1990, 1, 1)
+
+
+def stored_totals(store):
+    return rows(store.read(CUSTOMER_TOTALS).where("total_orders > 0"))
+
+
+def full_totals(store):
+    columns = CUSTOMER_TOTALS.columns.names
+    return rows(gold.order_totals(store.read(ORDERS_SILVER)).where("o_custkey IS NOT NULL").select(*columns))
+
+
+def test_totals_follow_every_change(spark, store):
+    silver = [(k, k % 4, date(1998, 1, 1 + k), f"{k}.50") for k in range(1, 13)]
+    store.overwrite(ORDERS_SILVER, orders(spark, *silver))
+    assert gold.refresh_customer_totals(store).rows_affected == 12
+    assert gold.refresh_customer_totals(store).rows_affected == 0
+    copied = ["o_custkey", "o_orderdate", "o_totalprice"]
+    changes = [
+        (1, 1, date(1999, 1, 1), "7.00"),  # the first order of customer 1 moves to the end
+        (2, 3, date(1998, 1, 3), "2.50"),  # from customer 2 to customer 3
+        (20, 9, date(1997, 1, 1), "1.00"),  # a new customer
+        (21, 1, date(1990, 1, 1), "1.00"),  # a new first date
+    ]
+    store.merge(ORDERS_SILVER, orders(spark, *changes), copied, copied)
+    assert gold.refresh_customer_totals(store).rows_affected == 4
+    assert stored_totals(store) == full_totals(store)
+    store.delete_where(ORDERS_SILVER, (F.col("o_custkey") == 0) | F.col("o_orderkey").isin(21, 3))
+    store.update_where(ORDERS_SILVER, F.col("o_orderkey") == 20, {"o_totalprice": F.lit(None), "o_orderdate": F.lit(None)})
+    gold.refresh_customer_totals(store)
+    assert stored_totals(store) == full_totals(store)
+    store.overwrite(ORDERS_SILVER, orders(spark, (1, 5, DAY, "10.00")))
+    assert "built from 1 orders" in gold.refresh_customer_totals(store).message
+    assert stored_totals(store) == full_totals(store)
+
+
+def test_a_lost_totals_refresh_is_not_added_twice(spark, store, monkeypatch):
+    import pytest
+
+    from tidewater.operators import TableStore
+
+    store.overwrite(ORDERS_SILVER, orders(spark, (1, 1, DAY, "10.00")))
+    gold.refresh_customer_totals(store)
+    store.merge(ORDERS_SILVER, orders(spark, (2, 1, DAY, "5.00")), ["o_custkey"], ["o_custkey", "o_orderdate", "o_totalprice"])
+
+    def lost(*_):
+        raise OSError("driver lost")
+
+    with monkeypatch.context() as patch:  # behind the commit of the totals
+        patch.setattr(TableStore, "_show", lost)
+        with pytest.raises(OSError):
+            gold.refresh_customer_totals(store)
+    gold.refresh_customer_totals(store)
+    assert stored_totals(store) == full_totals(store)

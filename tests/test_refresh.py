@@ -81,15 +81,15 @@ def test_a_lost_merge_is_finished_once_or_repeated(spark, store, stage, monkeypa
     create_tables(store)
     start_feeds(store)
     base(stage)
-    from tidewater.operators.pending import PendingSwap
+    from tidewater.operators.versions import Versions
     from tidewater.plans.refresh import ingest_all
 
     def lost(*args):
         raise RuntimeError("driver lost")
 
     ingest_all(store, str(stage), ("orders",))
-    with monkeypatch.context() as patch:  # before the rows were ready: nothing has happened
-        patch.setattr(PendingSwap, "mark_ready", lost)
+    with monkeypatch.context() as patch:  # before the commit: nothing has happened
+        patch.setattr(Versions, "commit", lost)
         with pytest.raises(RuntimeError):
             silver.merge_orders_cdc(store)
     assert store.read(ORDERS_SILVER).count() == 0

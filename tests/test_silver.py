@@ -189,9 +189,7 @@ def test_batches_give_the_same_as_a_full_load(spark, store, tmp_path):
     assert len({r[:2] for r in one}) == len(one) == 12
 
 
-def test_lookup_is_cut_to_the_batch_only_while_its_keys_are_few(spark, monkeypatch):
+def test_lookup_is_cut_to_the_batch(spark):
     lookup = spark.createDataFrame([(i, f"v{i}") for i in range(20)], "k int, v string")
     batch = spark.createDataFrame([(1,), (1,), (7,), (None,), (99,)], "f int")
     assert rows(silver.only_needed(lookup, "k", batch, "f")) == [(1, "v1"), (7, "v7")]
-    monkeypatch.setattr(silver, "MAX_BROADCAST_KEYS", 2)
-    assert silver.only_needed(lookup, "k", batch, "f").count() == 20

@@ -8,7 +8,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidewater.operators import store as store_module
-from tidewater.operators.pending import PendingSwap
+from tidewater.operators.store import TableStore
+from tidewater.operators.versions import Versions
 from tidewater.schemas import CUSTOMER_LTV, CUSTOMER_SENSITIVE, STAGING, key_range_block
 from tidewater.sources.catalog import register_tables
 
@@ -25,13 +26,10 @@ def merge(store, source, **kw):
     return store.merge(SPEC, source, update=["c_name"], insert=["c_name", "is_active"], **kw)
 
 
-def files(store):
-    found = {}
-    for folder, _, names in os.walk(store.path(SPEC)):
-        for name in names:
-            if name.endswith(".parquet"):
-                found[os.path.join(folder, name)] = os.path.basename(folder)
-    return found
+def files(store, spec=SPEC):
+    """Files that readers of the table open, and the block of each."""
+    table = store.spark.table(store.table_name(spec))
+    return {r[0]: r[1] for r in table.select("_metadata.file_path", spec.partition_column).distinct().collect()}
 
 
 def test_absent_table_is_empty_and_created_table_has_its_columns(store):
@@ -46,9 +44,9 @@ def test_merge_rewrites_only_touched_blocks(spark, store):
     counts = merge(store, ltv(spark, [5, 20], "m"))
     assert (counts.inserted, counts.updated) == (1, 1)
     after = files(store)
-    kept = {f for f, block in before.items() if block != "key_block=1"}
+    kept = {f for f, block in before.items() if block != 1}
     assert kept <= set(after)
-    assert {b for f, b in after.items() if f not in before} == {"key_block=1", "key_block=5"}
+    assert {b for f, b in after.items() if f not in before} == {1, 5}
     names = dict(rows(store.read(SPEC), "c_custkey", "c_name"))
     assert len(names) == 13 and names[5] == "m5" and names[20] == "m20" and names[4] == "n4"
 
@@ -83,7 +81,7 @@ def test_update_where(spark, store):
     before = files(store)
     assert store.update_where(SPEC, F.col("c_custkey") == 9, {"is_active": F.lit(False)}) == 1
     assert rows(store.read(SPEC).filter("not is_active"), "c_custkey") == [(9,)]
-    assert {f for f, b in before.items() if b != "key_block=2"} <= set(files(store))
+    assert {f for f, b in before.items() if b != 2} <= set(files(store))
     assert store.update_where(SPEC, F.col("c_custkey") > 99, {"is_active": F.lit(False)}) == 0
 
 
@@ -103,10 +101,10 @@ def test_repeated_batch_replaces_itself(spark, store):
     assert store.read(spec).count() == 2
 
 
-def test_files_without_the_added_columns_read_as_null(spark, store):
+def test_loads_without_the_added_columns_read_as_null(spark, store):
     spec = STAGING["region"]
     old = spark.createDataFrame([(1, "A", "c")], "r_regionkey bigint, r_name string, r_comment string")
-    old.write.parquet(f"{store.path(spec)}/_batch_id=-1")
+    store.write_batch(spec, old, -1)
     store.write_batch(spec, old.withColumn("from_source", F.lit("f")), 0)
     assert rows(store.read(spec), "r_regionkey", "from_source", "created_at") == [
         (1, None, None),
@@ -114,61 +112,125 @@ def test_files_without_the_added_columns_read_as_null(spark, store):
     ]
 
 
-def interrupted_moves(monkeypatch, after):
-    """Let ``after`` moves into the table succeed and the next one fail between delete and rename."""
-    move, done = PendingSwap._move, []
+def lost(*_args, **_more):
+    raise OSError("driver lost")
 
-    def failing(swap, old, new):
-        if new.startswith(swap.table):
-            if len(done) == after:
-                raise OSError("driver lost")
-            done.append(new)
-        move(swap, old, new)
 
-    monkeypatch.setattr(PendingSwap, "_move", failing)
+MERGED = [(k, f"{'m' if k in (1, 5) else 'n'}{k}") for k in range(12)] + [(None, "mNone")]
 
 
-@pytest.mark.parametrize("after", [0, 1, 2])
-def test_interrupted_merge_is_finished_once(spark, store, monkeypatch, after):
+def names_in(store):
+    return sorted((tuple(r) for r in store.read(SPEC).select("c_custkey", "c_name").collect()), key=str)
+
+
+@pytest.mark.parametrize("at", ["catalog", "offset"])
+def test_a_committed_merge_is_shown_once(spark, store, monkeypatch, at):
+    """The driver goes after the commit: before the catalog changes, or before the consumer's offset."""
     store.overwrite(SPEC, ltv(spark, range(12)))
+    before = names_in(store)
     with monkeypatch.context() as patch:
-        interrupted_moves(patch, after)
+        patch.setattr(TableStore, "_show" if at == "catalog" else "commit_offset", lost)
         with pytest.raises(OSError):
             merge(store, ltv(spark, [1, 5, None], "m"), offset=("consumer", 7))
+    assert names_in(store) == (before if at == "catalog" else sorted(MERGED, key=str))
     store.recover(SPEC)
-    names = [tuple(r) for r in store.read(SPEC).select("c_custkey", "c_name").collect()]
-    expected = [(k, f"{'m' if k in (1, 5) else 'n'}{k}") for k in range(12)] + [(None, "mNone")]
-    assert sorted(names, key=str) == sorted(expected, key=str)
-    assert [r[0] for r in spark.read.parquet(store.control_path("offsets/consumer")).select("upto").collect()] == [7]
     store.recover(SPEC)
-    assert store.read(SPEC).count() == 13
+    assert names_in(store) == sorted(MERGED, key=str)
+    assert {r[0] for r in spark.read.parquet(store.control_path("offsets/consumer")).select("upto").collect()} == {7}
+
+
+def test_readers_see_no_gap_while_the_catalog_changes(spark, store, monkeypatch):
+    """After each statement that changes the catalog, every key is there once."""
+    store.overwrite(SPEC, ltv(spark, range(12)))
+    seen, run = [], type(spark).sql
 
+    def watched(session, text, *args, **more):
+        out = run(session, text, *args, **more)
+        if text.startswith("ALTER TABLE"):
+            seen.append(sorted(r[0] for r in run(session, f"SELECT c_custkey FROM {store.table_name(SPEC)}").collect()))
+        return out
 
-def test_interrupted_delete_and_overwrite_are_finished(spark, store, monkeypatch):
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark), "sql", watched)
+        merge(store, ltv(spark, [0, 5, 9], "m"))
+        store.overwrite(SPEC, ltv(spark, range(12), "w"))
+    assert len(seen) > 6 and all(keys == list(range(12)) for keys in seen)
+
+
+def test_a_whole_write_and_a_delete_are_shown_after_a_loss(spark, store, monkeypatch):
     store.overwrite(SPEC, ltv(spark, range(10)))
     with monkeypatch.context() as patch:
-        interrupted_moves(patch, 0)
+        patch.setattr(TableStore, "_show", lost)
         with pytest.raises(OSError):
             store.delete_where(SPEC, F.col("c_custkey").between(3, 7))
     assert merge(store, ltv(spark, [20])).inserted == 1
     assert sorted(r.c_custkey for r in store.read(SPEC).collect()) == [0, 1, 2, 8, 9, 20]
     with monkeypatch.context() as patch:
-        interrupted_moves(patch, 0)
+        patch.setattr(TableStore, "_show", lost)
         with pytest.raises(OSError):
             store.overwrite(SPEC, ltv(spark, [30]))
     store.recover(SPEC)
     assert rows(store.read(SPEC), "c_custkey") == [(30,)]
 
 
-def test_write_that_never_was_ready_leaves_the_table(spark, store, monkeypatch):
+def test_write_that_was_not_committed_leaves_the_table(spark, store, monkeypatch):
     store.overwrite(SPEC, ltv(spark, range(4)))
     with monkeypatch.context() as patch:
-        patch.setattr(PendingSwap, "mark_ready", lambda *_: (_ for _ in ()).throw(OSError("driver lost")))
+        patch.setattr(Versions, "commit", lost)
         with pytest.raises(OSError):
             store.overwrite(SPEC, ltv(spark, [9]))
+    assert os.path.isdir(store.versions(SPEC).folder(1))
     store.recover(SPEC)
     assert rows(store.read(SPEC), "c_custkey") == [(0,), (1,), (2,), (3,)]
-    assert not any(names for _, _, names in os.walk(store.control_path("pending")))
+    assert not os.path.isdir(store.versions(SPEC).folder(1))
+    merge(store, ltv(spark, [9]))  # the lost write's number is not used again
+    assert [(v, kind) for v, _, kind, _ in store.versions(SPEC).listed()] == [(0, "whole"), (1, "void"), (2, "rows")]
+
+
+def test_a_new_catalog_is_filled_from_the_commits(spark, store):
+    store.overwrite(SPEC, ltv(spark, range(12)))
+    merge(store, ltv(spark, [5, 20], "m"))
+    store.delete_where(SPEC, F.col("c_custkey") < 4)
+    want = names_in(store)
+    spark.conf.set("spark.sql.shuffle.partitions", "7")  # the table keeps its buckets
+    try:
+        spark.sql(f"DROP DATABASE {store.database} CASCADE")
+        again = TableStore(spark, store.root)
+        assert names_in(again) == want
+        assert merge(again, ltv(spark, [6, 30], "z")).updated == 1
+        assert len(names_in(again)) == len(want) + 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_vacuum_keeps_what_readers_open(spark, store):
+    store.overwrite(SPEC, ltv(spark, range(12)))
+    merge(store, ltv(spark, [5], "m"))
+    merge(store, ltv(spark, [5, 9], "x"))
+    want, used = names_in(store), set(files(store))
+    assert store.vacuum(SPEC) == 3  # blocks 1 and 2 of the first write, block 1 of the second
+    assert names_in(store) == want and set(files(store)) == used
+    assert store.vacuum(SPEC) == 0
+
+
+def test_a_merge_exchanges_its_batch_alone(spark, store):
+    """No exchange between the table's files and the join, and none between the join and the files written."""
+    store.overwrite(SPEC, ltv(spark, range(12)))
+    batch = spark.range(40).selectExpr("id AS c_custkey", "'b' AS c_name", "true AS is_active")
+    joined = store.merged(SPEC, batch, [0, 1, 2], ["c_name"], ["c_name", "is_active"])
+    plan = store._rows_only(SPEC, joined)._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    )
+    lines = [x for x in plan.splitlines() if x.strip()]
+    exchanges = [x for x in lines if "Exchange" in x]
+    assert len(exchanges) == 1 and "c_custkey" in exchanges[0] and "hashpartitioning" in exchanges[0]
+    join = next(i for i, x in enumerate(lines) if "Join" in x)
+    scan = next(i for i, x in enumerate(lines) if "FileScan" in x)
+    at = lines.index(exchanges[0])
+    assert at > join and at > scan and "Bucketed: true" in lines[scan] and "PartitionFilters: [" in lines[scan]
+    merge(store, batch)
+    written = files(store)
+    assert len(written) <= 4 * len(set(written.values()))  # a file for each bucket of a block
 
 
 def test_staging_delete(spark, store):
@@ -212,7 +274,6 @@ def test_tables_by_name(spark, store):
         assert spark.table("reports.customer_ltv").count() == 10
         assert spark.table("staging.region").count() == 0
         merge(store, ltv(spark, [100]))
-        register_tables(store, [SPEC])
         assert spark.sql("SELECT count(*) FROM reports.customer_ltv").first()[0] == 11
     finally:
         for name in ("reports", "staging"):

@@ -5,8 +5,9 @@ import time
 import pytest
 from conftest import rows
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
-from tidewater.schemas import STAGING
+from tidewater.schemas import CUSTOMER_LTV, ORDERS_SILVER, STAGING
 from tidewater.streaming import ChangeFeed, follow_stage, ingest_new_files, ingest_status
 
 REGION = STAGING["region"]
@@ -99,16 +100,106 @@ def test_rows_arriving_during_a_merge_stay_pending(spark, store, stage):
     assert rows(feed.pending().rows, "r_regionkey") == [(2,)]
 
 
-def test_feed_ignores_a_delete_in_applied_batches(spark, store, stage):
-    from pyspark.sql import functions as F
-
+def applied(store, stage):
+    """A consumer that has applied keys 1, 2 and 3."""
     feed = ChangeFeed(store, REGION, "c")
     feed.start(include_initial=True)
-    deliver(stage, 1, "1,A,c", "2,B,c")
+    deliver(stage, 1, "1,A,c", "2,B,c", "3,C,c")
     load(store, stage)
     feed.commit(feed.pending().upto)
+    return feed
+
+
+def shown(feed):
+    return rows(feed.pending().rows, "r_regionkey", "r_name", "_action", "_is_update")
+
+
+def test_feed_shows_deletes_of_applied_rows(spark, store, stage):
+    feed = applied(store, stage)
     assert store.delete_where(REGION, F.col("r_regionkey") == 2) == 1
-    assert feed.pending().count == 0
+    assert feed.pending().count == 1
+    assert shown(feed) == [(2, "B", "DELETE", False)]
+    feed.commit(feed.pending().upto)
+    assert feed.pending().count == 0 and store.read(REGION).count() == 2
+
+
+def test_feed_shows_updates_as_pairs(spark, store, stage):
+    feed = applied(store, stage)
+    assert store.update_where(REGION, F.col("r_regionkey") >= 2, {"r_name": F.concat("r_name", F.lit("!"))}) == 2
+    assert shown(feed) == [
+        (2, "B", "DELETE", True),
+        (2, "B!", "INSERT", True),
+        (3, "C", "DELETE", True),
+        (3, "C!", "INSERT", True),
+    ]
+    ids = feed.pending().rows.groupBy("_row_id").count().collect()
+    assert [r["count"] for r in ids] == [2, 2]
+
+
+def test_feed_shows_the_net_of_several_changes(spark, store, stage):
+    feed = applied(store, stage)
+    deliver(stage, 2, "4,D,c", "5,E,c")
+    load(store, stage)
+    store.update_where(REGION, F.lit(True), {"r_name": F.concat("r_name", F.lit("!"))})
+    store.update_where(REGION, F.col("r_regionkey") == 1, {"r_name": F.lit("A")})  # back to what it was
+    store.delete_where(REGION, F.col("r_regionkey").isin(2, 5))  # an applied row and a new one
+    assert shown(feed) == [
+        (2, "B", "DELETE", False),
+        (3, "C", "DELETE", True),
+        (3, "C!", "INSERT", True),
+        (4, "D!", "INSERT", False),
+    ]
+    feed.commit(feed.pending().upto)
+    deliver(stage, 3, "6,F,c")
+    load(store, stage)
+    assert shown(feed) == [(6, "F", "INSERT", False)]
+
+
+def test_feed_counts_equal_rows(spark, store):
+    feed = ChangeFeed(store, REGION, "c")
+    twice = spark.createDataFrame([(1, "A"), (1, "A"), (None, "N")], "r_regionkey long, r_name string")
+    store.write_batch(REGION, twice, 0)
+    feed.start()
+    assert store.delete_where(REGION, F.col("r_name").isNotNull()) == 3
+    assert feed.pending().count == 3 and store.read(REGION).count() == 0
+    assert shown(feed) == [(None, "N", "DELETE", False), (1, "A", "DELETE", False), (1, "A", "DELETE", False)]
+
+
+def test_feed_of_a_merged_table(spark, store):
+    feed = ChangeFeed(store, ORDERS_SILVER, "reports")
+    one = spark.createDataFrame([(1, "O"), (2, "O")], "o_orderkey long, o_orderstatus string")
+    two = spark.createDataFrame([(2, "F"), (3, "O")], "o_orderkey long, o_orderstatus string")
+    store.overwrite(ORDERS_SILVER, one)
+    feed.start()
+    store.merge(ORDERS_SILVER, two, ["o_orderstatus"], ["o_orderstatus"])
+    store.delete_where(ORDERS_SILVER, F.col("o_orderkey") == 1)
+    assert rows(feed.pending().rows, "o_orderkey", "o_orderstatus", "_action", "_is_update") == [
+        (1, "O", "DELETE", False),
+        (2, "F", "INSERT", True),
+        (2, "O", "DELETE", True),
+        (3, "O", "INSERT", False),
+    ]
+    assert rows(store.read(ORDERS_SILVER), "o_orderkey", "o_orderstatus") == [(2, "F"), (3, "O")]
+    with pytest.raises(ValueError):
+        ChangeFeed(store, CUSTOMER_LTV, "nobody")
+
+
+def test_merge_ignores_deletes_and_consumes_them(spark, store):
+    from tidewater.plans import silver
+
+    orders = STAGING["orders"]
+    line = "o_orderkey long, o_custkey long, o_orderstatus string, o_clerk string"
+    store.write_batch(orders, spark.createDataFrame([(1, 1, "O", "Clerk#1"), (2, 1, "O", "Clerk#1")], line), 0)
+    silver.full_load_orders(store)
+    feed = silver.ORDERS_JOB.feed(store)
+    feed.start()
+    store.delete_where(orders, F.col("o_orderkey") == 1)
+    assert feed.pending().count == 1
+    assert silver.merge_orders_cdc(store).rows_affected == 0
+    assert feed.pending().count == 0 and store.read(ORDERS_SILVER).count() == 2
+    store.update_where(orders, F.col("o_orderkey") == 2, {"o_orderstatus": F.lit("F")})
+    assert silver.merge_orders_cdc(store).rows_affected == 1
+    assert rows(store.read(ORDERS_SILVER), "o_orderkey", "o_orderstatus") == [(1, "O"), (2, "F")]
 
 
 def test_feed_has_to_be_started(store):

@@ -75,6 +75,28 @@ def table_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> D
     )
 
 
+def net_changes(images: DataFrame, keys: Sequence[str], origin: str) -> DataFrame:
+    """What a sequence of change images comes to: rows there before and not after, and the other way round.
+
+    A row that one write adds and a later one takes away cancels out, as often as it occurs. What is left of
+    a key on both sides, from the same ``origin``, is an update. ``images`` hold the table's columns,
+    ``origin`` and ``_action``.
+    """
+    columns = [c for c in images.columns if c not in (ACTION, IS_UPDATE)]
+    sign = F.when(F.col(ACTION) == INSERT, 1).otherwise(-1)
+    net = images.groupBy(*columns).agg(F.sum(sign).alias("_net")).where("_net <> 0").withColumn(ROW_ID, row_id(keys))
+    sides = net.groupBy(F.col(ROW_ID).alias("_id"), F.col(origin).alias("_from")).agg(
+        (F.min("_net") * F.max("_net") < 0).alias(IS_UPDATE)
+    )
+    same = (F.col(ROW_ID) == F.col("_id")) & F.col(origin).eqNullSafe(F.col("_from"))
+    return (
+        net.join(sides, same)
+        .withColumn(ACTION, F.when(F.col("_net") > 0, INSERT).otherwise(DELETE))
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.abs("_net"))))
+        .select(*columns, ACTION, IS_UPDATE, ROW_ID)
+    )
+
+
 def keep_inserts(feed: DataFrame) -> DataFrame:
     """Rows to apply: insert images. An update shows up here as its new image; deletes do not."""
     return feed.filter(F.col(ACTION).isin(INSERT, "UPDATE"))

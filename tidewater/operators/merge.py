@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MERGE_FLAG = "_merge"
-KEPT, UPDATED, INSERTED = "kept", "updated", "inserted"
+MERGE_FLAG, BEFORE = "_merge", "_before"
+KEPT, UPDATED, INSERTED, DELETED = "kept", "updated", "inserted", "deleted"
 
 
 def upsert(
@@ -19,13 +19,15 @@ def upsert(
     insert: Sequence[str],
     on_update: Mapping[str, Column] | None = None,
     on_insert: Mapping[str, Column] | None = None,
+    before: bool = False,
 ) -> DataFrame:
     """Merge ``source`` into ``target`` on equal keys; both sides hold a key at most once.
 
     Matched rows take the ``update`` columns from the source and keep the rest; unmatched source
     rows are inserted with the ``insert`` columns and NULL elsewhere. ``on_update`` / ``on_insert``
     add values that are not source columns (load stamps). A NULL key matches nothing, so it is
-    inserted. The result has the target's columns plus ``_merge`` (kept, updated, inserted).
+    inserted. The result has the target's columns plus ``_merge`` (kept, updated, inserted) and, if asked for,
+    ``_before``: the row an update found.
     """
     on_update = dict(on_update or {})
     on_insert = dict(on_insert or {})
@@ -64,7 +66,9 @@ def upsert(
         return merged.cast(types[column]).alias(column)
 
     flag = F.when(only_old, KEPT).when(only_new, INSERTED).otherwise(UPDATED)
-    return joined.select(*[value(c) for c in target.columns], flag.alias(MERGE_FLAG))
+    found = F.struct(*[F.col(f"_old_{c}").alias(c) for c in target.columns])
+    images = [F.when(~only_old & ~only_new, found).alias(BEFORE)] if before else []
+    return joined.select(*[value(c) for c in target.columns], *images, flag.alias(MERGE_FLAG))
 
 
 def update_where(df: DataFrame, condition: Column, values: Mapping[str, Column]) -> DataFrame:

@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import classify_customer_revenue
+from ..operators.changes import ACTION, INSERT
 from ..operators.merge import stale_customers
 from ..operators.store import JobResult, TableStore
-from ..schemas import CUSTOMER_LTV, CUSTOMER_SILVER, DAILY_SALES_SUMMARY, ORDERS_SILVER
+from ..schemas import CUSTOMER_LTV, CUSTOMER_SILVER, CUSTOMER_TOTALS, DAILY_SALES_SUMMARY, ORDERS_SILVER
+from ..streaming.feed import ChangeFeed
 
 LOOKBACK_DAYS = 7
 ACTIVE_DAYS = 90
@@ -24,6 +26,20 @@ def high_water_mark(orders: DataFrame) -> date | None:
     return orders.agg(F.max("o_orderdate")).first()[0]
 
 
+def newest_order_date(store: TableStore) -> date | None:
+    """The same from the stored blocks' ranges: no order is read."""
+    high = store.zones(ORDERS_SILVER).agg(F.max("high")).first()[0]
+    return None if high is None else date.fromisoformat(high)
+
+
+def orders_since(store: TableStore, since: date) -> DataFrame:
+    """Stored orders from ``since`` on; blocks whose newest order is older are not opened."""
+    blocks = store.zones(ORDERS_SILVER).where(F.col("high") >= since.isoformat()).select("block").collect()
+    recent = F.col(ORDERS_SILVER.partition_column).isin([r.block for r in blocks])
+    rows = store.read_partitioned(ORDERS_SILVER).where(recent & (F.col("o_orderdate") >= F.lit(since)))
+    return rows.select(*ORDERS_SILVER.columns.names)
+
+
 def window_start(newest: date, lookback_days: int = LOOKBACK_DAYS) -> date:
     return newest - timedelta(days=lookback_days)
 
@@ -77,15 +93,14 @@ def load_daily_sales_summary(
 ) -> JobResult:
     """Recompute the days of the look-back window and upsert them; older days stay as they are.
 
-    ``newest`` saves the scan for the newest order date where the caller knows it.
+    ``newest`` is for callers that know the newest order date.
     """
-    orders = store.read(ORDERS_SILVER)
-    newest = newest or high_water_mark(orders)
+    newest = newest or newest_order_date(store)
     if newest is None:
         return JobResult(0, "daily sales: no cleaned orders")
     stamp = F.current_timestamp() if now is None else now
     since = window_start(newest, lookback_days)
-    source = daily_sales(orders, since)
+    source = daily_sales(orders_since(store, since))
     measures = [c for c in source.columns if c != "summary_date"]
     # The source has one row per day of the window and is used twice: to find blocks and to merge.
     source = source.persist()
@@ -124,6 +139,7 @@ def order_totals(orders: DataFrame) -> DataFrame:
     price = F.col("o_totalprice")
     return orders.groupBy("o_custkey").agg(
         F.count("o_orderkey").alias("total_orders"),
+        F.count(price).alias("priced_orders"),
         F.sum(price).alias("total_spent"),
         F.avg(price).alias("avg_order_value"),
         F.min("o_orderdate").alias("first_order_date"),
@@ -160,15 +176,20 @@ def customer_ltv(
     orders: DataFrame,
     affected: DataFrame | None = None,
     as_of: date = DEFAULT_AS_OF,
+    summed: bool = False,
 ) -> DataFrame:
     """Lifetime value of the affected customers (all without ``affected``), with or without orders.
 
+    With ``summed``, ``orders`` are totals per customer already.
+
     Orders are summed per customer before any join, so a customer with very many orders is reduced
     before the shuffle. The restriction to affected keys is a semi-join over that aggregate:
     Spark moves it below the aggregate when the keys are small enough to broadcast and leaves it
     above otherwise.
     """
-    totals, chosen = order_totals(orders), customers.select(*_LTV_CUSTOMER)
+    average = (F.col("total_spent") / F.col("priced_orders")).cast("decimal(16,6)")
+    totals = orders.withColumn("avg_order_value", average) if summed else order_totals(orders)
+    chosen = customers.select(*_LTV_CUSTOMER)
     if affected is not None:
         keys = affected.select(F.col("c_custkey").alias("_key"))
         totals = totals.join(keys, F.col("o_custkey") == F.col("_key"), "left_semi")
@@ -203,6 +224,78 @@ def customer_ltv_preview(
     return _ltv_columns(grouped.withColumn("avg_order_value", average), as_of)
 
 
+# -- order totals kept by deltas -------------------------------------------------------------------
+
+TOTALS_FEED = "customer_totals"
+
+
+def total_deltas(changes: DataFrame) -> DataFrame:
+    """What change rows of orders add to each customer's totals, and the dates that came and went."""
+    added = F.col(ACTION) == INSERT
+    sign, day = F.when(added, 1).otherwise(-1), F.col("o_orderdate")
+    return changes.where("o_custkey IS NOT NULL").groupBy("o_custkey").agg(
+        F.coalesce(F.sum(F.when(F.col("o_orderkey").isNotNull(), sign)), F.lit(0)).alias("more_orders"),
+        F.coalesce(F.sum(F.when(F.col("o_totalprice").isNotNull(), sign)), F.lit(0)).alias("more_priced"),
+        F.coalesce(F.sum(sign * F.col("o_totalprice")), F.lit(0)).alias("more_spent"),
+        F.min(F.when(added, day)).alias("came_first"),
+        F.max(F.when(added, day)).alias("came_last"),
+        F.min(F.when(~added, day)).alias("went_first"),
+        F.max(F.when(~added, day)).alias("went_last"),
+    )
+
+
+def changed_totals(totals: DataFrame, orders: DataFrame, deltas: DataFrame) -> DataFrame:
+    """New totals of the customers in ``deltas``.
+
+    Counts and sums are added up. A first or last date is only looked up in the orders again, by a
+    semi-join, for customers who lost an order of that date.
+    """
+    old = totals.withColumnsRenamed({c: f"old_{c}" for c in totals.columns})
+    both = deltas.join(old, F.col("o_custkey") == F.col("old_o_custkey"), "left")
+    lost = (F.col("went_first") <= F.col("old_first_order_date")) | (F.col("went_last") >= F.col("old_last_order_date"))
+    keys = both.where(lost).select(F.col("o_custkey").alias("_key"))
+    again = (
+        orders.join(keys, F.col("o_custkey") == F.col("_key"), "left_semi")
+        .groupBy(F.col("o_custkey").alias("_key"))
+        .agg(F.min("o_orderdate").alias("first_now"), F.max("o_orderdate").alias("last_now"))
+    )
+    looked_up = F.coalesce(lost, F.lit(False))
+    priced = F.coalesce("old_priced_orders", F.lit(0)) + F.col("more_priced")
+    spent = (F.coalesce("old_total_spent", F.lit(0)) + F.col("more_spent")).cast("decimal(22,2)")
+    return both.join(again, F.col("o_custkey") == F.col("_key"), "left").select(
+        "o_custkey",
+        (F.coalesce("old_total_orders", F.lit(0)) + F.col("more_orders")).alias("total_orders"),
+        priced.alias("priced_orders"),
+        F.when(priced > 0, spent).alias("total_spent"),
+        F.when(looked_up, F.col("first_now")).otherwise(F.least("old_first_order_date", "came_first")).alias("first_order_date"),
+        F.when(looked_up, F.col("last_now")).otherwise(F.greatest("old_last_order_date", "came_last")).alias("last_order_date"),
+    )
+
+
+def refresh_customer_totals(store: TableStore) -> JobResult:
+    """Bring the stored totals up to date with the orders, from the orders' change images alone."""
+    feed = ChangeFeed(store, ORDERS_SILVER, TOTALS_FEED)
+    feed.start(include_initial=True)
+    store.recover(CUSTOMER_TOTALS)
+    pending = feed.pending()
+    if pending.restarted:
+        totals = order_totals(store.read(ORDERS_SILVER)).where("o_custkey IS NOT NULL")
+        store.overwrite(CUSTOMER_TOTALS, totals)
+        feed.commit(pending.upto)
+        return JobResult(pending.count, f"customer totals: built from {pending.count} orders")
+    if not pending.count:
+        return JobResult(0, "customer totals: no waiting changes")
+    # Used to find blocks, to look for lost dates and to merge: one row for each changed customer.
+    deltas = total_deltas(pending.rows).persist()
+    try:
+        source = changed_totals(store.read(CUSTOMER_TOTALS), store.read(ORDERS_SILVER), deltas)
+        values = [c for c in source.columns if c != "o_custkey"]
+        counts = store.merge(CUSTOMER_TOTALS, source, values, values, keys_from=deltas, offset=(TOTALS_FEED, pending.upto))
+    finally:
+        deltas.unpersist()
+    return JobResult(counts.affected, f"customer totals: {counts.affected} customers from {pending.count} change rows")
+
+
 def load_customer_ltv(
     store: TableStore,
     as_of: date = DEFAULT_AS_OF,
@@ -210,19 +303,22 @@ def load_customer_ltv(
     now: Column | None = None,
     newest: date | None = None,
 ) -> JobResult:
-    """Refresh the affected customers, then deactivate the ones that went stale."""
-    orders, customers = store.read(ORDERS_SILVER), store.read(CUSTOMER_SILVER)
-    newest = newest or high_water_mark(orders)
+    """Refresh the affected customers from the stored totals, then deactivate the ones that went stale."""
+    customers = store.read(CUSTOMER_SILVER)
+    newest = newest or newest_order_date(store)
     if newest is None:
         return JobResult(0, "customer value: no cleaned orders")
     stamp = F.current_timestamp() if now is None else now
     # Used for the guard, the block list and both semi-joins. Being materialised, its real size
     # decides whether it is broadcast.
-    affected = affected_customers(orders, customers, window_start(newest, lookback_days)).persist()
+    since = window_start(newest, lookback_days)
+    affected = affected_customers(orders_since(store, since), customers, since).persist()
     try:
         merged = 0
         if affected.count():
-            source = customer_ltv(customers, orders, affected, as_of)
+            refresh_customer_totals(store)
+            totals = store.read(CUSTOMER_TOTALS)
+            source = customer_ltv(customers, totals, affected, as_of, summed=True)
             values = [c for c in source.columns if c != "c_custkey"]
             merged = store.merge(
                 CUSTOMER_LTV,

@@ -9,13 +9,13 @@ from datetime import date
 from pyspark import inheritable_thread_target
 
 from ..operators.store import JobResult, TableStore
-from ..schemas import DERIVED, ORDERS_SILVER, STAGING
+from ..schemas import DERIVED, STAGING
 from ..streaming.ingest import bulk_load_new_files, ingest_new_files
 from .gold import (
     DEFAULT_AS_OF,
-    high_water_mark,
     load_customer_ltv,
     load_daily_sales_summary,
+    newest_order_date,
 )
 from .silver import SILVER_JOBS, merge_changes
 
@@ -56,7 +56,7 @@ def refresh(store: TableStore, stage_dir: str, as_of: date = DEFAULT_AS_OF) -> l
     ingest_all(store, stage_dir)
     merges = [lambda job=job: merge_changes(store, job) for job in SILVER_JOBS]
     merged = _side_by_side(store, merges)
-    newest = high_water_mark(store.read(ORDERS_SILVER))
+    newest = newest_order_date(store)
     reports = [
         lambda: load_daily_sales_summary(store, newest=newest),
         lambda: load_customer_ltv(store, as_of, newest=newest),

@@ -154,21 +154,14 @@ def lookup_supplier(supplier: DataFrame) -> DataFrame:
 # -- jobs on stored tables -----------------------------------------------------------------------
 
 
-# Most distinct keys of a batch that are broadcast to cut a lookup table down before it is shuffled
-# (8 MB of keys).
-MAX_BROADCAST_KEYS = 1_000_000
-
-
 def only_needed(lookup: DataFrame, key: str, rows: DataFrame, fact_key: str) -> DataFrame:
-    """Lookup rows a small batch refers to; all of them when the batch refers to too many.
+    """Lookup rows that a batch refers to.
 
-    A daily batch names few of a large lookup's keys, so filtering the lookup while it is scanned
-    saves shuffling it. The number of keys is counted before they are broadcast.
+    A daily batch names few of a large lookup's keys. The semi-join is plain: Spark broadcasts the keys
+    while they are small, and shuffles both sides once they are not.
     """
     needed = rows.select(F.col(fact_key).alias("_needed")).distinct()
-    if needed.count() > MAX_BROADCAST_KEYS:
-        return lookup
-    return lookup.join(F.broadcast(needed), F.col(key) == F.col("_needed"), "left_semi")
+    return lookup.join(needed, F.col(key) == F.col("_needed"), "left_semi")
 
 
 @dataclass(frozen=True)

@@ -23,6 +23,8 @@ from pyspark.sql.types import (
 
 BATCH_COLUMN = "_batch_id"
 BLOCK_COLUMN = "key_block"
+#: Block of rows without a key.
+NO_KEY_BLOCK = -(2**63)
 
 KEY = LongType()
 MONEY = DecimalType(12, 2)
@@ -46,6 +48,15 @@ class TableSpec:
     cluster_by: tuple[str, ...] = ()
     bulk_pattern: str | None = None
     pipe_pattern: str | None = None
+    #: Buckets of the key within each block, at most; 0 for tables that are written as a whole or are small.
+    buckets: int = 0
+    #: Whether row-level writes keep before and after images.
+    feed: bool = False
+    #: Column whose range is kept for each block.
+    zone: str | None = None
+
+    def stored_block(self) -> Column:
+        return F.coalesce(self.block(), F.lit(NO_KEY_BLOCK).cast("bigint"))
 
     @property
     def partition_column(self) -> str:
@@ -91,7 +102,7 @@ LINEAGE_NAMES = {name for name, _ in LINEAGE}
 
 def _staging(name: str, keys: tuple[str, ...], bulk: str, pipe: str, *pairs) -> TableSpec:
     return TableSpec(
-        "staging", name, _columns(*pairs, *LINEAGE), keys, bulk_pattern=bulk, pipe_pattern=pipe
+        "staging", name, _columns(*pairs, *LINEAGE), keys, bulk_pattern=bulk, pipe_pattern=pipe, feed=True
     )
 
 
@@ -175,6 +186,9 @@ ORDERS_SILVER = TableSpec(
     ("o_orderkey",),
     key_range_block("o_orderkey", 23),
     ("o_orderdate", "o_custkey"),
+    buckets=64,
+    feed=True,
+    zone="o_orderdate",
 )
 
 CUSTOMER_SILVER = TableSpec(
@@ -190,6 +204,7 @@ CUSTOMER_SILVER = TableSpec(
     ("c_custkey",),
     key_range_block("c_custkey", 22),
     ("c_region_name", "c_nation_name"),
+    buckets=64,
 )
 
 LINEITEM_SILVER = TableSpec(
@@ -209,6 +224,7 @@ LINEITEM_SILVER = TableSpec(
     ("l_orderkey", "l_linenumber"),
     key_range_block("l_orderkey", 21),
     ("l_shipdate", "l_orderkey", "l_partkey"),
+    buckets=64,
 )
 
 CUSTOMER_SENSITIVE = TableSpec(
@@ -235,6 +251,19 @@ CUSTOMER_RFM_SCORES = TableSpec(
     key_range_block("c_custkey", 22),
 )
 
+CUSTOMER_TOTALS = TableSpec(
+    "analytics",
+    "customer_totals",
+    _columns(
+        ("o_custkey", KEY), ("total_orders", KEY), ("priced_orders", KEY),
+        ("total_spent", DecimalType(22, 2)), ("first_order_date", DateType()),
+        ("last_order_date", DateType()),
+    ),
+    ("o_custkey",),
+    key_range_block("o_custkey", 22),
+    buckets=64,
+)
+
 DAILY_SALES_SUMMARY = TableSpec(
     "reports",
     "daily_sales_summary",
@@ -264,6 +293,7 @@ CUSTOMER_LTV = TableSpec(
     ("c_custkey",),
     key_range_block("c_custkey", 22),
     ("c_custkey", "c_region_name", "c_nation_name"),
+    buckets=64,
 )
 
 DERIVED: dict[str, TableSpec] = {
@@ -274,6 +304,7 @@ DERIVED: dict[str, TableSpec] = {
         LINEITEM_SILVER,
         CUSTOMER_SENSITIVE,
         CUSTOMER_RFM_SCORES,
+        CUSTOMER_TOTALS,
         DAILY_SALES_SUMMARY,
         CUSTOMER_LTV,
     )

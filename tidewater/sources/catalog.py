@@ -9,28 +9,19 @@ from ..schemas import CUSTOMER_SENSITIVE, TableSpec
 
 
 def register_tables(store: TableStore, specs: Iterable[TableSpec]) -> list[str]:
-    """External catalog tables over the stored files, one database per layer.
+    """Views over the stored tables, one database per layer.
 
-    The files stay the only copy: run it again after a load to pick up new partitions. The sensitive
-    table is refused: a plain table would show what its masks hide.
+    A view always shows the table's last committed write, also while the next one is under way. The sensitive
+    table is refused: a plain view would show what its masks hide.
     """
     specs = list(specs)
     if any(spec.name == CUSTOMER_SENSITIVE.name for spec in specs):
         raise PermissionError("read the sensitive table with read_sensitive, which masks it")
-    spark = store.spark
     names = []
     for spec in specs:
         name = f"{spec.layer}.{spec.name}"
-        store.create(spec)
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {spec.layer}")
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        fields = [*spec.read_schema.fields]
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-        partition = spec.partition_column
-        spark.sql(
-            f"CREATE TABLE {name} ({columns}, `{partition}` bigint) USING parquet"
-            f" PARTITIONED BY (`{partition}`) LOCATION '{store.path(spec)}'"
-        )
-        spark.catalog.recoverPartitions(name)
+        columns = ", ".join(f"`{c}`" for c in spec.columns.names)
+        store.spark.sql(f"CREATE DATABASE IF NOT EXISTS {spec.layer}")
+        store.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {store.table_name(spec)}")
         names.append(name)
     return names

@@ -1,4 +1,4 @@
-"""Change feed of a staging table: the batches a consumer has not applied yet."""
+"""Change feed of a stored table: what a consumer has not applied yet."""
 
 from __future__ import annotations
 
@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType, TimestampType
 
-from ..operators.changes import append_feed
-from ..operators.store import TableStore, read_or_empty
+from ..operators.changes import append_feed, net_changes
+from ..operators.store import VERSION_COLUMN, TableStore, read_or_empty
 from ..schemas import BATCH_COLUMN, TableSpec
 
 BEFORE_ALL = -(2**62)
@@ -23,20 +23,29 @@ _OFFSETS = (
 
 @dataclass(frozen=True)
 class Pending:
+    """Waiting change rows. ``restarted``: the table was written as a whole, and the rows are all it holds now."""
+
     rows: DataFrame
     count: int
     upto: int | None
+    restarted: bool = False
 
 
 class ChangeFeed:
-    """Rows added to a staging table since the consumer last committed.
+    """Rows added, changed and deleted since the consumer last committed.
+
+    Every write of a table has a number. A load's rows are a partition of a staging table, so new ones are read
+    from there; deletes, updates and merges write before and after images under their own number. Reading
+    lists and opens only what is new. Rows that came after the offset are shown as they are now, and images of
+    older rows as their net difference, so a row that came and went in between does not appear.
 
-    Loads are partitions of the table, so reading the feed lists and opens only new partitions.
     Offsets are appended after the rows were applied. A merge that is given the offset commits it
     with its rows; any other consumer that fails in between gets the same rows again.
     """
 
     def __init__(self, store: TableStore, spec: TableSpec, consumer: str):
+        if not spec.feed:
+            raise ValueError(f"{spec.name} keeps no change images")
         self.store = store
         self.spec = spec
         self.consumer = consumer
@@ -45,7 +54,8 @@ class ChangeFeed:
     def _offset_path(self) -> str:
         return self.store.control_path(f"offsets/{self.consumer}")
 
-    def _committed(self) -> int | None:
+    def committed(self) -> int | None:
+        """The offset; None if the feed was not started."""
         offsets = read_or_empty(self.store.spark, self._offset_path, _OFFSETS)
         return offsets.agg(F.max("upto")).first()[0]
 
@@ -54,24 +64,32 @@ class ChangeFeed:
 
         Starting a feed that has an offset changes nothing.
         """
-        if self._committed() is not None:
-            return
-        newest = None
-        if not include_initial:
-            table = self.store.read_partitioned(self.spec)
-            newest = table.agg(F.max(BATCH_COLUMN)).first()[0]
-        self.commit(BEFORE_ALL if newest is None else newest)
+        if self.committed() is None:
+            self.commit(BEFORE_ALL if include_initial else self.store.newest_number(self.spec))
 
     def pending(self) -> Pending:
         """Unapplied rows, their number, and the offset to commit once they are applied."""
-        committed = self._committed()
+        committed = self.committed()
         if committed is None:
             raise RuntimeError(f"feed {self.consumer} was not started")
-        waiting = self.store.read_partitioned(self.spec).filter(F.col(BATCH_COLUMN) > committed)
-        # Counts per partition come from the file footers; no column is read.
-        count, upto = waiting.agg(F.count(F.lit(1)), F.max(BATCH_COLUMN)).first()
-        rows = waiting if upto is None else waiting.filter(F.col(BATCH_COLUMN) <= upto)
-        return Pending(append_feed(rows.drop(BATCH_COLUMN), self.spec.keys), count, upto)
+        upto = self.store.newest_number(self.spec)
+        if upto <= committed:
+            return Pending(self._rows(committed, committed), 0, None)
+        versions = self.store.versions(self.spec).listed()
+        restarted = any(kind == "whole" and committed < number <= upto for _, number, kind, _ in versions)
+        rows = append_feed(self.store.read(self.spec), self.spec.keys) if restarted else self._rows(committed, upto)
+        return Pending(rows, rows.count(), upto, restarted)
+
+    def _rows(self, after: int, upto: int) -> DataFrame:
+        images = self.store.images(self.spec, after, upto).drop(VERSION_COLUMN)
+        origin = self.spec.partition_column
+        if origin != BATCH_COLUMN:
+            return net_changes(images, self.spec.keys, origin).drop(origin)
+        batch = F.col(BATCH_COLUMN)
+        added = self.store.read_partitioned(self.spec).where((batch > after) & (batch <= upto))
+        # A load that came after the offset is read as it is now: its images are history.
+        changed = net_changes(images.where(batch <= after), self.spec.keys, origin)
+        return append_feed(added.drop(BATCH_COLUMN), self.spec.keys).unionByName(changed.drop(origin))
 
     def commit(self, upto: int) -> None:
         self.store.commit_offset(self.consumer, upto)

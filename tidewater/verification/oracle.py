@@ -461,7 +461,7 @@ def oracle_sql() -> dict[str, str]:
                                 AS BIGINT) AS _batch_id
                     FROM stg_orders""",
             )
-            for name in ("pipe_incremental", "bulk_load_twice", "pipe_new_checkpoint")
+            for name in ("pipe_incremental", "bulk_load_twice", "pipe_new_checkpoint", "follow_incremental")
         },
         "pipe_lineage": _with(
             {},
@@ -513,9 +513,66 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {_show(LINEITEM_SILVER)} FROM merged",
         ),
         # -- change feed
-        "orders_change_feed": _with(
+        **{
+            name: _with(
+                _CHANGES,
+                f"SELECT {_show(ORDERS_FILE)}, _action, _is_update FROM orders_changes",
+            )
+            for name in ("orders_change_feed", "orders_feed_after_delete")
+        },
+        "orders_feed_pending": _with(
             _CHANGES,
-            f"SELECT {_show(ORDERS_FILE)}, _action, _is_update FROM orders_changes",
+            """SELECT _action, _is_update, count(*) AS pending,
+                      (SELECT count(*) FROM orders_changes) AS all_pending
+               FROM orders_changes GROUP BY ALL""",
+        ),
+        "merge_job_results": _with(
+            _CHANGES,
+            """SELECT CAST(1 AS BIGINT) AS run, count(*) FILTER (WHERE _action = 'INSERT') AS rows_affected,
+                      'orders_silver: ' || count(*) FILTER (WHERE _action = 'INSERT')
+                      || ' rows affected from ' || count(*) || ' change rows' AS message
+               FROM orders_changes
+               UNION ALL SELECT 2, 0, 'orders_silver: no waiting changes'""",
+        ),
+        "merge_stamps": _with(
+            _CHANGES,
+            """SELECT o_orderkey, o_orderstatus, '2024-03-01' AS updated_on,
+                      strftime(created_at, '%Y-%m-%d') AS first_loaded_on
+               FROM orders_changes WHERE _action = 'INSERT'
+               UNION ALL
+               SELECT o_orderkey, o_orderstatus, '2024-02-01',
+                      strftime(created_at, '%Y-%m-%d')
+               FROM before_orders
+               WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders_changes WHERE _action = 'INSERT')""",
+        ),
+        "load_status": _with(
+            {},
+            "SELECT 'ingest_nation' AS name, FALSE AS is_active, CAST(0 AS BIGINT) AS batch_id, TRUE AS has_rows",
+        ),
+        "write_then_read_by_name": _with(
+            _merge_expectation("orders", ORDERS_SILVER, "o_orderkey", ORDERS_BEFORE, ORDERS_AFTER),
+            """SELECT o_orderstatus_desc, count(*) AS order_count,
+                      CAST(sum(o_totalprice) AS DOUBLE) AS total, 'cut off' AS phase
+               FROM clean_before GROUP BY ALL
+               UNION ALL
+               SELECT o_orderstatus_desc, count(*), CAST(sum(o_totalprice) AS DOUBLE), 'repeated'
+               FROM merged GROUP BY ALL""",
+        ),
+        "customer_ltv_incremental": _with(
+            _merge_expectation("orders", ORDERS_SILVER, "o_orderkey", ORDERS_BEFORE, ORDERS_AFTER),
+            """SELECT o_custkey, count(*) AS total_orders, count(o_totalprice) AS priced_orders,
+                      CAST(sum(o_totalprice) AS DOUBLE) AS total_spent,
+                      strftime(min(o_orderdate), '%Y-%m-%d') AS first_order_date,
+                      strftime(max(o_orderdate), '%Y-%m-%d') AS last_order_date
+               FROM merged WHERE NOT (o_orderstatus = 'O' AND o_orderpriority = '5-LOW')
+               GROUP BY o_custkey""",
+        ),
+        "order_blocks_by_date": _with(
+            {"daily": _daily("orders_silver", _WINDOW)},
+            f"""SELECT {_show(DAILY)},
+                       (SELECT count(DISTINCT year(o_orderdate) * 100 + month(o_orderdate))
+                        FROM orders_silver WHERE o_orderdate >= {_WINDOW}) AS blocks_opened
+                FROM daily""",
         ),
         "orders_pending_count": _with(
             _CHANGES,

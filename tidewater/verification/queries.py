@@ -38,18 +38,21 @@ from ..schemas import (
     CUSTOMER_LTV,
     CUSTOMER_SENSITIVE,
     CUSTOMER_SILVER,
+    CUSTOMER_TOTALS,
     DAILY_SALES_SUMMARY,
     LINEITEM_SILVER,
     ORDERS_SILVER,
     STAGING,
     TableSpec,
     key_range_block,
+    month_block,
 )
 from ..sources.catalog import register_tables
 from ..sources.delimited import bulk_load
 from ..sources.given_tables import staging_table
 from ..sources.stage import staged_files
-from ..streaming.ingest import ingest_new_files
+from ..streaming.feed import ChangeFeed
+from ..streaming.ingest import ingest_new_files, ingest_status
 from ..workspace import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -329,6 +332,37 @@ def pipe_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(store.read_partitioned(spec).select(*columns))
 
 
+def follow_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same deliveries, taken up by a load that keeps running."""
+    stage = scratch_dir(spark, "stage")
+    store = TableStore(spark, scratch_dir(spark, "tables"))
+    spec = STAGING["orders"]
+    orders = _file_columns(staged(spark, sf_dir, "orders"), "orders")
+    border = F.col("o_orderdate") < F.lit(date(1998, 1, 1))
+    load = None
+    try:
+        for number, part in ((1, border), (2, ~border)):
+            _deliver(orders.filter(part), stage, f"tpch_sf1_orders_{number}.csv")
+            load = load or ingest_new_files(store, spec, stage, trigger={"processingTime": "1 second"})
+            load.processAllAvailable()
+    finally:
+        if load:
+            load.stop()
+    columns = [f.name for f in spec.file_columns] + [BATCH_COLUMN]
+    return shown(store.read_partitioned(spec).select(*columns))
+
+
+def load_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status of a load that has taken up one delivery and ended."""
+    stage = scratch_dir(spark, "stage")
+    store = TableStore(spark, scratch_dir(spark, "tables"))
+    _deliver(_file_columns(staged(spark, sf_dir, "nation"), "nation"), stage, "tpch_sf1_nation_1.csv")
+    load = ingest_new_files(store, STAGING["nation"], stage)
+    load.awaitTermination()
+    status = ingest_status(load)
+    return status.select("name", "is_active", "batch_id", (F.col("input_rows") > 0).alias("has_rows"))
+
+
 def pipe_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage = scratch_dir(spark, "stage")
     store = TableStore(spark, scratch_dir(spark, "tables"))
@@ -458,6 +492,109 @@ def orders_newest_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(feed.select("o_orderkey", "o_comment", "_action", "created_at"))
 
 
+def _fed(spark: SparkSession, sf_dir: str) -> tuple[TableStore, ChangeFeed]:
+    """Stored orders of the first snapshot, a feed behind them, then deletes, an update and a new load."""
+    store = TableStore(spark, scratch_dir(spark, "tables"))
+    orders = STAGING["orders"]
+    store.write_batch(orders, _orders_before(spark, sf_dir), 0)
+    silver.full_load(store, silver.ORDERS_JOB, F.lit("2024-02-01").cast("timestamp"))
+    feed = silver.ORDERS_JOB.feed(store)
+    feed.start()
+    store.delete_where(orders, (F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "5-LOW"))
+    pending = F.col("o_orderstatus") == "P"
+    price = (F.col("o_totalprice") + 10).cast("decimal(12,2)")
+    store.update_where(orders, pending, {"o_orderstatus": F.lit("F"), "o_totalprice": price})
+    later = _orders_after(spark, sf_dir).where(F.col("o_orderdate") >= F.lit(date(2001, 1, 1)))
+    store.write_batch(orders, later, 3)
+    return store, feed
+
+
+def orders_feed_after_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored table's own change feed, behind deletes, an update and a load."""
+    _, feed = _fed(spark, sf_dir)
+    return shown(feed.pending().rows.drop(ROW_ID, "from_source", "created_at", "_ingested_at"))
+
+
+def orders_feed_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of waiting rows, as the feed reports it and by kind."""
+    _, feed = _fed(spark, sf_dir)
+    waiting = feed.pending()
+    kinds = waiting.rows.groupBy("_action", "_is_update").agg(F.count(F.lit(1)).alias("pending"))
+    return kinds.withColumn("all_pending", F.lit(waiting.count).cast("bigint"))
+
+
+def merge_job_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two runs of the orders merge report: the second has nothing to do."""
+    store, _ = _fed(spark, sf_dir)
+    results = [(run, *vars(silver.merge_orders_cdc(store)).values()) for run in (1, 2)]
+    return spark.createDataFrame(results, "run bigint, rows_affected bigint, message string")
+
+
+def merge_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load stamps after a merge: set where a row was merged, unchanged elsewhere."""
+    store, _ = _fed(spark, sf_dir)
+    silver.merge_changes(store, silver.ORDERS_JOB, F.lit("2024-03-01").cast("timestamp"))
+    stamp = F.date_format("last_updated_at", "yyyy-MM-dd").alias("updated_on")
+    first = F.date_format("first_loaded_at", "yyyy-MM-dd").alias("first_loaded_on")
+    return store.read(ORDERS_SILVER).select("o_orderkey", "o_orderstatus", stamp, first)
+
+
+def write_then_read_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table read by its name behind a merge that was cut off before its commit, and behind its repetition."""
+
+    class CutOff(TableStore):
+        def _commit(self, spec, versions, note):
+            raise RuntimeError("cut off")
+
+    store = TableStore(spark, scratch_dir(spark, "tables"))
+    before, after = (silver.orders_silver(f(spark, sf_dir)) for f in (_orders_before, _orders_after))
+    store.overwrite(ORDERS_SILVER, before)
+    register_tables(store, [ORDERS_SILVER])
+    copied = [c for c in after.columns if c != "o_orderkey"]
+
+    def by_name(phase: str) -> DataFrame:
+        rows = spark.sql(
+            "SELECT o_orderstatus_desc, count(*) AS order_count, sum(o_totalprice) AS total"
+            " FROM analytics.orders_silver GROUP BY o_orderstatus_desc"
+        )
+        # Kept at once: the next write changes what the name stands for.
+        kept = shown(rows.withColumn("phase", F.lit(phase)))
+        return spark.createDataFrame(kept.collect(), kept.schema)
+
+    try:
+        CutOff(spark, store.root).merge(ORDERS_SILVER, after, copied, copied)
+    except RuntimeError:
+        cut_off = by_name("cut off")
+    store.merge(ORDERS_SILVER, after, copied, copied)
+    return cut_off.union(by_name("repeated"))
+
+
+def customer_ltv_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals per customer kept by deltas: built once, then moved by a merge and a delete of orders."""
+    store = TableStore(spark, scratch_dir(spark, "tables"))
+    store.overwrite(ORDERS_SILVER, silver.orders_silver(_orders_before(spark, sf_dir)))
+    gold.refresh_customer_totals(store)
+    after = silver.orders_silver(_orders_after(spark, sf_dir))
+    copied = [c for c in after.columns if c != "o_orderkey"]
+    store.merge(ORDERS_SILVER, after, copied, copied)
+    gold.refresh_customer_totals(store)
+    store.delete_where(ORDERS_SILVER, (F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "5-LOW"))
+    gold.refresh_customer_totals(store)
+    return shown(store.read(CUSTOMER_TOTALS).where("total_orders > 0"))
+
+
+def order_blocks_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales of the newest days, from blocks chosen by the order dates kept for each."""
+    store = TableStore(spark, scratch_dir(spark, "tables"))
+    narrow = replace(ORDERS_SILVER, block=month_block("o_orderdate"), keys=("o_orderkey",))
+    store.overwrite(narrow, _orders(spark, sf_dir))
+    newest = gold.newest_order_date(store)
+    since = gold.window_start(newest)
+    opened = store.zones(ORDERS_SILVER).where(F.col("high") >= since.isoformat()).count()
+    sales = gold.daily_sales(gold.orders_since(store, since))
+    return shown(sales.withColumn("blocks_opened", F.lit(opened).cast("bigint")))
+
+
 def delete_where_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delete from the stored staging table; rows whose condition is NULL stay."""
     store = TableStore(spark, scratch_dir(spark, "tables"))
@@ -826,6 +963,15 @@ def medallion_customer_ltv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     named = (
+        follow_incremental,
+        load_status,
+        orders_feed_after_delete,
+        orders_feed_pending,
+        merge_job_results,
+        merge_stamps,
+        write_then_read_by_name,
+        customer_ltv_incremental,
+        order_blocks_by_date,
         csv_bulk_load,
         csv_ragged_load,
         csv_quoted_breaks,
