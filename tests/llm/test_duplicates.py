@@ -128,7 +128,7 @@ def passages():
 
 @pytest.mark.parametrize("shard_segments", [1, 2000])
 def test_repeated_words(spark, monkeypatch, shard_segments):
-    monkeypatch.setattr(substrings.repeats, "__defaults__", (shard_segments,))
+    monkeypatch.setattr(substrings.trimmed, "__defaults__", (shard_segments,))
     texts = passages()
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substrings.repeated_words(documents(spark, texts)).collect()}
     assert got == dict(enumerate(plain_repeats(texts)))
@@ -160,23 +160,9 @@ def test_fm_index():
         assert (n == 0 or times(n) >= 2) and (n == 12 or times(n + 1) < 2)
 
 
-def test_near_dedup_stage_links_at_shingle_similarity(spark):
-    texts = []
-    for i in range(40):
-        base = words(300, 7000 + i)
-        changed = base[:]
-        for k in range(1 + i % 12):
-            changed[(29 * i + 23 * k) % 300] = f"new{i}x{k}"
-        texts += [" ".join(base), " ".join(changed)]
-    texts += ["short one", "Short  one", "", " ", "other text entirely"]
-    docs = documents(spark, texts + ["null id"], [*range(len(texts)), None])
-    parts = [" ".join(t.lower().split()).split() for t in texts]
-    sets = [{" ".join(p[i : i + 5]) for i in range(max(1, len(p) - 4))} for p in parts]
-    near = lambda a, b: a == b or len(a & b) >= 0.8 * len(a | b)
-    linked = [(i, j) for i in range(len(sets)) for j in range(i) if near(sets[i], sets[j])]
-    want = set(roots(range(len(sets)), linked).values())
+def test_near_dedup_stage_is_the_simhash_operator(spark):
+    docs = documents(spark, [*near_texts(), *AWKWARD, "null id"], [*range(40 + len(AWKWARD)), None])
     rows = corpus_pipeline.one_of_each(spark, docs, "").collect()
-    got = {r.doc_id for r in rows if r.doc_id is not None}
-    assert got >= want and len(got - want) <= 1  # candidates at just 0.8 are found with 0.98
-    assert [r.text for r in rows if r.doc_id is None] == ["null id"]
+    want = {r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert sorted(r.doc_id for r in rows if r.doc_id is not None) == sorted(want - {None})
     assert corpus_pipeline.one_of_each(spark, documents(spark, []), "").count() == 0

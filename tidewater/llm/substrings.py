@@ -7,12 +7,14 @@ same anchor form a segment. Equal windows have equal anchors.
 1. One pass over the texts gives each document a digest of its words and its anchors. Documents with equal words are
    copies: their windows all repeat, and one of them stands for the class from here on.
 2. Anchors are counted; a window whose anchor occurs once is unique. Documents with repeated anchors are written.
-3. Their segments with repeated anchors are written and collapsed by content. A segment found twice repeats as a whole.
+3. Their segments with repeated anchors are written and collapsed by content. A segment found twice repeats as a whole,
+   so only segments found once go on, each with its one place: no occurrence is joined back to its content.
 4. Shards of segments, by anchor, get a compressed FM-index each (Burrows-Wheeler transform in a wavelet matrix).
    Segments found once are streamed through it: backward search gives matching statistics, and windows whose
    statistic reaches the threshold occur elsewhere. Anchors with more than ``SHARD_SEGMENTS`` different segments would
    not fit a shard; their windows are compared by 128-bit digests instead, which spreads them over all tasks.
-5. The found windows return to their documents, which drop the covered words.
+5. What was found once returns to its document with the windows that do repeat; every other window of the document's
+   written segments repeats. The document drops the covered words.
 
 Defined results: a null, empty or blank text has no words; a text shorter than a window keeps all; repeated rows are
 copies; an empty table gives no rows; other columns are kept by ``drop_repeats`` and not read otherwise.
@@ -114,34 +116,39 @@ def suspects(docs: DataFrame, classes: DataFrame, text_column: str) -> DataFrame
 
 
 def segments(found: DataFrame) -> DataFrame:
-    """digest, start, windows, anchor, content (digest of 16 bytes), words of each segment with a repeated anchor."""
+    """For each document its segments with a repeated anchor: start, windows, anchor, content (digest of 16 bytes), words."""
 
     def work(digests, anchors, texts):
-        out: list[list] = [[] for _ in range(6)]
-        for digest, wanted, text in zip(digests, anchors, texts, strict=True):
+        out: list[list] = [digests, [], [], [], [], []]
+        for wanted, text in zip(anchors, texts, strict=True):
             words = text.encode().split()
             first, count, anchor = runs(word_hashes(b" ".join(words)))
             anchor = anchor.view(np.int64)
-            for i in np.flatnonzero(np.isin(anchor, np.array(wanted, np.int64))).tolist():
-                a, n = int(first[i]), int(count[i])
-                content = b" ".join(words[a : a + n + WINDOW - 1])
-                for column, v in zip(out, (digest, a, n, int(anchor[i]), hashlib.blake2b(content, digest_size=16).digest(), content), strict=True):
-                    column.append(v)
+            here = np.isin(anchor, np.array(wanted, np.int64))
+            first, count = first[here].tolist(), count[here].tolist()
+            contents = [b" ".join(words[a : a + n + WINDOW - 1]) for a, n in zip(first, count, strict=True)]
+            row = (first, count, anchor[here].tolist(), [hashlib.blake2b(c, digest_size=16).digest() for c in contents], contents)
+            for column, v in zip(out[1:], row, strict=True):
+                column.append(v)
         return out
 
-    return map_rows(found, ["digest", "anchors", "text"], work, "digest string, start int, windows int, anchor long, content binary, words binary")
+    schema = "digest string, starts array<int>, windows array<int>, anchors array<long>, contents array<binary>, words array<binary>"
+    return map_rows(found, ["digest", "anchors", "text"], work, schema)
 
 
 def search(shards: DataFrame) -> DataFrame:
-    """content, mask (bit i: window i repeats) of segments; rows come sorted by anchor within each partition."""
+    """digest, start, windows, mask (bit i: window i repeats) of segments found once; rows come sorted by anchor."""
 
     def resolve(rows: list[tuple]) -> pa.RecordBatch:
         numbers: dict[bytes, int] = {}
         parts, queries, at = [], [], 0
-        for content, n, times, words in rows:
+        singles = [r[:3] for r in rows if r[3] == 1]
+        for _, _, n, times, words in rows:
+            if words is None:
+                continue  # alone with its anchor: it meets no other
             symbols = [numbers.setdefault(w, len(numbers) + 1) for w in words.split(b" ")]
             if times == 1:
-                queries.append((content, n, at))
+                queries.append((len(queries), n, at))
             parts += [*symbols, 0]
             at += len(symbols) + 1
         masks = []
@@ -151,30 +158,32 @@ def search(shards: DataFrame) -> DataFrame:
             ends = np.concatenate([at + WINDOW - 1 + np.arange(n) for _, n, at in queries])
             repeats = index.matched(text, ends, WINDOW, 2) >= WINDOW
             cuts = np.cumsum([0, *(n for _, n, _ in queries)])
-            for (content, n, _), a in zip(queries, cuts, strict=False):
-                mask = int(np.packbits(repeats[a : a + n], bitorder="little").tobytes()[::-1].hex() or "0", 16)
-                if mask:
-                    masks.append((content, mask))
-        masks += [(content, (1 << n) - 1) for content, n, times, _ in rows if times > 1]
-        return pa.RecordBatch.from_arrays([pa.array([m[0] for m in masks], pa.binary()), pa.array([m[1] for m in masks], pa.int64())], names=["content", "mask"])
+            masks = [int(np.packbits(repeats[a : a + n], bitorder="little").tobytes()[::-1].hex(), 16) for (_, n, _), a in zip(queries, cuts, strict=False)]
+        found = iter(masks)
+        columns = [
+            pa.array([r[0] for r in singles], pa.string()),
+            pa.array([r[1] for r in singles], pa.int32()),
+            pa.array([r[2] for r in singles], pa.int32()),
+            pa.array([0 if r[4] is None else next(found) for r in rows if r[3] == 1], pa.int64()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["digest", "start", "windows", "mask"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, held, size, last = [], [], 0, None
         for batch in batches:
             for anchor, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if anchor != last:
-                    # a segment alone with its anchor meets no other: it needs no index
-                    held += group if len(group) > 1 else [(c, n, t, b"") for c, n, t, _ in group if t > 1]
+                    held += group if len(group) > 1 else [(*r[:4], None) for r in group]
                     group, last = [], anchor
                     if size > SHARD_WORDS:
                         yield resolve(held)
                         held, size = [], 0
                 group.append(tuple(row))
-                size += row[1] + WINDOW
-        held += group if len(group) > 1 else [(c, n, t, b"") for c, n, t, _ in group if t > 1]
+                size += row[2] + WINDOW
+        held += group if len(group) > 1 else [(*r[:4], None) for r in group]
         yield resolve(held)
 
-    return shards.select("anchor", "content", "windows", "times", "words").mapInArrow(run, "content binary, mask long")
+    return shards.select("anchor", "digest", "start", "windows", "times", "words").mapInArrow(run, "digest string, start int, windows int, mask long")
 
 
 def window_digests(found: DataFrame) -> DataFrame:
@@ -193,33 +202,37 @@ def window_digests(found: DataFrame) -> DataFrame:
     return map_rows(found, ["digest", "start", "windows", "words"], work, "digest string, start int, window binary")
 
 
-def repeats(found: DataFrame, shard_segments: int = SHARD_SEGMENTS) -> DataFrame:
-    """digest, hits: the repeated windows of each suspect document, as (start, mask) pairs."""
-    spark = found.sparkSession
-    parts = written(spark, segments(found), "segments")
-    distinct = parts.groupBy("anchor", "content").agg(F.count("*").alias("times"), F.first("windows").alias("windows"), F.first("words").alias("words"))
+def exceptions(parts: DataFrame, shard_segments: int = SHARD_SEGMENTS) -> DataFrame:
+    """digest, found: (start, windows, mask) of the segments and windows that were found once."""
+    spark = parts.sparkSession
+    each = parts.select("digest", F.explode(F.arrays_zip("starts", "windows", "anchors", "contents", "words")).alias("s")).select(
+        "digest", F.col("s.starts").alias("start"), "s.windows", F.col("s.anchors").alias("anchor"), F.col("s.contents").alias("content"), "s.words"
+    )
+    # Of a content found once the first place is the only one.
+    distinct = each.groupBy("anchor", "content").agg(F.count("*").alias("times"), *(F.first(c).alias(c) for c in ("digest", "start", "windows", "words")))
     distinct = written(spark, distinct, "contents")
     # Few anchors are this common; they are written, so that their size decides how they are joined.
     hot = written(spark, distinct.groupBy("anchor").count().where(F.col("count") > shard_segments).select("anchor"), "hot-anchors")
     shards = distinct.join(hot, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
-    masks = search(shards)
-    cold = parts.select("digest", "start", "content").join(masks, "content").select("digest", "start", "mask")
-    single = written(spark, window_digests(parts.join(hot, "anchor", "left_semi")), "hot-windows")
-    twice = single.groupBy("window").count().where("count > 1").select("window")
-    warm = single.join(twice, "window").select("digest", "start", F.lit(1).cast("long").alias("mask"))
-    return cold.union(warm).groupBy("digest").agg(F.collect_list(F.struct("start", "mask")).alias("hits"))
-
-
-def covered(n_words: int, hits: list[tuple[int, int]]) -> np.ndarray:
-    """Whether each word lies in a repeated window."""
-    windows = np.zeros(n_words + WINDOW, np.int64)
-    for start, mask in hits:
-        for i in range(mask.bit_length()):
-            if mask >> i & 1:
-                windows[start + i] += 1
-                windows[start + i + WINDOW] -= 1
-    # several hits may end where others start: cover counts stay exact
-    return np.cumsum(windows)[:n_words] > 0
+    cold = search(shards)
+    windows = window_digests(each.join(hot, "anchor", "left_semi"))
+    once = windows.groupBy("window").agg(F.count("*").alias("times"), F.first("digest").alias("digest"), F.first("start").alias("start")).where("times = 1")
+    warm = once.select("digest", "start", F.lit(1).alias("windows"), F.lit(0).cast("long").alias("mask"))
+    return cold.union(warm).groupBy("digest").agg(F.collect_list(F.struct("start", "windows", "mask")).alias("found"))
+
+
+def covered(n_words: int, starts: list[int], windows: list[int], found: list[tuple[int, int, int]]) -> np.ndarray:
+    """Whether each word lies in a repeated window: one of the given segments, less what was found once."""
+    repeated = np.zeros(max(0, n_words - WINDOW + 1), bool)
+    for start, n in zip(starts, windows, strict=True):
+        repeated[start : start + n] = True
+    for start, n, mask in found:
+        repeated[start : start + n] = [mask >> i & 1 for i in range(n)]
+    edges = np.zeros(n_words + 1, np.int64)
+    at = np.flatnonzero(repeated)
+    np.add.at(edges, at, 1)
+    np.add.at(edges, at + WINDOW, -1)
+    return np.cumsum(edges)[:n_words] > 0
 
 
 def without(text: str, gone: np.ndarray) -> str:
@@ -234,20 +247,24 @@ def without(text: str, gone: np.ndarray) -> str:
     return "".join(parts) if skipping else "".join([*parts, text[at:]])
 
 
-def trimmed(found: DataFrame, hits: DataFrame) -> DataFrame:
+def trimmed(found: DataFrame, shard_segments: int = SHARD_SEGMENTS) -> DataFrame:
     """digest, n_removed, kept_sha256, kept_text of the suspects that lose words."""
 
-    def work(digests, hits, texts):
-        out: list[list] = [digests, [], [], []]
-        for text, own in zip(texts, hits, strict=True):
+    def work(digests, starts, windows, once, texts):
+        out: list[list] = [[], [], [], []]
+        for digest, own_starts, own_windows, own, text in zip(digests, starts, windows, once, texts, strict=True):
             words = text.encode().split()
-            gone = covered(len(words), [(h["start"], h["mask"]) for h in own])
-            out[1].append(int(gone.sum()))
-            out[2].append(hashlib.sha256(b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g)).hexdigest())
-            out[3].append(without(text, gone))
+            gone = covered(len(words), own_starts, own_windows, [(x["start"], x["windows"], x["mask"]) for x in own or ()])
+            if gone.any():
+                kept = b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g)
+                for column, v in zip(out, (digest, int(gone.sum()), hashlib.sha256(kept).hexdigest(), without(text, gone)), strict=True):
+                    column.append(v)
         return out
 
-    return map_rows(found.select("digest", "text").join(hits, "digest"), ["digest", "hits", "text"], work, "digest string, n_removed long, kept_sha256 string, kept_text string")
+    parts = written(found.sparkSession, segments(found), "segments")
+    marked = parts.select("digest", "starts", "windows").join(exceptions(parts, shard_segments), "digest", "left")
+    schema = "digest string, n_removed long, kept_sha256 string, kept_text string"
+    return map_rows(found.select("digest", "text").join(marked, "digest"), ["digest", "starts", "windows", "found", "text"], work, schema)
 
 
 def _analysed(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -258,7 +275,7 @@ def _analysed(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFr
     classes = written(spark, classes.select("digest", "copies", "own.text_digest", "own.anchors"), "classes")
     found = suspects(docs, classes, text_column).dropDuplicates(["digest"])
     found = written(spark, found, "suspect-classes")
-    return rows, classes, trimmed(found, repeats(found))
+    return rows, classes, trimmed(found)
 
 
 def repeated_words(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
