@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,24 +49,24 @@ class Tokens:
         special = next(iter(specials), None)
         self.special = specials.get(special)
         self.coding = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens=specials)
-        self.ids: list[int] = []
-        self.ends = [0]
+        self._forget()
         self.pieces = PieceCache(self._learn, self._forget, special)
 
     def _learn(self, piece: str) -> None:
         if piece == SPECIAL_MARK:
             self.ids.append(self.special)
         else:
-            self.ids += self.coding.encode_ordinary(piece)
+            self.ids.extend(self.coding.encode_ordinary(piece))
         self.ends.append(len(self.ids))
 
     def _forget(self) -> None:
-        self.ids, self.ends = [], [0]
+        # Arrays of fixed width: numpy reads them in place, however many pieces are known.
+        self.ids, self.ends = array("I"), array("q", [0])
 
     def __call__(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and where each text's ids start, with the end."""
         numbers, bounds = self.pieces.split(texts)
-        ids, ends = ragged(np.asarray(self.ids, np.uint32), np.asarray(self.ends, np.int64), numbers)
+        ids, ends = ragged(np.frombuffer(self.ids, np.uint32), np.frombuffer(self.ends, np.int64), numbers)
         return ids, np.concatenate([[0], ends])[bounds]
 
 

@@ -100,12 +100,12 @@ class PieceCache:
         real = self.classes[codes[places]] != BREAK
         part_ends = np.append(places[~real], len(codes))
         lo, hi = places[real], ends[real]
-        numbers = self._numbers(codes, lo, hi)
+        numbers = self._numbers(joined, codes, lo, hi)
         per_part = np.diff(np.searchsorted(lo, part_ends), prepend=0)
         per_text = np.bincount(owner, weights=per_part, minlength=len(texts)).astype(np.int64)
         return numbers, np.concatenate([[0], np.cumsum(per_text)])
 
-    def _numbers(self, codes: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    def _numbers(self, joined: str, codes: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         if len(self.powers) <= len(codes):
             n = len(codes) + 1
             self.powers, self.inverses = (np.full(n, x, np.uint64) for x in (_BASE, _INVERSE))
@@ -118,22 +118,21 @@ class PieceCache:
         distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
         keys = distinct.tolist()
         found = list(map(self.known.get, keys))
-        for k, number in enumerate(found):
-            if number is None:
-                i = first[k]
-                found[k] = self._number(keys[k], codes, lo[i], hi[i])
+        missing = [k for k, number in enumerate(found) if number is None]
+        for k, a, b in zip(missing, lo[first[missing]].tolist(), hi[first[missing]].tolist(), strict=True):
+            # a long piece is looked up by its characters instead
+            found[k] = 0 if b - a > LONG_PIECE else self._number(keys[k], joined[a:b])
         numbers = np.array(found, np.int64)[back]
         for i in np.flatnonzero(hi - lo > LONG_PIECE).tolist():
-            numbers[i] = self._number(codes[lo[i] : hi[i]].tobytes(), codes, lo[i], hi[i])
+            piece = joined[lo[i] : hi[i]]
+            numbers[i] = self._number(piece, piece)
         return numbers
 
-    def _number(self, key, codes: np.ndarray, lo: int, hi: int) -> int:
+    def _number(self, key: int | str, piece: str) -> int:
         got = self.known.get(key)
         if got is None:
-            if isinstance(key, int) and hi - lo > LONG_PIECE:
-                return 0  # looked up by its characters instead
             got = self.known[key] = len(self.known)
-            self.learn(codes[lo:hi].tobytes().decode("utf-32-le", "surrogatepass"))
+            self.learn(piece)
         return got
 
 
