@@ -7,9 +7,11 @@ import pytest
 from conftest import rows
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from tidewater.schemas import STAGING
-from tidewater.sources import bulk_load, list_stage, project_positional, staged_files
+from tidewater.sources import CSV_PIPE, bulk_load, list_stage, project_positional, read_lines, records, staged_files
+from tidewater.sources.delimited import _split_table, counted
 
 NATION_HEAD = "n_nationkey,n_name,n_regionkey,n_comment\n"
 
@@ -77,6 +79,57 @@ def test_bulk_pattern_also_matches_pipe_files(spark, stage):
     assert one.first().o_orderdate == date(1995, 1, 1)
 
 
+def delivered(seed, rows, breaks):
+    """A file's text and its rows: quotes, commas, blank lines and line breaks inside fields."""
+    import csv
+    import io
+    import random
+
+    r = random.Random(seed)
+    bits = ['"', ",", " x ", "né", "a", "\"\"", "日", "\r\n" if seed % 2 else "z"] + ["\n", "\n\n", "\n1,2,3,4\n"] * breaks
+    data = [(i, "".join(r.choice(bits) for _ in range(r.randrange(9))), i % 5, r.choice(["", "c", 'say "hi"'])) for i in range(rows)]
+    out = io.StringIO()
+    writer = csv.writer(out, quoting=csv.QUOTE_NONNUMERIC, lineterminator="\r\n" if seed % 2 else "\n")
+    writer.writerow(["n_nationkey", "n_name", "n_regionkey", "n_comment"])
+    writer.writerows(data)
+    return out.getvalue(), data
+
+
+@pytest.mark.parametrize("split", ["48", "333", "134217728"])
+def test_splits_of_a_file_give_whole_rows(spark, stage, split):
+    """Whatever the splits, quoted line breaks stay in their field and no row is lost or cut."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    want = []
+    try:
+        for seed in range(6):
+            text, data = delivered(seed, 60, breaks=seed % 3)
+            (stage / f"tpch_sf1_nation_{seed}.csv").write_bytes(text.encode())
+            want += [(seed, *row) for row in data]
+        lines = read_lines(spark, str(stage), STAGING["nation"].bulk_pattern)
+        found = records(lines)
+        schema = "n_nationkey string, n_name string, n_regionkey string, n_comment string"
+        file = F.regexp_extract("file", "_([0-9])[.]csv", 1).cast("int").alias("file")
+        parsed = found.select(file, F.from_csv("record", schema, CSV_PIPE).alias("c")).select("file", "c.*")
+        got = sorted((r.file, int(r.n_nationkey), r.n_name, int(r.n_regionkey), r.n_comment) for r in parsed.collect())
+        assert got == sorted(want)
+        assert split != "48" or lines.rdd.getNumPartitions() > 100
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_unbalanced_quotes_are_an_error(spark, stage):
+    with pytest.raises((PySparkException, Py4JJavaError), match="unbalanced quotes"):
+        nations(spark, stage, '1,"open,2,c\n2,b,2,c\n').collect()
+
+
+def test_lines_without_odd_quotes_are_not_brought_together(spark, stage):
+    put(stage, "tpch_sf1_nation_1.csv", NATION_HEAD + '1,"x,y",2,c\n' * 3)
+    put(stage, "tpch_sf1_nation_2.csv", NATION_HEAD + '1,"x\ny",2,c\n' * 3)
+    lines = read_lines(spark, str(stage))
+    table = {r._file[-5]: r.tangled for r in _split_table(counted(lines)).collect()}
+    assert table == {"1": False, "2": True}
+
+
 def test_positional_cast_cuts_long_text(spark):
     df = spark.createDataFrame([("1", "n" * 30, "2", None)], "a string, b string, c string, d string")
     row = project_positional(df, STAGING["nation"].file_columns).first()

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import time
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidewater.schemas import CUSTOMER_LTV, ORDERS_SILVER, STAGING
-from tidewater.streaming import ChangeFeed, follow_stage, ingest_new_files, ingest_status
+from tidewater.streaming import ChangeFeed, follow_stage, ingest_new_files, ingest_stage, ingest_status
 
 REGION = STAGING["region"]
 
@@ -64,6 +65,36 @@ def test_files_of_other_tables_make_no_batch(spark, store, stage):
     assert store.read(REGION).count() == 0
 
 
+def test_one_load_deals_files_to_their_tables(spark, store, stage):
+    specs = list(STAGING.values())
+    deliver(stage, 1, "1,A,c", "2,B,c")
+    deliver(stage, 1, "5,JAPAN,1,c", table="nation")
+    ingest_stage(store, specs, str(stage)).awaitTermination()
+    deliver(stage, 2, "3,C,c")
+    (stage / "other.txt").write_text("not,a,table\n")
+    ingest_stage(store, specs, str(stage)).awaitTermination()
+    ingest_stage(store, specs, str(stage)).awaitTermination()
+    assert rows(store.read_partitioned(REGION), "r_regionkey", "_batch_id") == [(1, 0), (2, 0), (3, 1)]
+    assert rows(store.read(STAGING["nation"]), "n_nationkey", "n_name") == [(5, "JAPAN")]
+    assert os.listdir(store.control_path("ingest")) == ["stage"]
+    with pytest.raises(RuntimeError):  # a load of its own would take files up again
+        load(store, stage)
+    with pytest.raises(RuntimeError):  # the others' files would be passed over
+        ingest_stage(store, [REGION], str(stage))
+
+
+def test_a_store_begun_table_by_table_goes_on_so(spark, store, stage):
+    from tidewater.plans.refresh import ingest_all
+
+    deliver(stage, 1, "1,A,c")
+    load(store, stage)
+    deliver(stage, 2, "2,B,c")
+    ingest_all(store, str(stage))
+    assert rows(store.read(REGION), "r_regionkey") == [(1,), (2,)]
+    with pytest.raises(RuntimeError):
+        ingest_stage(store, list(STAGING.values()), str(stage))
+
+
 def test_feed_starts_after_existing_rows(spark, store, stage):
     deliver(stage, 1, "1,A,c")
     load(store, stage)

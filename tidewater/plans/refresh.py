@@ -10,7 +10,7 @@ from pyspark import inheritable_thread_target
 
 from ..operators.store import JobResult, TableStore
 from ..schemas import DERIVED, STAGING
-from ..streaming.ingest import bulk_load_new_files, ingest_new_files
+from ..streaming.ingest import bulk_load_new_files, followed_whole, ingest_new_files, ingest_stage, started_singly
 from .gold import (
     DEFAULT_AS_OF,
     load_customer_ltv,
@@ -45,8 +45,16 @@ def start_feeds(store: TableStore, include_initial: bool = False) -> None:
 
 
 def ingest_all(store: TableStore, stage_dir: str, tables: Sequence[str] = tuple(STAGING)) -> None:
-    """Load new files of all tables; the loads are independent streams and run side by side."""
-    loads = [ingest_new_files(store, STAGING[name], stage_dir) for name in tables]
+    """Load new files of the tables.
+
+    All tables share one load, which lists the stage once. Some of them, or a store whose tables were begun
+    one by one, have a load each.
+    """
+    specs = [STAGING[name] for name in tables]
+    if followed_whole(store) or not started_singly(store) and len(specs) == len(STAGING):
+        loads = [ingest_stage(store, specs, stage_dir)]
+    else:
+        loads = [ingest_new_files(store, spec, stage_dir) for spec in specs]
     for load in loads:
         load.awaitTermination()
 

@@ -1,6 +1,6 @@
 """Readers: delimited files, the stage folder and the test tables."""
 
-from .delimited import CSV_BULK, CSV_PIPE, bulk_load, project_positional, read_text_columns
+from .delimited import CSV_BULK, CSV_PIPE, bulk_load, project_positional, read_lines, records
 from .stage import list_stage, staged_files
 
 __all__ = [
@@ -8,7 +8,8 @@ __all__ = [
     "CSV_PIPE",
     "bulk_load",
     "project_positional",
-    "read_text_columns",
+    "read_lines",
+    "records",
     "list_stage",
     "staged_files",
 ]

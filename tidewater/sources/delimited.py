@@ -6,32 +6,21 @@ instead of becoming NULL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructField, StructType, VarcharType
+from pyspark.sql.types import DataType, StructField, VarcharType
 
 from ..schemas import LINEAGE, TableSpec, stored_type
 from ..session import require_ansi
+from ..workspace import scratch_dir
 
 # An unquoted empty field is NULL, a quoted one is the empty text: the NULL marker is a character
 # that text files do not hold, so the two stay apart.
-_COMMON = {
-    "sep": ",",
-    "header": "true",
-    "quote": '"',
-    "escape": '"',
-    "nullValue": "\u0000",
-    "emptyValue": "",
-    "enforceSchema": "true",
-    # A quoted field may hold line breaks, so a file is read by one task: deliveries should be many
-    # files of moderate size. ``{**CSV_PIPE, "multiLine": "false"}`` splits files that have no such field.
-    "multiLine": "true",
-}
+_COMMON = {"sep": ",", "quote": '"', "escape": '"', "nullValue": "\u0000", "emptyValue": ""}
 # Bulk load: spaces are trimmed and a row with too few or too many fields aborts the load.
 CSV_BULK = {
     **_COMMON,
     "mode": "FAILFAST",
-    "columnPruning": "false",
     "ignoreLeadingWhiteSpace": "true",
     "ignoreTrailingWhiteSpace": "true",
 }
@@ -39,25 +28,107 @@ CSV_BULK = {
 CSV_PIPE = {**_COMMON, "mode": "PERMISSIVE"}
 
 
-def text_schema(fields: list[StructField]) -> StructType:
-    return StructType([StructField(f.name, StringType(), True) for f in fields])
-
-
 def path_matches(pattern: str) -> Column:
     """The whole file path matches. Spark applies this to the file list, before opening files."""
     return F.col("_metadata.file_path").rlike(rf"^(?:{pattern})\z")
 
 
-def read_text_columns(reader, spec: TableSpec, options: dict[str, str], path: str) -> DataFrame:
-    """Apply the schema and options to ``spark.read`` or ``spark.readStream`` below ``path``."""
-    return (
-        reader.schema(text_schema(spec.file_columns))
-        .options(**options)
-        .option("recursiveFileLookup", "true")
-        .csv(path)
+def read_lines(spark: SparkSession, paths: str | list[str], pattern: str | None = None) -> DataFrame:
+    """value, file, modified, block (first byte of the split) of every line, in splits of any size."""
+    lines = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(paths)
+    if pattern:
+        lines = lines.filter(path_matches(pattern))
+    return lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+
+
+def counted(lines: DataFrame) -> DataFrame:
+    """The lines with their order in a split and whether they hold an odd number of quotes."""
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
+    return lines.withColumns({"line": F.monotonically_increasing_id(), "odd": odd})
+
+
+def _split_table(lines: DataFrame) -> DataFrame:
+    """For each split: whether it starts inside quotes, whether records in it may span lines, and the file's header.
+
+    The first pass: quotes are counted where the lines are read, and only one row for each split is shuffled. A prefix
+    sum over a file's splits tells whether an odd number of quotes lies before one.
+    """
+    splits = lines.groupBy("file", "block").agg(
+        F.sum("odd").alias("odd"),
+        F.min_by("value", F.when(F.col("block") == 0, F.col("line"))).alias("header"),
+    )
+    whole_file = Window.partitionBy("file")
+    before = whole_file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    unbalanced = F.sum("odd").over(whole_file) % 2 == 1
+    opened = F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2 == 1
+    complaint = F.raise_error(F.concat(F.lit("unbalanced quotes in "), F.col("file"))).cast("boolean")
+    return splits.select(
+        F.col("file").alias("_file"),
+        F.col("block").alias("_block"),
+        F.when(unbalanced, complaint).otherwise(opened).alias("opened"),
+        ((F.col("odd") > 0) | opened).alias("tangled"),
+        F.max("header").over(whole_file).alias("header"),
     )
 
 
+def records(lines: DataFrame) -> DataFrame:
+    """file, modified, record: delivered rows, whose quoted fields may hold line breaks; headers are left out.
+
+    Splits of a file are read by as many tasks as there are. A split in which no line has an odd number of quotes,
+    and that starts outside of them, holds a record on each line. Only the others' lines are brought
+    together, split by split: a running count of quotes numbers the records there, continued over the file's splits.
+    A line that equals the file's header is taken for one. A file with an odd number of quotes is an error.
+    """
+    spark = lines.sparkSession
+    marked = counted(lines)
+    path = scratch_dir(spark, "splits")
+    table = _split_table(marked)
+    table.write.parquet(path)  # a row for each split: its size decides how it is joined
+    splits = spark.read.schema(table.schema).parquet(path)
+    placed = marked.join(splits, (F.col("file") == F.col("_file")) & (F.col("block") == F.col("_block")))
+
+    is_header = (F.col("block") == 0) & (F.col("value") == F.col("header"))
+    simple = placed.where(~F.col("tangled") & ~is_header).select("file", "modified", F.col("value").alias("record"))
+
+    in_split = Window.partitionBy("file", "block").orderBy("line")
+    quotes_before = F.coalesce(F.sum("odd").over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    begins = (quotes_before + F.col("opened").cast("int")) % 2 == 0
+    tangled = placed.where("tangled").withColumn("begins", begins.cast("int"))
+    tangled = tangled.withColumn("number", F.sum("begins").over(in_split.rowsBetween(Window.unboundedPreceding, 0)))
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = (
+        tangled.groupBy(F.col("file").alias("_file"), F.col("block").alias("_block"))
+        .agg(F.max("number").alias("held"))
+        .select("_file", "_block", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before"))
+    )
+    tangled = tangled.drop("_file", "_block").join(numbered, (F.col("file") == F.col("_file")) & (F.col("block") == F.col("_block")))
+    parts = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
+    spanning = (
+        tangled.groupBy("file", (F.col("before") + F.col("number")).alias("record_number"))
+        .agg(F.max("modified").alias("modified"), F.min("block").alias("first_block"), parts.alias("parts"))
+        .where("NOT (first_block = 0 AND record_number = 1)")
+        .select("file", "modified", F.array_join(F.transform("parts", lambda p: p.value), "\n").alias("record"))
+    )
+    each = simple.union(spanning).withColumn("record", F.regexp_replace("record", "\r$", ""))
+    return each.where(F.trim("record") != "")
+
+
+def read_text_columns(spark: SparkSession, spec: TableSpec, options: dict[str, str], lines: DataFrame) -> DataFrame:
+    """The fields of a table's lines as text, with ``from_source`` and ``created_at`` of their file."""
+    schema = ", ".join(f"`{f.name}` string" for f in spec.file_columns)
+    parsed = records(lines).select(
+        F.from_csv("record", schema, options).alias("fields"),
+        F.col("file").alias("from_source"),
+        F.col("modified").alias("created_at"),
+    )
+    return parsed.select("fields.*", "from_source", "created_at")
+
+
 def _cast(column: Column, declared: DataType, truncate: bool) -> Column:
     if not isinstance(declared, VarcharType):
         return column.cast(declared)
@@ -70,7 +141,7 @@ def _cast(column: Column, declared: DataType, truncate: bool) -> Column:
 
 
 def project_positional(
-    df: DataFrame, fields: list[StructField], truncate: bool = True, extra: list[Column] | None = None
+    df: DataFrame, fields: list[StructField], truncate: bool = True, extra: list[Column | str] | None = None
 ) -> DataFrame:
     """Cast the n-th text column to the n-th field's type.
 
@@ -91,12 +162,27 @@ def bulk_load(
 ) -> DataFrame:
     """All files of a table below ``path``; the first bad row aborts. Lineage columns are NULL."""
     require_ansi(spark)
-    text = read_text_columns(spark.read, spec, CSV_BULK, path).filter(
-        path_matches(pattern or spec.bulk_pattern)
-    )
+    lines = read_lines(spark, path, pattern or spec.bulk_pattern)
+    return strict_rows(spark, spec, lines)
+
+
+def strict_rows(spark: SparkSession, spec: TableSpec, lines: DataFrame) -> DataFrame:
+    """A table's rows by the strict rules. Lineage columns are NULL."""
+    text = read_text_columns(spark, spec, CSV_BULK, lines)
     return with_lineage(project_positional(text, spec.file_columns, truncate=False))
 
 
+def tolerant_rows(spark: SparkSession, spec: TableSpec, lines: DataFrame) -> DataFrame:
+    """A table's rows by the tolerant rules, with their lineage.
+
+    ``from_source`` is the file path, ``created_at`` the file's modification time (an instant, so no
+    zone shift is added) and ``_ingested_at`` the time of the load.
+    """
+    text = read_text_columns(spark, spec, CSV_PIPE, lines)
+    lineage = ["from_source", "created_at", F.current_timestamp().alias("_ingested_at")]
+    return project_positional(text, spec.file_columns, truncate=True, extra=lineage)
+
+
 def with_lineage(df: DataFrame) -> DataFrame:
     """Add the lineage columns a table lacks, as NULL (additive schema evolution)."""
     missing = [

@@ -545,6 +545,23 @@ def oracle_sql() -> dict[str, str]:
                FROM before_orders
                WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders_changes WHERE _action = 'INSERT')""",
         ),
+        "pipe_all_tables": _with(
+            {},
+            "\nUNION ALL ".join(
+                f"SELECT '{name}' AS table_name, count(*) AS row_count, CAST(sum({key}) AS BIGINT) AS key_sum,"
+                f" CAST(1 AS BIGINT) AS batches FROM {source}"
+                for name, key, source in (
+                    ("region", "r_regionkey", "region"),
+                    ("nation", "n_nationkey", "nation"),
+                    ("customer", "c_custkey", "customer"),
+                    ("supplier", "s_suppkey", "supplier"),
+                    ("part", "p_partkey", "part"),
+                    ("partsupp", "l_partkey", "(SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)"),
+                    ("orders", "o_orderkey", "orders"),
+                    ("lineitem", "l_orderkey", "lineitem"),
+                )
+            ),
+        ),
         "load_status": _with(
             {},
             "SELECT 'ingest_nation' AS name, FALSE AS is_active, CAST(0 AS BIGINT) AS batch_id, TRUE AS has_rows",
