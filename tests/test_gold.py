@@ -1,13 +1,13 @@
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 from conftest import rows
 from pyspark.sql import functions as F
 
 from tidewater.plans import gold
-from tidewater.schemas import CUSTOMER_LTV, CUSTOMER_SILVER, CUSTOMER_TOTALS, DAILY_SALES_SUMMARY, ORDERS_SILVER
+from tidewater.schemas import CUSTOMER_LTV, CUSTOMER_SILVER, CUSTOMER_TOTALS, DAILY_CUSTOMERS, DAILY_SALES_SUMMARY, ORDERS_SILVER
 
 D = Decimal
 OLD = datetime(1990, 1, 1)
@@ -238,3 +238,20 @@ def test_a_lost_totals_refresh_is_not_added_twice(spark, store, monkeypatch):
             gold.refresh_customer_totals(store)
     gold.refresh_customer_totals(store)
     assert stored_totals(store) == full_totals(store)
+
+
+def test_distinct_customers_add_up(spark, store):
+    data = [(k, (k * 7919) % 70000 - 5, date(1998, 1, 1) + timedelta(days=k % 150), "1.00") for k in range(1500)]
+    data += [(2000 + k, 33, DAY, "1.00") for k in range(50)] + [(3000, None, DAY, "1.00"), (3001, 4, None, "1.00")]
+    store.overwrite(ORDERS_SILVER, orders(spark, *data))
+    gold.load_daily_customers(store, lookback_days=None)
+    for period in ("month", "quarter", "year"):
+        got = gold.distinct_customers(store.read(DAILY_CUSTOMERS), F.trunc("summary_date", period))
+        plain = store.read(ORDERS_SILVER).where("o_orderdate IS NOT NULL").groupBy(F.trunc("o_orderdate", period)).agg(F.count_distinct("o_custkey"))
+        assert rows(got) == rows(plain)
+    store.merge(ORDERS_SILVER, orders(spark, (5000, 12345, DAY, "1.00")), ["o_custkey"], ["o_custkey", "o_orderdate"])
+    assert gold.load_daily_customers(store).rows_affected == 1
+    days = gold.distinct_customers(store.read(DAILY_CUSTOMERS), F.col("summary_date"))
+    assert dict(rows(days))[DAY] == 2
+    store.overwrite(ORDERS_SILVER, orders(spark, *data[:1]).limit(0))
+    assert gold.load_daily_customers(store).rows_affected == 0

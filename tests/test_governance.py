@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import mask_email, mask_phone, mask_ssn, masked
 from tidewater.plans import governance
-from tidewater.schemas import CUSTOMER_SILVER
+from tidewater.schemas import CUSTOMER_SENSITIVE, CUSTOMER_SILVER
 
 FULL = ["ACCOUNTADMIN", "TPCH_ADMIN", "TPCH_DEVELOPER"]
 HIDDEN = ["TPCH_VIEWER", "SOMEONE", "tpch_admin"]
@@ -108,3 +108,22 @@ def test_views_publishing_and_masked_access(spark, store, tmp_path):
     assert "email" not in spark.read.parquet(f"{out}/vw_customer_public").columns
     with pytest.raises(PermissionError):
         governance.publish(spark, sensitive, out, ["customer_sensitive"])
+
+
+def test_masked_by_name_follows_the_role(spark, store):
+    from tidewater.operators.masking import masked
+    from tidewater.sources.catalog import register_masked, use_role
+
+    people = spark.createDataFrame(
+        [(1, "customer_1@company.com", "012345678", 123456789), (2, "a@b.c", None, None), (3, None, "1", 12)],
+        "c_custkey long, email string, ssn_last_9 string, phone_number long",
+    )
+    store.overwrite(CUSTOMER_SENSITIVE, people)
+    text = f"SELECT * FROM {register_masked(store)}"
+    plain = store.read(CUSTOMER_SENSITIVE)
+    for role in ("", "TPCH_VIEWER", "TPCH_ANALYST", "TPCH_ADMIN", "TPCH_DEVELOPER", "x' OR 'a' = 'a"):
+        if role:
+            use_role(spark, role)
+        assert rows(spark.sql(text)) == rows(masked(plain, role)), role
+    register_masked(store)  # a new registration hides everything again
+    assert rows(spark.sql(text)) == rows(masked(plain, ""))

@@ -57,6 +57,23 @@ MASKS: Mapping[str, Callable[[Column, str], Column]] = {
 }
 
 
+def _listed(roles: frozenset[str]) -> str:
+    return ", ".join(f"'{r}'" for r in sorted(roles))
+
+
+def mask_sql(column: str, role: str) -> str:
+    """The mask of a column as SQL text that tests ``role``, an expression, when a query is read."""
+    full, partial = f"{role} IN ({_listed(FULL_ROLES)})", f"{role} IN ({_listed(PARTIAL_ROLES)})"
+    text = f"CAST({column} AS STRING)"
+    return {
+        "email": f"CASE WHEN {full} THEN {column} WHEN {partial} THEN"
+        f" regexp_replace({column}, '{EMAIL_LOCAL_PART}', '$1***') ELSE '{EMAIL_HIDDEN}' END",
+        "phone_number": f"CASE WHEN {full} THEN {text} WHEN {partial} THEN"
+        f" concat('{PHONE_PREFIX}', right({text}, 4)) ELSE '{PHONE_HIDDEN}' END",
+        "ssn_last_9": f"CASE WHEN {full} THEN {column} ELSE '{SSN_HIDDEN}' END",
+    }[column]
+
+
 def masked(
     df: DataFrame, role: str, masks: Mapping[str, Callable[[Column, str], Column]] = MASKS
 ) -> DataFrame:

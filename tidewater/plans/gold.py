@@ -11,7 +11,7 @@ from ..functions import classify_customer_revenue
 from ..operators.changes import ACTION, INSERT
 from ..operators.merge import stale_customers
 from ..operators.store import JobResult, TableStore
-from ..schemas import CUSTOMER_LTV, CUSTOMER_SILVER, CUSTOMER_TOTALS, DAILY_SALES_SUMMARY, ORDERS_SILVER
+from ..schemas import CUSTOMER_LTV, CUSTOMER_SILVER, CUSTOMER_TOTALS, DAILY_CUSTOMERS, DAILY_SALES_SUMMARY, ORDERS_SILVER
 from ..streaming.feed import ChangeFeed
 
 LOOKBACK_DAYS = 7
@@ -120,6 +120,43 @@ def load_daily_sales_summary(
     )
 
 
+# -- distinct customers that add up ---------------------------------------------------------------
+
+
+def customer_bitmaps(orders: DataFrame) -> DataFrame:
+    """Which customers ordered on a day: a bitmap for each day and range of customer keys.
+
+    Partial bitmaps are built where the orders are read, so a day with very many orders is no hot spot.
+    """
+    key = F.col("o_custkey")
+    return (
+        orders.where(key.isNotNull() & F.col("o_orderdate").isNotNull())
+        .groupBy(F.col("o_orderdate").alias("summary_date"), F.bitmap_bucket_number(key).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("customers"))
+    )
+
+
+def distinct_customers(bitmaps: DataFrame, period: Column) -> DataFrame:
+    """Exact number of different customers per ``period`` of ``summary_date``, from daily bitmaps alone."""
+    merged = bitmaps.groupBy(period.alias("period"), "bucket").agg(F.bitmap_or_agg("customers").alias("customers"))
+    return merged.groupBy("period").agg(F.sum(F.bitmap_count("customers")).alias("total_customers"))
+
+
+def load_daily_customers(store: TableStore, lookback_days: int | None = LOOKBACK_DAYS) -> JobResult:
+    """Bring the stored daily bitmaps up to date: the look-back window's days, or all days without one."""
+    newest = newest_order_date(store)
+    if newest is None:
+        return JobResult(0, "daily customers: no cleaned orders")
+    since = None if lookback_days is None else window_start(newest, lookback_days)
+    orders = orders_since(store, since) if since else store.read(ORDERS_SILVER)
+    source = customer_bitmaps(orders).persist()
+    try:
+        counts = store.merge(DAILY_CUSTOMERS, source, ["customers"], ["customers"])
+    finally:
+        source.unpersist()
+    return JobResult(counts.affected, f"daily customers: {counts.affected} bitmaps from {since or 'the first day'} on")
+
+
 # -- customer lifetime value ---------------------------------------------------------------------
 
 

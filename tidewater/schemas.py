@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    BinaryType,
     BooleanType,
     DataType,
     DateType,
@@ -279,6 +280,15 @@ DAILY_SALES_SUMMARY = TableSpec(
     ("summary_date",),
 )
 
+DAILY_CUSTOMERS = TableSpec(
+    "reports",
+    "daily_customers",
+    _columns(("summary_date", DateType()), ("bucket", KEY), ("customers", BinaryType())),
+    ("summary_date", "bucket"),
+    month_block("summary_date"),
+    ("summary_date", "bucket"),
+)
+
 CUSTOMER_LTV = TableSpec(
     "reports",
     "customer_ltv",
@@ -306,6 +316,7 @@ DERIVED: dict[str, TableSpec] = {
         CUSTOMER_RFM_SCORES,
         CUSTOMER_TOTALS,
         DAILY_SALES_SUMMARY,
+        DAILY_CUSTOMERS,
         CUSTOMER_LTV,
     )
 }

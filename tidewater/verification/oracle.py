@@ -473,6 +473,39 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT {_show(LINEITEM_SILVER)} FROM lineitem_silver
                 WHERE l_shipdate >= DATE '1998-03-01' AND l_shipdate < DATE '1998-04-01'""",
         ),
+        "layout_any_key_scan": _with(
+            {},
+            "\nUNION ALL ".join(
+                f"SELECT {_show(LINEITEM_SILVER)}, '{name}' AS by FROM lineitem_silver WHERE {condition}"
+                for name, condition in (
+                    ("date", "l_shipdate >= DATE '1998-03-01' AND l_shipdate < DATE '1998-04-01'"),
+                    ("order", "l_orderkey BETWEEN 100 AND 200"),
+                    ("part", "l_partkey = 7"),
+                )
+            ),
+        ),
+        "monthly_customers_from_days": _with(
+            {},
+            "\nUNION ALL ".join(
+                f"SELECT strftime(date_trunc('{kind}', o_orderdate), '%Y-%m-%d') AS period,"
+                f" count(DISTINCT o_custkey) AS total_customers, '{kind}' AS kind"
+                " FROM orders_silver GROUP BY ALL"
+                for kind in ("month", "quarter")
+            ),
+        ),
+        "masked_by_name": _with(
+            _SENSITIVE,
+            rf"""SELECT {_show(_SENSITIVE_PLAIN)}, email, ssn_last_9,
+                        CAST(phone_number AS VARCHAR) AS phone_number, 'TPCH_ADMIN' AS role FROM sensitive
+                 UNION ALL
+                 SELECT {_show(_SENSITIVE_PLAIN)},
+                        regexp_replace(email, '(^[^@]{{2}})[^@]+', '\1***'), '{SSN_HIDDEN}',
+                        '{PHONE_PREFIX}' || right(CAST(phone_number AS VARCHAR), 4), 'TPCH_ANALYST'
+                 FROM sensitive
+                 UNION ALL
+                 SELECT {_show(_SENSITIVE_PLAIN)}, '{EMAIL_HIDDEN}', '{SSN_HIDDEN}', '{PHONE_HIDDEN}',
+                        'TPCH_VIEWER' FROM sensitive""",
+        ),
         # -- cleaned layer
         "orders_silver_full": _with({}, f"SELECT {_show(ORDERS_SILVER)} FROM orders_silver"),
         "customer_silver_full": _with({}, f"SELECT {_show(CUSTOMER_SILVER)} FROM customer_silver"),

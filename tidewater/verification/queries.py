@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +29,7 @@ from ..operators.changes import (
     table_changes,
 )
 from ..operators.dedup import latest_per_key
+from ..operators.layout import write_on_curve
 from ..operators.masking import masked
 from ..operators.merge import deactivate_stale, delete_where
 from ..operators.store import TableStore, write_clustered
@@ -40,6 +41,7 @@ from ..schemas import (
     CUSTOMER_SENSITIVE,
     CUSTOMER_SILVER,
     CUSTOMER_TOTALS,
+    DAILY_CUSTOMERS,
     DAILY_SALES_SUMMARY,
     LINEITEM_SILVER,
     ORDERS_SILVER,
@@ -48,7 +50,7 @@ from ..schemas import (
     key_range_block,
     month_block,
 )
-from ..sources.catalog import register_tables
+from ..sources.catalog import register_masked, register_tables, use_role
 from ..sources.delimited import bulk_load
 from ..sources.given_tables import staging_table
 from ..sources.stage import staged_files
@@ -410,6 +412,17 @@ def layout_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(spark.read.parquet(path).filter(month).drop("load_timestamp"))
 
 
+def layout_any_key_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items laid out on a curve: a date, an order and a part filter each read a part of the files."""
+    path = scratch_dir(spark, "curve")
+    write_on_curve(_lineitems(spark, sf_dir), path, LINEITEM_SILVER.cluster_by)
+    stored = spark.read.parquet(path).drop("load_timestamp")
+    month = F.col("l_shipdate").between(F.lit(date(1998, 3, 1)), F.lit(date(1998, 3, 31)))
+    filters = {"date": month, "order": F.col("l_orderkey").between(100, 200), "part": F.col("l_partkey") == 7}
+    found = [stored.filter(f).withColumn("by", F.lit(name)) for name, f in filters.items()]
+    return shown(reduce(DataFrame.union, found))
+
+
 # -- cleaned layer -------------------------------------------------------------------------------
 
 
@@ -844,6 +857,37 @@ def customer_sensitive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(_sensitive(spark, sf_dir))
 
 
+def masked_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One SQL text read by three roles."""
+    store = TableStore(spark, scratch_dir(spark, "tables"))
+    store.overwrite(CUSTOMER_SENSITIVE, _sensitive(spark, sf_dir))
+    text = f"SELECT * FROM {register_masked(store)}"
+    seen = []
+    for role in ("TPCH_ADMIN", "TPCH_ANALYST", "TPCH_VIEWER"):
+        use_role(spark, role)
+        seen.append(spark.sql(text).withColumn("role", F.lit(role)))
+    use_role(spark, "")
+    return shown(reduce(DataFrame.union, seen))
+
+
+def monthly_customers_from_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct customers of months and quarters, merged from stored daily bitmaps."""
+    store = TableStore(spark, scratch_dir(spark, "tables"))
+    orders = _orders(spark, sf_dir)
+    store.overwrite(ORDERS_SILVER, orders.where(F.col("o_orderdate") < F.lit(LATE)))
+    gold.load_daily_customers(store, lookback_days=None)
+    newer = orders.where(F.col("o_orderdate") >= F.lit(LATE - timedelta(days=2)))
+    copied = [c for c in newer.columns if c != "o_orderkey"]
+    store.merge(ORDERS_SILVER, newer, copied, copied)
+    gold.load_daily_customers(store, lookback_days=(date(2002, 1, 1) - LATE).days)
+    bitmaps = store.read(DAILY_CUSTOMERS)
+    kinds = [
+        gold.distinct_customers(bitmaps, F.trunc("summary_date", kind)).withColumn("kind", F.lit(kind))
+        for kind in ("month", "quarter")
+    ]
+    return shown(reduce(DataFrame.union, kinds))
+
+
 def _masked_as(role: str) -> Query:
     return lambda spark, sf_dir: shown(masked(_sensitive(spark, sf_dir), role))
 
@@ -988,6 +1032,9 @@ def queries() -> dict[str, Query]:
         follow_incremental,
         load_status,
         pipe_all_tables,
+        layout_any_key_scan,
+        masked_by_name,
+        monthly_customers_from_days,
         orders_feed_after_delete,
         orders_feed_pending,
         merge_job_results,
