@@ -2,21 +2,25 @@
 
 Base patterns find assignments, access keys and long hexadecimal strings. A chain model then tags every token as
 begin, inside or outside of a secret, from shape features of the token and its neighbours and from features of the
-whole text, and adds the tagged spans that no base span touches. It learns from the base spans in a bounded sample
-(about ``SAMPLE_DOCS`` documents by hash of the id, ``WINDOWS`` token windows); shapes, not the patterns, are its
-features, so it carries over to secrets that the patterns do not name.
+whole text, and adds the tagged spans that no base span touches. It learns from a bounded sample (about
+``SAMPLE_DOCS`` documents by hash of the id, ``WINDOWS`` token windows): windows around base spans and elsewhere as they
+are, and the same surroundings with made-up secrets or look-alikes in them. The made-up ones have other key names,
+alphabets, lengths and prefixes than the patterns ask for, or no assignment at all; the look-alikes are addresses, paths,
+identifiers, numbers and dates. So it adds secrets that no pattern names.
 
 Decoding is Viterbi's, exact, but skips what cannot matter: a token whose outside score leads by more than any two
 transitions could change is outside in every best path, so the chain falls apart there into short runs.
 
 Defined results: a null or empty text has no spans; repeated rows are scanned each; an empty table, or a sample
-without secrets, gives a model that adds nothing; other columns are kept by ``redact`` and not read otherwise.
+without words, gives a model that adds nothing; other columns are kept by ``redact`` and not read otherwise.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -39,14 +43,14 @@ LEAST_MODEL_SPAN = 8
 REDACTED = "[REDACTED]"
 
 SAMPLE_DOCS = 20_000
-WINDOWS, REACH = 4000, 8
+WINDOWS, REACH = 8000, 8
 ROUNDS, RATE, DECAY = 80, 0.15, 1e-3
 MAX_TOKENS = 200_000
 #: Neighbours whose features count for a token.
 ROLES = (-2, -1, 0, 1)
 OUTSIDE, BEGIN, INSIDE = range(3)
 #: Numbers of values of each token feature, see ``shape``.
-SIZES = (9, 16, 4, 5, 2, 3, 2, 3)
+SIZES = (9, 16, 4, 5, 2, 3, 2, 3, 8, 5)
 BASES = tuple(int(x) for x in np.cumsum((0, *SIZES))[:-1])
 FEATURES = sum(SIZES) + 1
 NOTHING = FEATURES - 1  # before the first and after the last token
@@ -62,13 +66,95 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
     return sorted(found)
 
 
+#: Key names of the made-up secrets, as people write them.
+PRACTICE_KEYS = (
+    "passphrase", "passcode", "auth", "private_key", "access_key", "client_secret", "login", "signature", "session_key",
+    "db_password", "SECRET", "bearer_token", "encryption_key", "authToken", "smtp_pass",
+)
+_LOWER = re.compile("[a-z]+")
+_RUNS = re.compile("[a-z]+|[A-Z]+|[0-9]+|[^a-zA-Z0-9]+")
+_ALPHABETS = (
+    string.ascii_lowercase + string.digits,
+    string.ascii_uppercase + string.digits,
+    string.ascii_letters + string.digits,
+    string.ascii_letters + string.digits,
+    string.ascii_letters + string.digits + "+/",
+    string.ascii_letters + string.digits + "-_",
+    "0123456789ABCDEF",
+    "0123456789abcdef",
+)
+
+
+def _drawn(r: random.Random, alphabet: str, n: int) -> str:
+    return "".join(r.choices(alphabet, k=n))
+
+
+def _value(r: random.Random) -> str:
+    """A secret's own characters, sometimes behind a short prefix or in three parts."""
+    alphabet = r.choice(_ALPHABETS)
+    body = _drawn(r, alphabet, r.randint(14, 56))
+    if r.random() < 0.08:
+        return ".".join(_drawn(r, alphabet, r.randint(14, 30)) for _ in range(3))
+    if r.random() < 0.4:
+        prefix = [_drawn(r, string.ascii_lowercase, r.randint(2, 5)) for _ in range(r.randint(1, 2))]
+        sign = r.choice("_-")
+        return sign.join([*prefix, body])
+    return body
+
+
+def made_up_secret(r: random.Random) -> tuple[list[str], list[int]]:
+    """Words of a secret in some form, and their tags."""
+    key, value, quote = r.choice(PRACTICE_KEYS), _value(r), r.choice(['"', "'", "", ""])
+    held = f"{quote}{value}{quote}{r.choice(['', '', ',', '.', ';'])}"
+    forms = (
+        [key, r.choice("=:"), held],
+        [f"{key}:", held],
+        [f"{key}={held}"],
+        [f'"{key}":', f'"{value}"'],
+        ["Authorization:", r.choice(["Bearer", "Basic", "Token"]), value],
+        [key, "is", held],
+        ["export", f"{key.upper()}={held}"],
+        [held],
+        [held],
+    )
+    words = r.choice(forms)
+    return words, [OUTSIDE] * (len(words) - 1) + [BEGIN]
+
+
+def look_alike(r: random.Random) -> list[str]:
+    """Words that look a little like a secret."""
+    name = lambda: _drawn(r, string.ascii_lowercase, r.randint(3, 9))
+    digits = lambda n: _drawn(r, string.digits, n)
+    forms = (
+        [f"https://{name()}.{r.choice(['com', 'org', 'net'])}/{name()}/{name()}{digits(3)}?{name()}={digits(5)}"],
+        [f"/{name()}/{name()}/{name()}_{digits(2)}.{r.choice(['py', 'txt', 'csv'])}"],
+        [f"{name()}.{name()}{digits(2)}@{name()}.com"],
+        [digits(r.randint(9, 20))],
+        [f"{digits(4)}-0{digits(1)}-{digits(2)}T{digits(2)}:{digits(2)}:{digits(2)}Z"],
+        [f"+{digits(2)}-{digits(3)}-{digits(7)}"],
+        [f"v{digits(1)}.{digits(2)}.{digits(1)}-{name()}"],
+        [name() + name().capitalize() + name().capitalize() + digits(1)],
+        [f"{name()}_{name()}_{name()}"],
+        [f"{name()}-{name()}-{name()}-{digits(4)}"],
+        [f"{name()}{digits(r.randint(1, 5))}"],
+        [f"{name()}:", f"{name()}{digits(2)}"],
+        ["password", "is", name()],
+        [name().upper() + "-" + digits(6)],
+        [r.choice("-=_*#a") * r.randint(8, 40)],
+        [f"id={digits(8)}"],
+        ["token", name(), name()],
+        [f"{digits(3)}.{digits(3)}.{digits(2)}.{digits(1)}:{digits(4)}"],
+    )
+    return r.choice(forms)
+
+
 def shape(word: str) -> tuple[int, ...]:
     """Feature numbers of a token."""
     core = word.strip(MARKS)
     n = len(core)
     if word.isalpha() and n < 16:  # most words: no digits, marks or assignments
         kind = 1 if core.islower() else 2 if core.isupper() else 3
-        values = (min(n // 4, 8), kind, 0, 0, 0, 0, int(bool(KEY_NAMES.search(core.lower()))), 0)
+        values = (min(n // 4, 8), kind, 0, 0, 0, 0, int(bool(KEY_NAMES.search(core.lower()))), 0, 0, 4)
     else:
         digits = sum(map(str.isdigit, core))
         lower, upper = any(map(str.islower, core)), any(map(str.isupper, core))
@@ -85,6 +171,8 @@ def shape(word: str) -> tuple[int, ...]:
             assign,
             int(n < 24 and bool(KEY_NAMES.search(core.lower()))),
             address,
+            min(7, len(_RUNS.findall(core)) // 2),
+            min(4, max(map(len, _LOWER.findall(core)), default=0) // 2),
         )
     return tuple(b + v for b, v in zip(BASES, values, strict=True))
 
@@ -105,45 +193,60 @@ class Model:
     trained: bool = False
 
 
+def window(words: list[str], tags: list[int], centre: int, file: tuple[int, int]) -> tuple[list[int], list[int], tuple[int, int]]:
+    """(token features, tags, file features) around a place."""
+    at = range(centre - REACH - 2, centre + REACH + 2)
+    shapes = [shape(words[i]) if 0 <= i < len(words) else (NOTHING,) * len(SIZES) for i in at]
+    return [x for s in shapes for x in s], [tags[i] if 0 <= i < len(words) else OUTSIDE for i in at], file
+
+
 def windows_of(text: str, some: int) -> list[tuple[list[int], list[int], tuple[int, int]]]:
-    """Training windows of a text: (token features, tags, file features) around its secrets, or around some token."""
-    words = [(m.start(), m.end()) for m in WORDS.finditer(text)]
-    if not words:
+    """Training windows of a text, around its secrets or around some word: as it is, and with something made up there."""
+    places = [(m.start(), m.end()) for m in WORDS.finditer(text)]
+    if not places:
         return []
-    secrets = [(s, e) for _, _, e, s in base_spans(text)]
+    words = [text[a:b] for a, b in places]
+    starts = np.array([a for a, _ in places])
     tags = [OUTSIDE] * len(words)
-    starts = np.array([a for a, _ in words])
-    for s, e in secrets:
-        first, last = np.searchsorted(starts, [s, e - 1], side="right") - 1
+    spans = []
+    for begin, _, end, secret in base_spans(text):
+        first, last = (np.searchsorted(starts, [secret, end - 1], side="right") - 1).tolist()
         for i in range(max(first, 0), last + 1):
             tags[i] = INSIDE if i > first else BEGIN
-    centres = [i for i, t in enumerate(tags) if t == BEGIN][:4]
-    if not centres:
-        if some % 8:
-            return []
-        odd = [i for i, (a, b) in enumerate(words) if b - a >= 8 and not text[a:b].isalpha()]
-        centres = [odd[some % len(odd)] if odd else some % len(words)]
+        spans.append((int(np.searchsorted(starts, begin, side="right")) - 1, first, last + 1))
+    r = random.Random(some)
     file = file_features(len(words), text)
     out = []
-    for c in centres:
-        at = range(c - REACH - 2, c + REACH + 2)
-        shapes = [shape(text[slice(*words[i])]) if 0 <= i < len(words) else (NOTHING,) * len(SIZES) for i in at]
-        out.append(([x for s in shapes for x in s], [tags[i] if 0 <= i < len(words) else OUTSIDE for i in at], file))
+    if not spans:
+        if some % 8:
+            return []
+        odd = [i for i, w in enumerate(words) if len(w) >= 8 and not w.isalpha()]
+        c = odd[some % len(odd)] if odd and some % 16 else some // 16 % len(words)
+        spans = [(c, c, c)]
+    for before, first, after in spans[:3]:
+        out.append(window(words, tags, first, file))
+        for made in range(2):
+            new, marks = (look_alike(r), None) if made and r.random() < 0.7 else made_up_secret(r)
+            left = words[max(0, before - REACH - 2) : before]
+            mixed = left + new + words[after : after + REACH + 2]
+            held = tags[max(0, before - REACH - 2) : before] + (marks or [OUTSIDE] * len(new)) + tags[after : after + REACH + 2]
+            out.append(window(mixed, held, len(left) + len(new) - 1, file))
     return out
 
 
 def sample(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> list:
-    """Training windows from the sampled documents, at most ``WINDOWS``, those with secrets first."""
+    """Training windows from the sampled documents, at most ``WINDOWS``, by hash of the document's id."""
     share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
-    place = F.pmod(F.xxhash64(F.lit("sample"), id_column), F.lit(1_000_000))
-    chosen = docs.where(place < int(share * 1_000_000)).select(place.alias("place"), F.col(text_column).alias("text"))
+    # The sign bit is shifted out: shares of 63 bits keep their size at any number of rows.
+    place = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), id_column), 1)
+    chosen = docs.where(place <= F.lit(min(2**63 - 1, int(share * 2**63)))).select(place.alias("place"), F.col(text_column).alias("text"))
 
     def work(places, texts):
         rows = [(p, *w) for p, t in zip(places, texts, strict=True) for w in windows_of(t or "", p)]
         return [[p for p, *_ in rows], [any(y) for _, _, y, _ in rows], [f for _, f, _, _ in rows], [y for _, _, y, _ in rows], [list(x) for *_, x in rows]]
 
     found = map_rows(chosen, ["place", "text"], work, "place long, hit boolean, features array<int>, tags array<int>, file array<int>")
-    return found.orderBy(F.desc("hit"), "place", "features").limit(WINDOWS).collect()
+    return found.orderBy("place", "features").limit(WINDOWS).collect()
 
 
 def train(rows: list) -> Model:
