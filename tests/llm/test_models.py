@@ -167,16 +167,50 @@ def test_url_rules(spark):
         fits = [(h + p, v) for v, h, p in url_rules.HAND_WRITTEN if (host == h or host.endswith("." + h)) and path.startswith(p)]
         rule, verdict = max(fits, key=lambda x: len(x[0]), default=(None, None))
         assert (rows[i].host, rows[i].path, rows[i].rule) == (host, path, rule)
-        assert rows[i].verdict == (verdict or rows[i].verdict)
+        if verdict:
+            assert rows[i].verdict == verdict and rows[i].learned is None
     assert rows[0].verdict == "allow" and rows[11].verdict == "block"  # what blocks .net in Spanish goes for .org
     assert url_rules.judge(pages.limit(0)).count() == 0
 
 
+def test_learned_verdicts_match_plain_matching(spark, small):
+    """Every given URL's verdict, from the mined rules tried one by one."""
+    pages = spark.read.parquet(f"{small}/pages.parquet")
+    frame = pages.select("page_id", "url").withColumns({"host": url_rules.host(F.col("url")), "path": url_rules.path(F.col("url"))})
+    rule, said = url_rules.hand_written()
+    ruled = frame.select("page_id", "url", url_rules.tokens().alias("tokens"), rule.alias("rule"), said.alias("said"))
+    mined, items = url_rules.mine(ruled.where("said IS NOT NULL").select("url", "tokens", F.col("said").alias("verdict")))
+    rules = [(set(r["items"]), r.verdict, r.confidence, r.support, sorted(r["items"])) for r in mined.collect()]
+    assert len(rules) > 1
+    got = {r.page_id: r for r in url_rules.judge(pages).collect()}
+    learned = 0
+    for page in ruled.collect():
+        if page.said is None:
+            held = {items[t] for t in page.tokens if t in items}
+            fit = [(c, s, v, i) for i_set, v, c, s, i in rules if i_set <= held]
+            best = max(fit, default=None)
+            learned += best is not None
+            assert got[page.page_id].verdict == (best[2] if best else "allow")
+            assert got[page.page_id].learned == (" ".join(best[3]) if best else None)
+        else:
+            assert got[page.page_id].verdict == page.said
+    assert learned
+
+
+def test_tokens_that_come_together_are_one_item(spark):
+    """Thirty words in common would be 2 ** 30 combinations one by one."""
+    words = [f"path:w{i:02}" for i in range(30)]
+    rows = [(f"b{i}", [*words, "host:com"], "block") for i in range(10)] + [(f"a{i}", ["path:other", "host:com"], "allow") for i in range(10)]
+    mined, items = url_rules.mine(spark.createDataFrame(rows, "url string, tokens array<string>, verdict string"))
+    assert {items[w] for w in words} == {"path:w00"} and items["host:com"] == "host:com"
+    assert {(tuple(r["items"]), r.verdict) for r in mined.collect()} == {(("path:w00",), "block"), (("path:other",), "allow")}
+
+
 def test_mined_rules_match_brute_force(spark):
     r = np.random.default_rng(6)
     baskets = [(f"u{i}", sorted({f"host:t{x}" for x in r.integers(0, 6, 3)})) for i in range(200)]
     rows = [(u, t, "block" if {"host:t1", "host:t2"} <= set(t) or "host:t5" in t else "allow") for u, t in baskets]
-    got = {(tuple(x["items"]), x.verdict) for x in url_rules.mine(spark.createDataFrame(rows, "url string, tokens array<string>, verdict string")).collect()}
+    got = {(tuple(x["items"]), x.verdict) for x in url_rules.mine(spark.createDataFrame(rows, "url string, tokens array<string>, verdict string"))[0].collect()}
     strong = {}
     names = sorted({t for _, ts, _ in rows for t in ts})
     for k in range(1, 5):
@@ -231,11 +265,9 @@ def test_recall_holds_without_clusters_and_with_many_lists(spark, monkeypatch):
     assert hits / (n // 10) >= 0.9
 
 
-@pytest.mark.parametrize("fp_tokens", [0, 10])
-def test_every_frequent_token_can_make_a_rule(spark, monkeypatch, fp_tokens):
-    monkeypatch.setattr(url_rules, "FP_TOKENS", fp_tokens, raising=False)
+def test_every_frequent_token_can_make_a_rule(spark):
     filler = [(f"f{i}-{k}", [f"path:common{i}", "host:com"], "allow" if k % 2 else "block") for i in range(80) for k in range(8)]
     rare = [(f"r{k}", ["path:rare", "host:com"], "block") for k in range(5)]
     pairs = [(f"p{i}{j}{k}", [t for t, h in (("path:left", i), ("path:right", j)) if h] + ["host:com"], "block" if i and j else "allow" if k % 2 else "block") for i in (0, 1) for j in (0, 1) for k in range(20)]
-    got = {(tuple(x["items"]), x.verdict) for x in url_rules.mine(spark.createDataFrame(filler + rare + pairs, "url string, tokens array<string>, verdict string")).collect()}
+    got = {(tuple(x["items"]), x.verdict) for x in url_rules.mine(spark.createDataFrame(filler + rare + pairs, "url string, tokens array<string>, verdict string"))[0].collect()}
     assert got == {(("path:rare",), "block"), (("path:left", "path:right"), "block")}

@@ -141,7 +141,7 @@ def sample_labels(labels: DataFrame, rows: int = SAMPLE_ROWS, usable: Column | N
         known = known.where(usable)
     per_id = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
     share = min(1.0, rows / max(1, per_id.count()))
-    return per_id.where(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    return per_id.where(F.shiftrightunsigned(F.xxhash64(F.lit("sample"), "doc_id"), 1) <= F.lit(min(2**63 - 1, int(share * 2**63))))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, usable: Column | None = None) -> np.ndarray:

@@ -2,11 +2,14 @@
 
 Hand-written rules (host with its subdomains, path prefix) are applied first; the longest that fits decides. For the
 rest, rules are learned: a labelled URL is a set of tokens (host labels and their words, path words) with its label,
-and Spark's FP-growth finds token combinations that go with it. Every token that reaches the support bound takes part;
-where a URL has very many of them, a levelwise join finds the same rules. Rules hold at most ``MAX_RULE_TOKENS`` tokens.
-Rules below the support and confidence bounds are pruned, and so are rules that hold a stronger or equal rule. A rule is filed under its rarest token; URLs
-that share a token combination are matched once, by joining their tokens with that index and checking the rest of
-the rule. A URL is blocked if its strongest matching rule says so, and allowed if none matches.
+and Spark's FP-growth finds token combinations that go with it, of any length. Every token that reaches the support
+bound takes part; tokens that the same labelled URLs hold are one item, which a URL has if it has any of them: FP-growth
+lists all combinations of a URL's frequent items, and without that, a family of URLs with many words in common would
+give two to the power of their number. (Items that differ are not bounded: 25 of them together in 0.5 % of the URLs
+would be too many.) Rules below the support and confidence bounds are pruned, and so are rules that hold a stronger
+or equal rule. A rule is filed under its rarest item; URLs that share an item combination are matched once, by
+joining their items with that index and checking the rest of the rule. A URL is blocked if its strongest matching rule
+says so, and allowed if none matches.
 
 Labels default to the hand-written rules' own verdicts, so that what they say of some hosts carries over to others.
 Learning uses about ``SAMPLE_ROWS`` labelled URLs, by hash of the URL; matching covers every row.
@@ -38,10 +41,6 @@ HAND_WRITTEN = (
 SAMPLE_ROWS = 20_000
 MIN_SUPPORT = 0.005
 MIN_CONFIDENCE = 0.9
-MAX_RULE_TOKENS = 4
-#: FP-growth lists every combination of a URL's frequent tokens, of any length. If a URL has more than so many of
-#: them, combinations are counted level by level instead, up to ``MAX_RULE_TOKENS``, with the same rules.
-FP_TOKENS = 10
 _LABELS = {"block": "label:block", "allow": "label:allow"}
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -78,26 +77,45 @@ def tokens() -> Column:
     return F.array_distinct(F.filter(tagged, lambda x: ~x.isin("host:", "path:")))
 
 
-def mine(labelled: DataFrame) -> DataFrame:
-    """(items, verdict, confidence, support, token) rules from (url, tokens, verdict) rows; token is the one to file it under."""
+def mine(labelled: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """Rules (items, verdict, confidence, support, token) from (url, tokens, verdict) rows, and the item of each token.
+
+    ``token`` is the item to file a rule under. FP-growth lists every combination of a URL's frequent items, so
+    tokens that always come together must not count one by one.
+    """
     spark = labelled.sparkSession
     share = min(1.0, SAMPLE_ROWS / max(1, labelled.count()))
-    sample = labelled.where(F.pmod(F.xxhash64(F.lit("sample"), "url"), F.lit(1_000_000)) < int(share * 1_000_000))
+    place = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), "url"), 1)
+    sample = labelled.where(place <= F.lit(min(2**63 - 1, int(share * 2**63))))
     distinct = written(spark, sample.groupBy("url", "verdict").agg(F.first("tokens").alias("tokens")), "labelled-urls")
     least = math.ceil(MIN_SUPPORT * distinct.count())
-    counts = distinct.select(F.explode("tokens").alias("token")).groupBy("token").count()
-    common = [r.token for r in counts.where(F.col("count") >= least).orderBy(F.desc("count"), "token").collect()]  # at most tokens per URL / MIN_SUPPORT
-    baskets = written(spark, distinct.select(F.array_sort(F.filter("tokens", lambda x: x.isin(common))).alias("tokens"), "verdict"), "baskets")
-    longest = baskets.agg(F.max(F.size("tokens")).alias("n")).first().n or 0
-    found = by_fp_growth(baskets) if longest <= FP_TOKENS else by_levels(baskets, least)
-    rarest = F.element_at(F.array_sort(F.transform("items", lambda x: F.struct(F.array_position(_strings(common), x).alias("n"), x.alias("token")))), -1)["token"]
-    ruled = written(spark, found.select("*", rarest.alias("token")).coalesce(1), "rules")
-    # A rule's parts are looked up by equality: less than 2 ** MAX_RULE_TOKENS of them.
-    parts = ruled.where(F.size("items") > 1).select("items", "confidence", F.explode(F.expr("sequence(1, shiftleft(1, size(items)) - 2)")).alias("mask"))
-    parts = parts.select("items", "confidence", F.expr("filter(items, (x, i) -> (shiftright(mask, i) & 1) = 1)").alias("part"))
-    smaller = ruled.select(F.col("items").alias("part"), F.col("confidence").alias("part_confidence"))
-    redundant = parts.join(smaller, "part").where(F.col("part_confidence") >= F.col("confidence")).select("items").distinct()
-    return ruled.join(redundant, "items", "left_anti")
+    # Tokens that the same URLs hold are one item: their combinations would all say the same.
+    mark = F.xxhash64("url", "verdict")
+    held = distinct.select(F.explode("tokens").alias("token"), mark.alias("mark"))
+    alike = held.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor("mark").alias("x"), F.bit_xor(F.xxhash64("mark")).alias("y")).where(F.col("n") >= least)
+    groups = alike.groupBy("n", "x", "y").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+    # At most tokens per URL / MIN_SUPPORT of them reach the driver.
+    common = groups.orderBy(F.desc("n"), "tokens").collect()
+    items = {t: r.tokens[0] for r in common for t in r.tokens}
+    baskets = written(spark, distinct.select(F.array_sort(as_items("tokens", items)).alias("tokens"), "verdict"), "baskets")
+    order = _strings([r.tokens[0] for r in common])
+    rarest = F.element_at(F.array_sort(F.transform("items", lambda x: F.struct(F.array_position(order, x).alias("n"), x.alias("token")))), -1)["token"]
+    ruled = written(spark, by_fp_growth(baskets).select("*", rarest.alias("token")), "rules")
+    # A rule adds nothing to one that asks for less and is as sure. The smaller one's token is among the larger one's.
+    larger = ruled.select("items", "confidence", F.explode("items").alias("token"))
+    smaller = ruled.select("token", F.col("items").alias("part"), F.col("confidence").alias("part_confidence"))
+    within = (F.size("part") < F.size("items")) & (F.size(F.array_except("part", "items")) == 0) & (F.col("part_confidence") >= F.col("confidence"))
+    redundant = larger.join(smaller, "token").where(within).select("items").distinct()
+    kept = ruled.join(redundant, "items", "left_anti")
+    return kept, items
+
+
+def as_items(tokens: str, items: dict[str, str]) -> Column:
+    """The items that a URL's tokens stand for."""
+    if not items:
+        return F.array().cast("array<string>")
+    known = F.create_map(*(F.lit(x) for pair in items.items() for x in pair))
+    return F.array_distinct(F.filter(F.transform(tokens, lambda x: known[x]), lambda x: x.isNotNull()))
 
 
 def by_fp_growth(baskets: DataFrame) -> DataFrame:
@@ -107,35 +125,10 @@ def by_fp_growth(baskets: DataFrame) -> DataFrame:
     return (
         model.associationRules.where(F.col("consequent")[0].isin(*_LABELS.values()))
         .where(~F.arrays_overlap("antecedent", _strings(_LABELS.values())))
-        .where(F.size("antecedent") <= MAX_RULE_TOKENS)
         .select(F.array_sort("antecedent").alias("items"), F.substring(F.col("consequent")[0], 7, 9).alias("verdict"), "confidence", "support")
     )
 
 
-def by_levels(baskets: DataFrame, least: int) -> DataFrame:
-    """The rules of ``by_fp_growth``, less some that hold a rule of confidence 1: combinations grow by one token a level.
-
-    A combination is extended only while one verdict has it often enough, and no verdict has it alone.
-    """
-    spark = baskets.sparkSession
-    n = baskets.count()
-    verdict = F.when(F.col("verdict") == "block", "block").otherwise("allow")
-    alike = written(spark, baskets.groupBy("tokens", verdict.alias("verdict")).agg(F.count("*").alias("times")), "alike")
-    level = alike.select("*", F.array().cast("array<string>").alias("items"))
-    found = None
-    for _ in range(MAX_RULE_TOKENS):
-        later = F.filter("tokens", lambda x: (F.size("items") == 0) | (x > F.coalesce(F.get("items", F.size("items") - 1), F.lit(""))))
-        longer = level.select("tokens", "verdict", "times", "items", F.explode(later).alias("last")).withColumn("items", F.concat("items", F.array("last"))).drop("last")
-        tally = longer.groupBy("items").agg(F.sum("times").alias("both"), *(F.sum(F.when(F.col("verdict") == v, F.col("times")).otherwise(0)).alias(v) for v in _LABELS))
-        tally = written(spark, tally.where(F.greatest(*_LABELS) >= least), "combinations")
-        rules = tally.select("items", "both", F.explode(F.array(*(F.struct(F.lit(v).alias("verdict"), F.col(v).alias("hits")) for v in _LABELS))).alias("x")).select(
-            "items", F.col("x.verdict").alias("verdict"), (F.col("x.hits") / F.col("both")).alias("confidence"), (F.col("x.hits") / n).alias("support"), (F.col("x.hits") >= least).alias("often")
-        ).where(F.col("often") & (F.col("confidence") >= MIN_CONFIDENCE)).drop("often")
-        found = rules if found is None else found.unionByName(rules)
-        level = longer.join(tally.where(F.least(*_LABELS) > 0).select("items"), "items", "left_semi").select("tokens", "verdict", "times", "items")
-    return found
-
-
 def _strings(values) -> Column:
     return F.array(*(F.lit(v) for v in values)).cast("array<string>")
 
@@ -148,9 +141,10 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = HAND_WRITTEN
     ruled = split.select("*", tokens().alias("tokens"), rule.alias("rule"), said.alias("said"))
     if labelled is None:
         labelled = ruled.where("said is not null").select("url", "tokens", F.col("said").alias("verdict"))
-    learned = written(spark, mine(labelled), "mined")
-    used = [r[0] for r in learned.select(F.explode("items")).distinct().collect()]  # at most tokens per URL / MIN_SUPPORT
-    marked = ruled.withColumn("combination", F.array_sort(F.filter("tokens", lambda x: x.isin(used))))
+    mined, items = mine(labelled)
+    learned = written(spark, mined, "mined")
+    used = {r[0] for r in learned.select(F.explode("items")).distinct().collect()}  # at most tokens per URL / MIN_SUPPORT
+    marked = ruled.withColumn("combination", F.array_sort(as_items("tokens", {t: i for t, i in items.items() if i in used})))
     combinations = marked.where("said is null").select("combination").distinct()
     matched = (
         combinations.select("combination", F.col("combination").alias("held"), F.explode("combination").alias("token"))
