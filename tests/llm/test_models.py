@@ -249,6 +249,25 @@ def test_nearest(spark, rows, dims):
     assert posting_lists.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_graph_search_compares_few_centroids():
+    """On clustered centroids the beam finds the nearest ones and never sees most of the others."""
+    r = np.random.default_rng(12)
+    middles = r.normal(size=(400, 32)) * 4
+    points = middles[r.integers(0, 400, 6000)] + r.normal(size=(6000, 32)) * 0.5
+    graph = posting_lists.Centroids(points)
+    queries = points[r.integers(0, 6000, 100)] + r.normal(size=(100, 32)) * 0.3
+    ids, far = graph.search(queries, 64)
+    assert graph.compared < 0.5 * 100 * 6000
+    square = ((queries[:, None, :] - points[None, :, :]) ** 2).sum(2)
+    best = np.argsort(square, axis=1)[:, :16]
+    assert sum(len(set(a) & set(b)) for a, b in zip(ids.tolist(), best.tolist())) >= 0.9 * best.size
+    assert np.allclose(far**2, np.take_along_axis(square, ids, 1))
+    for k in (1, 2, 5, 40):  # small graphs are walked as well, and wholly
+        few = posting_lists.Centroids(points[:k])
+        ids, _ = few.search(queries[:7], 64)
+        assert [sorted(x) for x in ids.tolist()] == [list(range(k))] * 7 and few.compared == 7 * k
+
+
 def test_recall_holds_without_clusters_and_with_many_lists(spark, monkeypatch):
     monkeypatch.setattr(posting_lists, "AIMED_ROWS", 8)
     n = 12_000

@@ -1,8 +1,9 @@
 """Approximate nearest neighbours by balanced posting lists.
 
 Centroids come from a balanced clustering of a bounded sample: sets are halved again and again, so that all lists
-get equal shares. They are few (``MAX_LISTS`` at most) and searched through an in-memory neighbour graph, by beam
-search. Every vector goes to its nearest list, and a vector near a boundary also to up to ``REPLICAS`` - 1 further
+get equal shares. They are searched through an in-memory neighbour graph, by beam search that compares a vector with the
+neighbours of the centroids it opens and no others. (``MAX_LISTS`` centroids at most fit a task's memory; beyond
+``MAX_LISTS`` * ``AIMED_ROWS`` vectors lists grow longer instead, and work with the square of the vectors.) Every vector goes to its nearest list, and a vector near a boundary also to up to ``REPLICAS`` - 1 further
 ones that are not much farther. A query takes the lists whose centroids are within a distance ratio of its nearest,
 up to a number of them. Distances in a list are exact.
 
@@ -31,9 +32,11 @@ from pyspark.sql import functions as F
 from .common import written
 
 NEIGHBOURS = 10
-SAMPLE_ROWS, SAMPLE_VALUES = 20_000, 4_000_000
+SAMPLE_ROWS, SAMPLE_VALUES = 20_000, 8_000_000
 #: Vectors aimed at in a list, and the bounds of the number of lists.
-AIMED_ROWS, MAX_LISTS = 256, 2048
+AIMED_ROWS, MAX_LISTS = 256, 32_768
+#: Sampled vectors for each list, and values that are compared at a time.
+ROWS_PER_LIST, STEP_VALUES = 3, 4_000_000
 REPLICAS, REPLICA_RATIO = 4, 1.15
 #: The least that a query takes; more if that does not hold this share of the true neighbours of so many queries.
 PROBES, PROBE_RATIO = 64, 1.6
@@ -76,23 +79,30 @@ class Centroids:
         self.points = centroids
         self.probes, self.ratio = PROBES, PROBE_RATIO
         k = len(centroids)
-        near = np.argsort(_squares(centroids, centroids), axis=1, kind="stable")[:, 1 : DEGREE + 1]
+        step = max(1, STEP_VALUES // k)
+        near = np.concatenate([_nearest_others(centroids, lo, lo + step) for lo in range(0, k, step)])
         # besides the nearest, a few far links keep the graph in one piece
-        step = np.arange(k)[:, None]
-        far = (step + np.array([1, 7, 61, 509])) % k
+        far = (np.arange(k)[:, None] + np.array([1, 7, 61, 509])) % k
         self.links = np.concatenate([near, far], axis=1)
         self.entries = np.unique(np.linspace(0, k - 1, min(ENTRIES, k)).astype(int))
+        #: Pairs of a query and a centroid whose distance was computed.
+        self.compared = 0
+
+    def _squared(self, queries: np.ndarray, which: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        """Squared distances of pairs (query number, centroid number)."""
+        self.compared += len(nodes)
+        step = max(1, STEP_VALUES // self.points.shape[1])
+        out = np.empty(len(nodes))
+        for lo in range(0, len(nodes), step):
+            d = queries[which[lo : lo + step]] - self.points[nodes[lo : lo + step]]
+            out[lo : lo + step] = np.einsum("md,md->m", d, d)
+        return out
 
     def search(self, queries: np.ndarray, want: int) -> tuple[np.ndarray, np.ndarray]:
         """(numbers, distances) of about the ``want`` nearest centroids of each query, nearest first."""
         n, k = len(queries), len(self.points)
         beam = min(max(BEAM, want), k)
         rows = np.arange(n)[:, None]
-        table = np.maximum(_squares(queries, self.points), 0)  # n * MAX_LISTS values
-        if beam == k:  # the graph leaves out nothing
-            far = table
-            best = np.argsort(far, axis=1, kind="stable")[:, :want]
-            return best, np.sqrt(np.take_along_axis(far, best, 1))
         width = max(1, beam // _OPENED_PART)
         seen = np.zeros((n, k), bool)
         ids = np.zeros((n, beam), int)
@@ -100,16 +110,16 @@ class Centroids:
         opened = np.ones((n, beam), bool)
         new = np.repeat(self.entries[None, :], n, 0)
         while True:
-            fresh = ~seen[rows, new]
-            seen[rows, new] = True
-            square = table[rows, new]
-            square[~fresh] = np.inf
             # the same centroid twice in one step: keep its first place
             order = np.argsort(new, axis=1, kind="stable")
-            twice = np.zeros_like(fresh)
             sorted_new = np.take_along_axis(new, order, 1)
+            twice = np.zeros(new.shape, bool)
             np.put_along_axis(twice, order[:, 1:], sorted_new[:, 1:] == sorted_new[:, :-1], 1)
-            square[twice] = np.inf
+            fresh = ~seen[rows, new] & ~twice
+            seen[rows, new] = True
+            which, at = np.nonzero(fresh)
+            square = np.full(new.shape, np.inf)
+            square[which, at] = self._squared(queries, which, new[which, at])
             all_ids, all_far = np.concatenate([ids, new], 1), np.concatenate([far, square], 1)
             all_open = np.concatenate([opened, np.zeros_like(fresh)], 1)
             best = np.argsort(all_far, axis=1, kind="stable")[:, :beam]
@@ -166,6 +176,17 @@ class Centroids:
             self.probes = min(k, math.ceil(1.1 * self.probes))  # the beam had missed some
 
 
+def _nearest_others(points: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """The ``DEGREE`` nearest other points of points ``lo`` to ``hi``, nearest first."""
+    square = _squares(points[lo:hi], points)
+    square[np.arange(len(square)), np.arange(lo, lo + len(square))] = np.inf
+    most = min(DEGREE, len(points) - 1)
+    if not most:
+        return np.zeros((len(square), 0), int)
+    near = np.argpartition(square, most - 1, axis=1)[:, :most]
+    return np.take_along_axis(near, np.argsort(np.take_along_axis(square, near, 1), axis=1, kind="stable"), 1)
+
+
 def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T
 
@@ -181,13 +202,15 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 def fit(entries: DataFrame, dimensions: int) -> Centroids | None:
     """Centroids from a sample of the distinct vectors, by hash of their smallest id; None if there is no vector."""
     n = entries.count()
-    rows = min(SAMPLE_ROWS, max(1, SAMPLE_VALUES // dimensions))
+    lists = min(MAX_LISTS, max(1, math.ceil(n / AIMED_ROWS)))
+    rows = min(max(SAMPLE_ROWS, ROWS_PER_LIST * lists), max(1, SAMPLE_VALUES // dimensions))
     share = min(1.0, rows / max(1, n))
-    chosen = entries.where(F.pmod(F.xxhash64(F.lit("sample"), "entry"), F.lit(1_000_000)) < max(1, int(share * 1_000_000))).select("entry", "vector").orderBy("entry").limit(2 * rows)
+    place = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), "entry"), 1)
+    chosen = entries.where(place <= F.lit(min(2**63 - 1, int(share * 2**63)))).select("entry", "vector").orderBy("entry").limit(2 * rows)
     sample = matrix(chosen.toArrow().column("vector"))
     if not len(sample):
         return None
-    lists = min(MAX_LISTS, max(1, math.ceil(n / AIMED_ROWS)), len(sample))
+    lists = min(lists, len(sample))
     return Centroids(np.stack([sample[r].mean(0) for r in halve(sample, lists, np.random.default_rng(3))]))
 
 
