@@ -28,7 +28,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -41,7 +40,7 @@ ORDER = 2
 #: Weight of the shorter history, in counts.
 MASS = 200.0
 #: Characters of a block of documents, and n-grams of a shard; one longer text is a block of its own.
-BLOCK_CHARS, SHARD_GRAMS = 6_000_000, 3_000_000
+BLOCK_CHARS, SHARD_GRAMS = 3_000_000, 3_000_000
 #: Word numbers of a text's start (never scored) and end.
 START, END = 0, 1
 #: Hashed names of the two: no word holds a blank. Hashes of words are odd, all others even, the start's too.
@@ -68,7 +67,7 @@ def tokenised(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarr
         sizes.append(len(words) + 2)
     hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in numbers), np.uint64, len(numbers)) | _WORD
     hashes[START] ^= _WORD
-    return np.array(tokens, np.uint32), np.array(sizes, np.int64), hashes
+    return np.array(tokens, np.int64), np.array(sizes, np.int64), hashes
 
 
 class Grams:
@@ -77,7 +76,6 @@ class Grams:
     def __init__(self, tokens: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, order: int):
         n, words = len(tokens), len(hashes)
         ends = np.repeat(np.cumsum(sizes), sizes)
-        tokens = tokens.astype(np.int64)
         #: Per level: the n-gram that starts at each place (-1: it would cross the text's end).
         self.at = [tokens]
         #: Per level: prefix n-gram, last word and hash of each distinct n-gram.
@@ -130,7 +128,7 @@ def blocks(docs: DataFrame, learn: Column, id_column: str, text_column: str, cha
                 np.array([i is None for i in ids], bool).tobytes(),
                 learned.tobytes(),
                 sizes.tobytes(),
-                tokens.tobytes(),
+                packed(tokens, np.uint16),
                 hashes.tobytes(),
                 len(tokens),
                 int((sizes - 1)[learned].sum()),
@@ -163,24 +161,48 @@ def gathered(batches: Iterator[pa.RecordBatch], chars: int) -> Iterator[list[lis
 
 def block_grams(row: dict, order: int) -> tuple[Grams, np.ndarray, np.ndarray, np.ndarray]:
     """(n-grams, tokens, sizes, which documents are learned from) of a written block."""
-    tokens, sizes = np.frombuffer(row["tokens"], np.uint32), np.frombuffer(row["sizes"], np.int64)
+    tokens, sizes = unpacked(row["tokens"], np.uint16), np.frombuffer(row["sizes"], np.int64)
     return Grams(tokens, sizes, np.frombuffer(row["words"], np.uint64), order), tokens, sizes, np.frombuffer(row["learned"], bool)
 
 
+def by_significance(hashes: np.ndarray) -> bytes:
+    """Sorted hashes as their first bytes, then their second bytes and so on, which compresses well."""
+    return np.ascontiguousarray(hashes).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def hashes_of(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+
+
+def packed(numbers: np.ndarray, kind: type = np.uint8) -> bytes:
+    """Mostly small numbers in ``kind`` each; larger ones follow behind, in order, in eight bytes."""
+    most = np.iinfo(kind).max
+    large = numbers[numbers >= most].astype(np.int64)
+    return b"".join([len(numbers).to_bytes(8, "little"), np.minimum(numbers, most).astype(kind).tobytes(), large.tobytes()])
+
+
+def unpacked(blob: bytes, kind: type = np.uint8) -> np.ndarray:
+    n = int.from_bytes(blob[:8], "little")
+    small = np.frombuffer(blob, kind, n, 8)
+    numbers = small.astype(np.int64)
+    numbers[small == np.iinfo(kind).max] = np.frombuffer(blob, np.uint8, offset=8 + small.nbytes).view(np.int64)
+    return numbers
+
+
 def borders(shards: int) -> np.ndarray:
     """First hash of each shard but the first."""
     return np.array([(s << 64) // shards for s in range(1, shards)], np.uint64)
 
 
 def questions(held: DataFrame, shards: int, order: int) -> DataFrame:
-    """shard, block, the sorted hashes (bytes by significance) and the block's own counts of them."""
+    """shard, block, the sorted hashes and the block's own counts of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 grams, _, sizes, learned = block_grams(row, order)
                 keys, by_key = grams.sorted_keys()
-                own = grams.counts(np.repeat(learned, sizes).astype(np.float64))[by_key].astype(np.uint32)
+                own = grams.counts(np.repeat(learned, sizes).astype(np.float64))[by_key].astype(np.int64)
                 cuts = [0, *np.searchsorted(keys, borders(shards)).tolist(), len(keys)]
                 parts = [(s, a, b) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
                 for some in (parts[i : i + 256] for i in range(0, len(parts), 256)):
@@ -188,8 +210,8 @@ def questions(held: DataFrame, shards: int, order: int) -> DataFrame:
                         [
                             pa.array([s for s, _, _ in some], pa.int64()),
                             pa.array([row["block"]] * len(some), pa.int64()),
-                            pa.array([keys[a:b].astype(">u8").view(np.uint8).reshape(-1, 8).T.tobytes() for _, a, b in some], pa.binary()),
-                            pa.array([own[a:b].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for _, a, b in some], pa.binary()),
+                            pa.array([by_significance(keys[a:b]) for _, a, b in some], pa.binary()),
+                            pa.array([packed(own[a:b]) for _, a, b in some], pa.binary()),
                         ],
                         names=["shard", "block", "keys", "own"],
                     )
@@ -197,17 +219,12 @@ def questions(held: DataFrame, shards: int, order: int) -> DataFrame:
     return held.select("block", "learned", "sizes", "tokens", "words").mapInArrow(run, "shard long, block long, keys binary, own binary")
 
 
-def planes(blob: bytes, width: int, kind: str) -> np.ndarray:
-    """Numbers whose bytes were stored by significance."""
-    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(width, -1).T).view(kind).ravel()
-
-
 def answers(asked: DataFrame) -> DataFrame:
     """shard, block, totals of its hashes over all blocks, learned words (on a shard's first row)."""
 
     def run(table: pa.Table) -> pa.Table:
-        keys = [planes(x.as_py(), 8, ">u8").astype(np.uint64) for x in table["keys"]]
-        own = np.concatenate([planes(x.as_py(), 4, "<u4") for x in table["own"]])
+        keys = [hashes_of(x.as_py()) for x in table["keys"]]
+        own = np.concatenate([unpacked(x.as_py()) for x in table["own"]])
         distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
         totals = np.bincount(back, own, len(distinct)).astype(np.int64)
         learned = int(((distinct & _WORD > 0) & (totals > 0)).sum())
@@ -216,7 +233,7 @@ def answers(asked: DataFrame) -> DataFrame:
             {
                 "shard": table["shard"].cast(pa.int64()),
                 "block": table["block"].cast(pa.int64()),
-                "totals": pa.array([g.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for g in given], pa.binary()),
+                "totals": pa.array([packed(g) for g in given], pa.binary()),
                 "words": pa.array([learned, *[0] * (len(given) - 1)], pa.int64()),
             }
         )
@@ -225,55 +242,51 @@ def answers(asked: DataFrame) -> DataFrame:
 
 
 class Automaton:
-    """The part of the backoff automaton that a block's texts can reach.
+    """The part of the backoff automaton that a block's texts can reach, laid along their places.
 
-    States are numbered: 0 is the empty history, then the counted n-grams below ``order``, level by level. Each
-    n-gram is an arc from the state of its prefix, labelled with its last word.
+    States are the counted n-grams below ``order``, arcs the counted n-grams: each leads from the state of its first
+    words, labelled with its last, to the state of its longest suffix that is one. A place knows for each length of
+    history the arc that its word would take from there (NaN if there is none) and that state's failure weight.
     """
 
     def __init__(self, grams: Grams, counts: list[np.ndarray], tokens: int, vocabulary: int, order: int, mass: float):
-        words = len(grams.keys[0])
-        total = tokens + 0.5 * (vocabulary + 1)
-        self.words = words
-        probability = (counts[0] + 0.5) / total
+        self.order = order
+        probability = (counts[0] + 0.5) / (tokens + 0.5 * (vocabulary + 1))
         self.base = np.log10(probability)
-        arcs, weights, targets = [np.arange(words)], [self.base], []
-        fail, fail_weight, number = [np.zeros(1, np.int64)], [np.zeros(1)], 1
-        #: The state of each n-gram's longest suffix that is a state.
-        suffix_state = np.zeros(words, np.int64)
-        for k in range(order):
-            seen, state = counts[k] > 0, suffix_state.copy()
-            if k + 1 < order:
-                state[seen] = number + np.arange(int(seen.sum()))
-                number += int(seen.sum())
-                fail.append(suffix_state[seen])
-                fail_weight.append(np.log10(mass / (counts[k][seen] + mass)))
-            targets.append(state if k == 0 else state[seen])
-            if k == 0:
-                self.start = int(state[START])
-            if k + 1 < order:
-                prefix, last, suffix = grams.prefix[k + 1], grams.last[k + 1], grams.suffixes(k + 1)
-                probability = (counts[k + 1] + mass * probability[suffix]) / (counts[k][prefix] + mass)
-                own = counts[k + 1] > 0
-                arcs.append((state[prefix] * words + last)[own])
-                weights.append(np.log10(probability[own]))
-                suffix_state = state[suffix]
-        self.fail = np.concatenate(fail).tolist()
-        self.fail_weight = np.concatenate(fail_weight).tolist()
-        self.arc = dict(zip(np.concatenate(arcs).tolist(), zip(np.concatenate(weights).tolist(), np.concatenate(targets).tolist(), strict=True), strict=True))
-
-    def walk(self, tokens: list[int]) -> float:
-        """log10 probability of a text's tokens, its start left out."""
-        arc, fail, fail_weight, words = self.arc, self.fail, self.fail_weight, self.words
-        state, score = self.start, 0.0
-        for token in tokens:
-            taken = arc.get(state * words + token)
-            while taken is None:
-                score += fail_weight[state]
-                state = fail[state]
-                taken = arc.get(state * words + token)
-            score += taken[0]
-            state = taken[1]
+        known = counts[0] > 0
+        n = len(grams.at[0])
+        self.known = known[grams.at[0]]
+        #: By length of history: weight of the arc into each place, and of the failure arc on the way there.
+        self.arcs = [self.base[grams.at[0]]]
+        self.fails = [np.zeros(n)]
+        for k in range(1, order):
+            prefix, suffix = grams.prefix[k], grams.suffixes(k)
+            probability = (counts[k] + mass * probability[suffix]) / (counts[k - 1][prefix] + mass)
+            weight = np.where(counts[k] > 0, np.log10(probability), np.nan)
+            failure = np.log10(mass / (counts[k - 1][prefix] + mass))
+            starts = np.flatnonzero(grams.at[k] >= 0)
+            arc, fail = np.full(n, np.nan), np.zeros(n)
+            arc[starts + k] = weight[grams.at[k][starts]]
+            fail[starts + k] = failure[grams.at[k][starts]]
+            self.arcs.append(arc)
+            self.fails.append(fail)
+
+    def walk(self, start: int, end: int) -> float:
+        """log10 probability of the tokens behind ``start``, a text's start, up to ``end``."""
+        arcs = [a[start + 1 : end].tolist() for a in self.arcs]
+        fails = [f[start + 1 : end].tolist() for f in self.fails]
+        known = self.known[start:end].tolist()
+        longest, score = self.order - 1, 0.0
+        held = min(1, longest) if known[0] else 0  # length of the state's history
+        for i, word_known in enumerate(known[1:]):
+            weight = arcs[held][i]
+            while weight != weight:  # no such arc: fall back to the next shorter history
+                score += fails[held][i]
+                held -= 1
+                weight = arcs[held][i]
+            score += weight
+            if word_known:
+                held = min(held + 1, longest)
         return score
 
 
@@ -284,24 +297,23 @@ def scored(held: DataFrame, totals: DataFrame, tokens: int, vocabulary: int, ord
         row = block.to_pylist()[0]
         grams, numbers, sizes, _ = block_grams(row, order)
         shard_order = np.argsort(own["shard"].to_numpy())
-        given = [planes(own["totals"][int(i)].as_py(), 8, "<i8") for i in shard_order]
+        given = [unpacked(own["totals"][int(i)].as_py()) for i in shard_order]
         counts = np.empty(sum(len(g) for g in given), np.int64)
         counts[grams.sorted_keys()[1]] = np.concatenate(given)
         counts = grams.levels(counts)
         automaton = Automaton(grams, counts, tokens, vocabulary, order, mass)
         ends = np.cumsum(sizes)
-        inner = [(a + 1, b) for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
-        known = np.concatenate([[0], np.cumsum(counts[0][numbers] > 0)])
-        listed = numbers.tolist()
+        spans = list(zip((ends - sizes).tolist(), ends.tolist(), strict=True))
+        known = np.concatenate([[0], np.cumsum(automaton.known)])
         missing = np.frombuffer(row["no_id"], bool)
         ids = np.frombuffer(row["ids"], np.int64)
         return pa.table(
             {
                 "doc_id": pa.array(ids, pa.int64(), mask=missing),
                 "n_tokens": pa.array(sizes - 1),
-                "n_known": pa.array([int(known[b] - known[a]) for a, b in inner], pa.int64()),
-                "base_score": pa.array([math.fsum(automaton.base[numbers[a:b]].tolist()) for a, b in inner], pa.float64()),
-                "score": pa.array([automaton.walk(listed[a:b]) for a, b in inner], pa.float64()),
+                "n_known": pa.array([int(known[b] - known[a + 1]) for a, b in spans], pa.int64()),
+                "base_score": pa.array([math.fsum(automaton.base[numbers[a + 1 : b]].tolist()) for a, b in spans], pa.float64()),
+                "score": pa.array([automaton.walk(a, b) for a, b in spans], pa.float64()),
             }
         )
 
