@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import hashlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -17,7 +18,6 @@ from .merge import BEFORE, DELETED, INSERTED, KEPT, MERGE_FLAG, UPDATED, upsert
 from .versions import Files, Note, Versions
 
 _BATCHES = StructType().add("load", StringType()).add("batch", LongType()).add("number", LongType())
-_BLOCK_STATS = "version bigint, block bigint, stored bigint, low string, high string"
 #: Partition columns of every write: its number, and whether a file holds the table's rows or change images.
 VERSION_COLUMN, KIND_COLUMN = "_version", "_kind"
 ROWS, IMAGES = "rows", "images"
@@ -99,13 +99,7 @@ class TableStore:
     def zones(self, spec: TableSpec) -> DataFrame:
         """block, stored (rows), low, high (of the spec's zone column, as text) of each block that has rows."""
         name = self.table_name(spec)
-        path = self._stats_path(spec)
-        if not Files(self.spark, path).exists(path):
-            return empty_rows(self.spark, _BLOCK_STATS).drop("version")
-        void = [version for version, _, kind, _ in self.versions(spec).listed() if kind == "void"]
-        noted = self.spark.read.schema(_BLOCK_STATS).parquet(path).where(F.col("version") <= self._applied(name))
-        if void:
-            noted = noted.where(~F.col("version").isin(void))
+        noted = self.versions(spec).zones(self.spark, self._applied(name))
         newest = noted.groupBy("block").agg(F.max_by(F.struct("stored", "low", "high"), "version").alias("of"))
         return newest.select("block", "of.*").join(self._block_rows(spec), "block", "left_semi")
 
@@ -332,8 +326,8 @@ class TableStore:
         self._write(spec, self._images(spec, flagged) if images else self._rows_only(spec, flagged), folder)
         stats = self._measure(spec, folder, versions.files)
         emptied = sorted(set(touched or ()).difference(r.block for r in stats))
-        self._note_stats(spec, note.version, stats, emptied)
-        note = Note(**{**note.__dict__, "blocks": sorted(r.block for r in stats), "emptied": emptied})
+        zones = sorted((r.block, r.stored, r.low, r.high) for r in stats) if spec.zone else []
+        note = dataclasses.replace(note, blocks=sorted(r.block for r in stats), emptied=emptied, zones=zones)
         self._commit(spec, versions, note)
         return MergeCounts(sum(r.inserted for r in stats), sum(r.updated for r in stats))
 
@@ -409,17 +403,6 @@ class TableStore:
             .collect()
         )
 
-    def _stats_path(self, spec: TableSpec) -> str:
-        return self.control_path(f"blocks/{spec.layer}/{spec.name}")
-
-    def _note_stats(self, spec: TableSpec, version: int, stats: list, emptied: Sequence[int]) -> None:
-        """Keep the blocks' ranges; they count once the version is committed."""
-        if spec.zone and (stats or emptied):
-            lines = [(version, r.block, r.stored, r.low, r.high) for r in stats]
-            lines += [(version, b, 0, None, None) for b in emptied]
-            frame = self.spark.createDataFrame(lines, _BLOCK_STATS).coalesce(1)
-            frame.write.mode("append").parquet(self._stats_path(spec))
-
     # -- the catalog ---------------------------------------------------------------------------
 
     def _new_buckets(self, spec: TableSpec) -> int:

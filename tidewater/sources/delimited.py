@@ -94,7 +94,13 @@ def records(lines: DataFrame) -> DataFrame:
 
     is_header = (F.col("block") == 0) & (F.col("value") == F.col("header"))
     simple = placed.where(~F.col("tangled") & ~is_header).select("file", "modified", F.col("value").alias("record"))
+    each = simple if splits.where("tangled").isEmpty() else simple.union(_spanning(placed))
+    each = each.withColumn("record", F.regexp_replace("record", "\r$", ""))
+    return each.where(F.trim("record") != "")
+
 
+def _spanning(placed: DataFrame) -> DataFrame:
+    """The records of splits in which a record may span lines, or that start within one."""
     in_split = Window.partitionBy("file", "block").orderBy("line")
     quotes_before = F.coalesce(F.sum("odd").over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     begins = (quotes_before + F.col("opened").cast("int")) % 2 == 0
@@ -108,14 +114,12 @@ def records(lines: DataFrame) -> DataFrame:
     )
     tangled = tangled.drop("_file", "_block").join(numbered, (F.col("file") == F.col("_file")) & (F.col("block") == F.col("_block")))
     parts = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
-    spanning = (
+    return (
         tangled.groupBy("file", (F.col("before") + F.col("number")).alias("record_number"))
         .agg(F.max("modified").alias("modified"), F.min("block").alias("first_block"), parts.alias("parts"))
         .where("NOT (first_block = 0 AND record_number = 1)")
         .select("file", "modified", F.array_join(F.transform("parts", lambda p: p.value), "\n").alias("record"))
     )
-    each = simple.union(spanning).withColumn("record", F.regexp_replace("record", "\r$", ""))
-    return each.where(F.trim("record") != "")
 
 
 def read_text_columns(spark: SparkSession, spec: TableSpec, options: dict[str, str], lines: DataFrame) -> DataFrame:

@@ -455,7 +455,7 @@ def lineitem_version_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _merged(
+def _prepared(
     spark: SparkSession,
     sf_dir: str,
     job: silver.SilverJob,
@@ -463,50 +463,56 @@ def _merged(
     feed: DataFrame,
     lookups: tuple[str, ...] = (),
     keep_feed: bool = True,
-) -> DataFrame:
-    """Load ``before`` in full, apply the feed, read the cleaned table."""
+) -> Callable[[], DataFrame]:
+    """Load ``before`` in full; what is returned applies the feed and reads the cleaned table."""
     store = TableStore(spark, scratch_dir(spark, "tables"))
     for name in lookups:
         store.write_batch(STAGING[name], staged(spark, sf_dir, name), 0)
     store.write_batch(STAGING[job.staging], before, 0)
     silver.full_load(store, job)
-    silver.apply_changes(store, job, feed, keep_feed=keep_feed)
-    return shown(store.read(job.target).drop(job.stamp, "source_file"))
+
+    def merge() -> DataFrame:
+        silver.apply_changes(store, job, feed, keep_feed=keep_feed)
+        return shown(store.read(job.target).drop(job.stamp, "source_file"))
+
+    return merge
+
+
+def prepared_orders_merge(spark: SparkSession, sf_dir: str) -> Callable[[], DataFrame]:
+    feed = _orders_feed(spark, sf_dir)
+    return _prepared(spark, sf_dir, silver.ORDERS_JOB, _orders_before(spark, sf_dir), feed)
+
+
+def prepared_customer_merge(spark: SparkSession, sf_dir: str) -> Callable[[], DataFrame]:
+    before = _customer_before(spark, sf_dir)
+    feed = table_changes(before, _customer_after(spark, sf_dir), STAGING["customer"].keys)
+    return _prepared(spark, sf_dir, silver.CUSTOMER_JOB, before, feed, ("nation", "region"))
+
+
+def prepared_lineitem_merge(spark: SparkSession, sf_dir: str) -> Callable[[], DataFrame]:
+    feed = append_feed(_lineitem_second(spark, sf_dir), STAGING["lineitem"].keys)
+    before = _lineitem_first(spark, sf_dir)
+    lookups = ("part", "supplier")
+    return _prepared(spark, sf_dir, silver.LINEITEM_JOB, before, feed, lookups, keep_feed=False)
 
 
 def orders_cdc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _merged(
-        spark,
-        sf_dir,
-        silver.ORDERS_JOB,
-        _orders_before(spark, sf_dir),
-        _orders_feed(spark, sf_dir),
-    )
+    return prepared_orders_merge(spark, sf_dir)()
 
 
 def orders_merge_many_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same merge into a table of narrow key blocks, so that many of them are replaced."""
     narrow = replace(ORDERS_SILVER, block=key_range_block("o_orderkey", 10))
-    return _merged(
-        spark,
-        sf_dir,
-        replace(silver.ORDERS_JOB, target=narrow),
-        _orders_before(spark, sf_dir),
-        _orders_feed(spark, sf_dir),
-    )
+    job = replace(silver.ORDERS_JOB, target=narrow)
+    return _prepared(spark, sf_dir, job, _orders_before(spark, sf_dir), _orders_feed(spark, sf_dir))()
 
 
 def customer_cdc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before = _customer_before(spark, sf_dir)
-    feed = table_changes(before, _customer_after(spark, sf_dir), STAGING["customer"].keys)
-    return _merged(spark, sf_dir, silver.CUSTOMER_JOB, before, feed, ("nation", "region"))
+    return prepared_customer_merge(spark, sf_dir)()
 
 
 def lineitem_cdc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = append_feed(_lineitem_second(spark, sf_dir), STAGING["lineitem"].keys)
-    before = _lineitem_first(spark, sf_dir)
-    lookups = ("part", "supplier")
-    return _merged(spark, sf_dir, silver.LINEITEM_JOB, before, feed, lookups, keep_feed=False)
+    return prepared_lineitem_merge(spark, sf_dir)()
 
 
 # -- change feed ---------------------------------------------------------------------------------
