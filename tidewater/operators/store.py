@@ -416,7 +416,7 @@ class TableStore:
         column = spec.partition_column
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.read_schema)
         clustered = f" CLUSTERED BY ({', '.join(spec.keys)}) INTO {buckets} BUCKETS" if buckets else ""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root}/catalog'")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}, `{column}` bigint) USING parquet"
             f" PARTITIONED BY (`{column}`){clustered} LOCATION '{self.path(spec)}'"
