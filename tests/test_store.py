@@ -300,3 +300,15 @@ def test_ansi_is_required(spark):
             require_ansi(spark)
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_many_narrow_blocks_get_no_buckets(spark, store):
+    """Buckets would make several files of each block's few keys; the merge is the same without them."""
+    keys = spark.range(1200).selectExpr("id AS c_custkey", "concat('n', id) AS c_name", "true AS is_active")
+    store.overwrite(SPEC, keys)
+    merge(store, keys.where("c_custkey % 2 = 0 OR c_custkey > 1190").selectExpr("c_custkey + 4 AS c_custkey", "'m' AS c_name", "is_active"))
+    written = files(store)
+    assert len(written) == len(set(written.values())) == 301
+    names = dict(rows(store.read(SPEC), "c_custkey", "c_name"))
+    assert len(names) == 1204 and names[3] == "n3" and names[6] == "m" and names[1203] == "m"
+    assert TableStore(spark, store.root)._buckets(SPEC) == 0

@@ -5,9 +5,11 @@ from __future__ import annotations
 import dataclasses
 import hashlib
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from uuid import uuid4
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
@@ -21,6 +23,8 @@ _BATCHES = StructType().add("load", StringType()).add("batch", LongType()).add("
 #: Partition columns of every write: its number, and whether a file holds the table's rows or change images.
 VERSION_COLUMN, KIND_COLUMN = "_version", "_kind"
 ROWS, IMAGES = "rows", "images"
+#: Files that the buckets of a new table's narrow blocks may come to.
+BUCKET_FILES = 1024
 _APPLIED = "tidewater.version"
 
 
@@ -114,6 +118,7 @@ class TableStore:
 
     def overwrite(self, spec: TableSpec, df: DataFrame) -> None:
         """Replace all rows. The old ones stay until the new ones are written."""
+        self._create_fitting(spec, df)
         self.recover(spec)
         rows = self._conform(spec, df).withColumn(spec.partition_column, spec.stored_block())
         buckets = self._buckets(spec)
@@ -409,6 +414,18 @@ class TableStore:
         """A new table has no more buckets than the session has shuffle partitions."""
         return min(spec.buckets, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
 
+    def _create_fitting(self, spec: TableSpec, df: DataFrame) -> None:
+        """Create a table of many narrow blocks without buckets: their files would outnumber its keys.
+
+        Its merges shuffle the touched blocks along with the batch. The blocks are counted for narrow ones only.
+        """
+        name = f"{self.database}.{spec.layer}_{spec.name}"
+        if not spec.narrow or name in self._known or self.versions(spec).listed() or self.spark.catalog.tableExists(name):
+            return
+        blocks = self._conform(spec, df).select(spec.stored_block().alias("b")).distinct().count()
+        if blocks * self._new_buckets(spec) > BUCKET_FILES:
+            self._create_entry(spec, name, 0)
+
     def _buckets(self, spec: TableSpec) -> int:
         return self._known[self.table_name(spec)]
 
@@ -440,9 +457,13 @@ class TableStore:
         name, column = self.table_name(spec), spec.partition_column
         there = set(self.blocks(spec))
         place = {b: f"{versions.folder(note.version)}/{KIND_COLUMN}={ROWS}/{column}={b}" for b in note.blocks}
-        for b in note.blocks:
-            if b in there:
-                self.spark.sql(f"ALTER TABLE {name} PARTITION (`{column}`='{b}') SET LOCATION '{place[b]}'")
+
+        def move(b: int) -> None:
+            self.spark.sql(f"ALTER TABLE {name} PARTITION (`{column}`='{b}') SET LOCATION '{place[b]}'")
+
+        # One statement a block; several at a time, as each mostly waits for the catalog.
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            list(pool.map(inheritable_thread_target(self.spark)(move), [b for b in note.blocks if b in there]))
         new = [f"PARTITION (`{column}`='{b}') LOCATION '{place[b]}'" for b in note.blocks if b not in there]
         if new:
             self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(new)}")

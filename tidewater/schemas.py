@@ -26,6 +26,8 @@ BATCH_COLUMN = "_batch_id"
 BLOCK_COLUMN = "key_block"
 #: Block of rows without a key.
 NO_KEY_BLOCK = -(2**63)
+#: Keys that a bucket of a block is to hold: each is a file of its own.
+BUCKET_KEYS = 2**12
 
 KEY = LongType()
 MONEY = DecimalType(12, 2)
@@ -56,6 +58,11 @@ class TableSpec:
     #: Column whose range is kept for each block.
     zone: str | None = None
 
+    @property
+    def narrow(self) -> bool:
+        """Whether the blocks hold few keys for their buckets."""
+        return getattr(self.block, "width", 2**63) < self.buckets * BUCKET_KEYS
+
     def stored_block(self) -> Column:
         return F.coalesce(self.block(), F.lit(NO_KEY_BLOCK).cast("bigint"))
 
@@ -86,7 +93,12 @@ def _columns(*pairs: tuple[str, DataType]) -> StructType:
 
 def key_range_block(key: str, bits: int) -> Callable[[], Column]:
     """Block number of a key when every block holds at most ``2 ** bits`` consecutive keys."""
-    return lambda: F.shiftright(F.col(key).cast("bigint"), bits)
+
+    def block() -> Column:
+        return F.shiftright(F.col(key).cast("bigint"), bits)
+
+    block.width = 2**bits
+    return block
 
 
 def month_block(date_column: str) -> Callable[[], Column]:
