@@ -7,11 +7,14 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidewater.llm import simhash, substrings
+from tidewater.llm.common import chunks, lengths, spans
 from tidewater.llm.components import components
 from tidewater.llm.fm_index import FMIndex
 
@@ -166,3 +169,23 @@ def test_near_dedup_stage_is_the_simhash_operator(spark):
     want = {r.component_id for r in simhash.near_duplicates(docs).collect()}
     assert sorted(r.doc_id for r in rows if r.doc_id is not None) == sorted(want - {None})
     assert corpus_pipeline.one_of_each(spark, documents(spark, []), "").count() == 0
+
+
+def test_suspects_hold_one_document_of_each_class(spark):
+    """Copies are collapsed where they are read: neither they nor their texts are exchanged again."""
+    passage = " ".join(f"w{i}" for i in range(60))
+    texts = [f"{passage} a", f"{passage} a", f"{passage} b", f"{passage}  b", None, "short"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = substrings.profile(docs, "doc_id", "text")
+    grouped = rows.where("n_words >= 35").groupBy("digest").agg(F.min(F.struct("text_digest", "anchors")).alias("own"))
+    classes = grouped.select("digest", "own.text_digest", "own.anchors").localCheckpoint()
+    found = substrings.suspects(docs, classes, "text").collect()
+    assert len(found) == len({r.digest for r in found}) == 2
+    assert {r.digest for r in found} == {r.digest for r in classes.collect()}
+
+
+def test_sizes_of_a_chunk():
+    assert lengths(pa.array(["ab", None, "\u00e4\u00f6\u00fc"])) == [2, 0, 3]
+    assert lengths(pa.array([b"abc", None])) == [3, 0]
+    assert lengths(pa.array([[1, 2], None, []])) == [2, 0, 0]
+    assert list(spans([3, 0, 9, 1], 5)) == list(chunks(["abc", None, "x" * 9, "y"], 5))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from ..workspace import scratch_dir
@@ -18,10 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+def written(spark: SparkSession, df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """The rows as a table in the shared folder: lineage ends here, and a lost executor costs a reread."""
     path = scratch_dir(spark, f"llm-{label}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -35,9 +36,9 @@ def map_rows(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-            for lo, hi in chunks(lists[-1], chars):
-                got = work(*(x[lo:hi] for x in lists))
+            for lo, hi in spans(lengths(batch.column(batch.num_columns - 1)), chars):
+                part = batch.slice(lo, hi - lo)  # only a chunk at a time becomes Python objects
+                got = work(*(part.column(i).to_pylist() for i in range(batch.num_columns)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, t) for x, t in zip(got, types, strict=True)], names=names
                 )
@@ -49,14 +50,28 @@ def map_rows(
     return df.select(*columns).mapInArrow(run, out)
 
 
+def lengths(texts: pa.Array) -> list[int]:
+    """Characters (bytes of binary values, items of lists) of each; 0 for a null."""
+    kind = pa.types
+    if kind.is_list(texts.type) or kind.is_large_list(texts.type):
+        measure = pc.list_value_length
+    else:
+        measure = pc.binary_length if kind.is_binary(texts.type) or kind.is_large_binary(texts.type) else pc.utf8_length
+    return pc.fill_null(measure(texts), 0).to_pylist()
+
+
 def chunks(texts: list, chars: int) -> Iterator[tuple[int, int]]:
     """Index ranges over ``texts`` that hold about ``chars`` characters each (a longer text stands alone)."""
+    return spans([len(t) if t is not None else 0 for t in texts], chars)
+
+
+def spans(sizes: list[int], chars: int) -> Iterator[tuple[int, int]]:
+    """The same for texts of given sizes."""
     lo = held = 0
-    for i, text in enumerate(texts):
-        n = len(text) if text is not None else 0
+    for i, n in enumerate(sizes):
         if held and held + n > chars:
             yield lo, i
             lo, held = i, 0
         held += n + 1
-    if lo < len(texts):
-        yield lo, len(texts)
+    if lo < len(sizes):
+        yield lo, len(sizes)

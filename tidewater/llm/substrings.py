@@ -104,15 +104,18 @@ def profile(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 
 def suspects(docs: DataFrame, classes: DataFrame, text_column: str) -> DataFrame:
-    """digest, text, anchors (those that repeat) of each class's documents if it has any; copies are repeated."""
+    """digest, text, anchors (those that repeat) of one document of each class that has any.
+
+    Of equal texts one is kept, first where they are read, so copies meet nowhere; the join needs no further exchange.
+    """
     short = F.conv(F.substring("digest", 1, 15), 16, 10).cast("long")
     anchors = classes.select(short.alias("short"), F.explode("anchors").alias("anchor"))
     repeated = anchors.groupBy("anchor").count().where("count > 1").select("anchor")
     # Keyed by a part of the digest: two classes that share it only get each other's anchors to check.
     by_class = anchors.distinct().join(repeated, "anchor").groupBy("short").agg(F.collect_list("anchor").alias("anchors"))
     wanted = classes.select("digest", "text_digest", short.alias("short")).join(by_class, "short").select("digest", "anchors", F.col("text_digest").alias("wanted_text"))
-    texts = docs.select(F.col(text_column).alias("text"))
-    return texts.join(wanted, F.sha2("text", 256) == F.col("wanted_text")).select("digest", "text", "anchors")
+    texts = docs.select(F.sha2(text_column, 256).alias("own_text"), F.col(text_column).alias("text")).dropDuplicates(["own_text"])
+    return texts.join(wanted, F.col("own_text") == F.col("wanted_text")).select("digest", "text", "anchors")
 
 
 def segments(found: DataFrame) -> DataFrame:
@@ -210,7 +213,7 @@ def exceptions(parts: DataFrame, shard_segments: int = SHARD_SEGMENTS) -> DataFr
     )
     # Of a content found once the first place is the only one.
     distinct = each.groupBy("anchor", "content").agg(F.count("*").alias("times"), *(F.first(c).alias(c) for c in ("digest", "start", "windows", "words")))
-    distinct = written(spark, distinct, "contents")
+    distinct = written(spark, distinct, "contents", "zstd")
     # Few anchors are this common; they are written, so that their size decides how they are joined.
     hot = written(spark, distinct.groupBy("anchor").count().where(F.col("count") > shard_segments).select("anchor"), "hot-anchors")
     shards = distinct.join(hot, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
@@ -261,7 +264,7 @@ def trimmed(found: DataFrame, shard_segments: int = SHARD_SEGMENTS) -> DataFrame
                     column.append(v)
         return out
 
-    parts = written(found.sparkSession, segments(found), "segments")
+    parts = written(found.sparkSession, segments(found), "segments", "zstd")
     marked = parts.select("digest", "starts", "windows").join(exceptions(parts, shard_segments), "digest", "left")
     schema = "digest string, n_removed long, kept_sha256 string, kept_text string"
     return map_rows(found.select("digest", "text").join(marked, "digest"), ["digest", "starts", "windows", "found", "text"], work, schema)
@@ -273,8 +276,8 @@ def _analysed(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFr
     rows = written(spark, profile(docs, id_column, text_column), "profiles")
     classes = rows.where(F.col("n_words") >= WINDOW).groupBy("digest").agg(F.count("*").alias("copies"), F.min(F.struct("text_digest", "anchors")).alias("own"))
     classes = written(spark, classes.select("digest", "copies", "own.text_digest", "own.anchors"), "classes")
-    found = suspects(docs, classes, text_column).dropDuplicates(["digest"])
-    found = written(spark, found, "suspect-classes")
+    found = suspects(docs, classes, text_column)
+    found = written(spark, found, "suspect-classes", "zstd")
     return rows, classes, trimmed(found)
 
 
