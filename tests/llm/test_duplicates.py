@@ -184,6 +184,16 @@ def test_suspects_hold_one_document_of_each_class(spark):
     assert {r.digest for r in found} == {r.digest for r in classes.collect()}
 
 
+def test_few_files_of_fingerprints_are_spread_before_they_become_variants(spark, monkeypatch):
+    seen = []
+    real = simhash.variants
+    monkeypatch.setattr(simhash, "variants", lambda df: (seen.append(df.rdd.getNumPartitions()), real(df))[1])
+    distinct = spark.range(40).selectExpr("id * 1234567890123 AS fp").union(spark.createDataFrame([(1,), (3,)], "fp long")).coalesce(1)
+    found = {tuple(sorted(r)) for r in simhash.links(distinct).collect()}
+    assert seen == [int(spark.conf.get("spark.sql.shuffle.partitions"))]
+    assert (1, 3) in found
+
+
 def test_sizes_of_a_chunk():
     assert lengths(pa.array(["ab", None, "\u00e4\u00f6\u00fc"])) == [2, 0, 3]
     assert lengths(pa.array([b"abc", None])) == [3, 0]

@@ -148,7 +148,8 @@ def forest(index: DataFrame) -> DataFrame:
 def links(distinct: DataFrame, block: int = BLOCK) -> DataFrame:
     """(a, b) links that connect all fingerprints within ``MAX_BITS`` bits, directly or through others."""
     spark = distinct.sparkSession
-    index = variants(distinct)
+    # Stored fingerprints fit a few small files, but each becomes 64 rows: a task for each file would hold too many.
+    index = variants(distinct.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "fp"))
     # Few variants are this common; they are written first, so that their size decides how they are joined.
     hot = written(spark, index.groupBy("variant").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).where("blocks > 1"), "hot-variants")
     mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
