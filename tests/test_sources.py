@@ -130,6 +130,17 @@ def test_lines_without_odd_quotes_are_not_brought_together(spark, stage):
     assert table == {"1": False, "2": True}
 
 
+def test_only_numbers_and_lines_are_brought_together(spark, stage):
+    """A file's path and stamp, longer than most lines, are neither sorted by nor exchanged with each line."""
+    (stage / "tpch_sf1_region_1.csv").write_text('k,n,c\n1,"a\nb",x\n2,"c\r",y\r\n3,"d\n\r\n",z\r\n')
+    found = records(read_lines(spark, str(stage)))
+    assert rows(found, "record") == [('1,"a\nb",x',), ('2,"c\r",y',), ('3,"d\n\r\n",z',)]
+    assert {r.file[-21:] for r in found.collect()} == {"tpch_sf1_region_1.csv"}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    by_line = [x for x in plan.splitlines() if "Window" in x and "line#" in x]
+    assert by_line and all("windowspecdefinition(split#" in x and "file#" not in x for x in by_line)
+
+
 def test_positional_cast_cuts_long_text(spark):
     df = spark.createDataFrame([("1", "n" * 30, "2", None)], "a string, b string, c string, d string")
     row = project_positional(df, STAGING["nation"].file_columns).first()

@@ -48,18 +48,20 @@ def read_lines(spark: SparkSession, paths: str | list[str], pattern: str | None
 
 def counted(lines: DataFrame) -> DataFrame:
     """The lines with their order in a split and whether they hold an odd number of quotes."""
-    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
+    # Bytes and not characters: these need not be counted.
+    odd = (F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))) % 2
     return lines.withColumns({"line": F.monotonically_increasing_id(), "odd": odd})
 
 
 def _split_table(lines: DataFrame) -> DataFrame:
-    """For each split: whether it starts inside quotes, whether records in it may span lines, and the file's header.
+    """For each split: a number, whether it starts inside quotes, whether records in it may span lines, and the header.
 
     The first pass: quotes are counted where the lines are read, and only one row for each split is shuffled. A prefix
     sum over a file's splits tells whether an odd number of quotes lies before one.
     """
     splits = lines.groupBy("file", "block").agg(
         F.sum("odd").alias("odd"),
+        F.max("modified").alias("modified"),
         F.min_by("value", F.when(F.col("block") == 0, F.col("line"))).alias("header"),
     )
     whole_file = Window.partitionBy("file")
@@ -70,6 +72,8 @@ def _split_table(lines: DataFrame) -> DataFrame:
     return splits.select(
         F.col("file").alias("_file"),
         F.col("block").alias("_block"),
+        F.col("modified").alias("_modified"),
+        F.monotonically_increasing_id().alias("split"),
         F.when(unbalanced, complaint).otherwise(opened).alias("opened"),
         ((F.col("odd") > 0) | opened).alias("tangled"),
         F.max("header").over(whole_file).alias("header"),
@@ -94,32 +98,43 @@ def records(lines: DataFrame) -> DataFrame:
 
     is_header = (F.col("block") == 0) & (F.col("value") == F.col("header"))
     simple = placed.where(~F.col("tangled") & ~is_header).select("file", "modified", F.col("value").alias("record"))
-    each = simple if splits.where("tangled").isEmpty() else simple.union(_spanning(placed))
-    each = each.withColumn("record", F.regexp_replace("record", "\r$", ""))
+    each = simple if splits.where("tangled").isEmpty() else simple.union(_spanning(placed, splits))
+    # Asked for first, as few rows hold one: the expression is slow.
+    stripped = F.when(F.contains("record", F.lit("\r")), F.regexp_replace("record", "\r$", ""))
+    each = each.withColumn("record", stripped.otherwise(F.col("record")))
     return each.where(F.trim("record") != "")
 
 
-def _spanning(placed: DataFrame) -> DataFrame:
-    """The records of splits in which a record may span lines, or that start within one."""
-    in_split = Window.partitionBy("file", "block").orderBy("line")
+def _spanning(placed: DataFrame, splits: DataFrame) -> DataFrame:
+    """The records of splits in which a record may span lines, or that start within one.
+
+    Lines are brought together and sorted by the number of their split: the file's path and stamp, which are
+    longer than most lines, are added to the records at the end.
+    """
+    in_split = Window.partitionBy("split").orderBy("line")
     quotes_before = F.coalesce(F.sum("odd").over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     begins = (quotes_before + F.col("opened").cast("int")) % 2 == 0
-    tangled = placed.where("tangled").withColumn("begins", begins.cast("int"))
+    tangled = placed.where("tangled").select("split", "block", "line", "value", "odd", "opened")
+    tangled = tangled.withColumn("begins", begins.cast("int"))
     tangled = tangled.withColumn("number", F.sum("begins").over(in_split.rowsBetween(Window.unboundedPreceding, 0)))
+    files = splits.groupBy("_file").agg(F.min("split").alias("of"), F.max("_modified").alias("modified"))
     earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    held = tangled.groupBy(F.col("split").alias("_split")).agg(F.max("number").alias("held"))
     numbered = (
-        tangled.groupBy(F.col("file").alias("_file"), F.col("block").alias("_block"))
-        .agg(F.max("number").alias("held"))
-        .select("_file", "_block", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before"))
+        held.join(splits, F.col("_split") == F.col("split"))
+        .select("_split", "_file", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before"))
+        .join(files.select(F.col("_file").alias("_path"), "of"), F.col("_file") == F.col("_path"))
+        .select("_split", "of", "before")
     )
-    tangled = tangled.drop("_file", "_block").join(numbered, (F.col("file") == F.col("_file")) & (F.col("block") == F.col("_block")))
+    tangled = tangled.join(numbered, F.col("split") == F.col("_split"))
     parts = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
-    return (
-        tangled.groupBy("file", (F.col("before") + F.col("number")).alias("record_number"))
-        .agg(F.max("modified").alias("modified"), F.min("block").alias("first_block"), parts.alias("parts"))
+    found = (
+        tangled.groupBy(F.col("of").alias("_of"), (F.col("before") + F.col("number")).alias("record_number"))
+        .agg(F.min("block").alias("first_block"), parts.alias("parts"))
         .where("NOT (first_block = 0 AND record_number = 1)")
-        .select("file", "modified", F.array_join(F.transform("parts", lambda p: p.value), "\n").alias("record"))
     )
+    record = F.array_join(F.transform("parts", lambda p: p.value), "\n").alias("record")
+    return found.join(files, F.col("_of") == F.col("of")).select(F.col("_file").alias("file"), "modified", record)
 
 
 def read_text_columns(spark: SparkSession, spec: TableSpec, options: dict[str, str], lines: DataFrame) -> DataFrame:
