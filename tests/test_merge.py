@@ -98,3 +98,23 @@ def test_deactivation_boundaries(spark):
 def test_delete_keeps_rows_whose_condition_is_null(spark):
     df = spark.createDataFrame([(1, 5), (2, 50), (3, None)], "k int, v int")
     assert rows(delete_where(df, F.col("v") > 10)) == [(1, 5), (3, None)]
+
+
+def test_blocks_of_the_repeated_merge_are_found_without_cleaning(spark, tmp_path, monkeypatch):
+    from tidewater.operators.store import TableStore
+    from tidewater.verification.queries import write_then_read_by_name
+
+    day = "timestamp '2001-03-01'"
+    orders = f"id AS o_orderkey, id AS o_custkey, 'O' AS o_orderstatus, 5.0D AS o_totalprice, {day} AS o_orderdate, '1-URGENT' AS o_orderpriority"
+    spark.range(3).selectExpr(*orders.split(", ")).write.parquet(str(tmp_path / "orders.parquet"))
+    plans, merge = [], TableStore.merge
+
+    def watched(self, spec, source, *args, keys_from=None, **kw):
+        keys = source if keys_from is None else keys_from
+        plans.append(keys.select(*spec.keys)._jdf.queryExecution().executedPlan().toString())
+        return merge(self, spec, source, *args, keys_from=keys_from, **kw)
+
+    monkeypatch.setattr(TableStore, "merge", watched)
+    found = {(r.phase, r.o_orderstatus_desc, r.order_count) for r in write_then_read_by_name(spark, str(tmp_path)).collect()}
+    assert found == {("repeated", "OPEN", 3)}
+    assert len(plans) == 2 and not any("Window" in plan for plan in plans)

@@ -1,16 +1,18 @@
 from __future__ import annotations
 
 import os
+import re
 from dataclasses import replace
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewater.operators import store as store_module
 from tidewater.operators.store import TableStore
 from tidewater.operators.versions import Versions
-from tidewater.schemas import CUSTOMER_LTV, CUSTOMER_SENSITIVE, STAGING, key_range_block
+from tidewater.schemas import CUSTOMER_LTV, CUSTOMER_SENSITIVE, ORDERS_SILVER, STAGING, key_range_block
 from tidewater.sources.catalog import register_tables
 
 SPEC = replace(CUSTOMER_LTV, block=key_range_block("c_custkey", 2))
@@ -312,3 +314,23 @@ def test_many_narrow_blocks_get_no_buckets(spark, store):
     names = dict(rows(store.read(SPEC), "c_custkey", "c_name"))
     assert len(names) == 1204 and names[3] == "n3" and names[6] == "m" and names[1203] == "m"
     assert TableStore(spark, store.root)._buckets(SPEC) == 0
+
+
+def test_images_are_made_in_compiled_code(spark, store):
+    spec = replace(ORDERS_SILVER, columns=StructType([f for f in ORDERS_SILVER.columns if f.name in ("o_orderkey", "o_orderstatus")]))
+    old = "struct(id AS o_orderkey, 'O' AS o_orderstatus)"
+    flag = "element_at(array('kept', 'updated', 'inserted', 'deleted'), cast(id + 1 AS int))"
+    flagged = spark.range(4).selectExpr(
+        "id AS o_orderkey", "'F' AS o_orderstatus", f"IF(id IN (1, 3), {old}, NULL) AS _before", f"{flag} AS _merge", "0L AS key_block"
+    )
+    copies = store._images(spec, flagged)
+    assert rows(copies, "o_orderkey", "o_orderstatus", "_kind", "_action", "_is_update") == [
+        (0, "F", "rows", None, None),
+        (1, "F", "images", "INSERT", True),
+        (1, "F", "rows", None, None),
+        (1, "O", "images", "DELETE", True),
+        (2, "F", "images", "INSERT", False),
+        (2, "F", "rows", None, None),
+        (3, "O", "images", "DELETE", False),
+    ]
+    assert re.search(r"\*\(\d+\) Generate explode", copies._jdf.queryExecution().executedPlan().toString())

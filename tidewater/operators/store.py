@@ -346,29 +346,22 @@ class TableStore:
         return rows.select(*spec.columns.names, MERGE_FLAG, F.lit(ROWS).alias(KIND_COLUMN), spec.partition_column)
 
     def _images(self, spec: TableSpec, flagged: DataFrame) -> DataFrame:
-        """Rows to keep and, from the same pass, the images of what changed."""
-        names, flag = spec.columns.names, F.col(MERGE_FLAG)
-        update = flag == UPDATED
-
-        def copy(source: Column, kind: str, action: str | None) -> Column:
-            return F.struct(
-                source.alias("row"),
-                F.lit(kind).alias(KIND_COLUMN),
-                F.lit(action).alias(ACTION),
-                (update if action else F.lit(None).cast("boolean")).alias(IS_UPDATE),
-            )
+        """Rows to keep and, from the same pass, the images of what changed.
 
-        after = F.struct(*names)
-        copies = F.array_compact(
-            F.array(
-                F.when(flag != DELETED, copy(after, ROWS, None)),
-                F.when(flag.isin(UPDATED, DELETED), copy(F.col(BEFORE), IMAGES, DELETE)),
-                F.when(flag.isin(UPDATED, INSERTED), copy(after, IMAGES, INSERT)),
-            )
+        Which copies a row gets is one of four fixed lists: unlike structs collected in an array, Spark compiles that.
+        """
+        flag, copy = F.col(MERGE_FLAG), F.col("_copy")
+        row, old, new = 0, 1, 2
+        lists = {KEPT: [row], INSERTED: [row, new], UPDATED: [row, old, new], DELETED: [old]}
+        copies = F.coalesce(*[F.when(flag == kind, F.array(*map(F.lit, each))) for kind, each in lists.items()])
+        return flagged.withColumn("_copy", F.explode(copies)).select(
+            *[F.when(copy == old, F.col(f"{BEFORE}.{c}")).otherwise(F.col(c)).alias(c) for c in spec.columns.names],
+            MERGE_FLAG,
+            F.when(copy == old, DELETE).when(copy == new, INSERT).alias(ACTION),
+            F.when(copy != row, flag == UPDATED).alias(IS_UPDATE),
+            F.when(copy == row, ROWS).otherwise(IMAGES).alias(KIND_COLUMN),
+            spec.partition_column,
         )
-        column = spec.partition_column
-        each = flagged.select(F.explode(copies).alias("copy"), MERGE_FLAG, column)
-        return each.select("copy.row.*", MERGE_FLAG, F.col(f"copy.{ACTION}"), F.col(f"copy.{IS_UPDATE}"), F.col(f"copy.{KIND_COLUMN}"), column)
 
     def _write(self, spec: TableSpec, rows: DataFrame, folder: str) -> None:
         buckets = self._buckets(spec)
