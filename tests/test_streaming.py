@@ -233,6 +233,28 @@ def test_merge_ignores_deletes_and_consumes_them(spark, store):
     assert rows(store.read(ORDERS_SILVER), "o_orderkey", "o_orderstatus") == [(1, "O"), (2, "F")]
 
 
+def test_net_changes_of_a_merge_are_found_once(spark, store, monkeypatch):
+    from tidewater.plans import silver
+
+    orders = STAGING["orders"]
+    store.write_batch(orders, spark.createDataFrame([(1, "O"), (2, "O")], "o_orderkey long, o_orderstatus string"), 0)
+    silver.full_load_orders(store)
+    silver.ORDERS_JOB.feed(store).start()
+    store.update_where(orders, F.col("o_orderkey") == 2, {"o_orderstatus": F.lit("F")})
+    seen, merge = [], store.merge
+
+    def watched(spec, source, *args, **kw):
+        seen.extend(df._jdf.queryExecution().executedPlan().toString() for df in (source, kw["keys_from"]))
+        return merge(spec, source, *args, **kw)
+
+    monkeypatch.setattr(store, "merge", watched)
+    spark.catalog.clearCache()
+    assert silver.merge_orders_cdc(store).rows_affected == 1
+    assert len(seen) == 2 and all("InMemoryTableScan" in plan for plan in seen)
+    assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
+    assert rows(store.read(ORDERS_SILVER), "o_orderkey", "o_orderstatus") == [(1, "O"), (2, "F")]
+
+
 def test_feed_has_to_be_started(store):
     with pytest.raises(RuntimeError):
         ChangeFeed(store, REGION, "nobody").pending()

@@ -314,22 +314,26 @@ def refresh_customer_totals(store: TableStore) -> JobResult:
     feed = ChangeFeed(store, ORDERS_SILVER, TOTALS_FEED)
     feed.start(include_initial=True)
     store.recover(CUSTOMER_TOTALS)
-    pending = feed.pending()
-    if pending.restarted:
-        totals = order_totals(store.read(ORDERS_SILVER)).where("o_custkey IS NOT NULL")
-        store.overwrite(CUSTOMER_TOTALS, totals)
-        feed.commit(pending.upto)
-        return JobResult(pending.count, f"customer totals: built from {pending.count} orders")
-    if not pending.count:
-        return JobResult(0, "customer totals: no waiting changes")
-    # Used to find blocks, to look for lost dates and to merge: one row for each changed customer.
-    deltas = total_deltas(pending.rows).persist()
+    # Counted, then added up.
+    pending = feed.pending(keep=True)
     try:
-        source = changed_totals(store.read(CUSTOMER_TOTALS), store.read(ORDERS_SILVER), deltas)
-        values = [c for c in source.columns if c != "o_custkey"]
-        counts = store.merge(CUSTOMER_TOTALS, source, values, values, keys_from=deltas, offset=(TOTALS_FEED, pending.upto))
+        if pending.restarted:
+            totals = order_totals(store.read(ORDERS_SILVER)).where("o_custkey IS NOT NULL")
+            store.overwrite(CUSTOMER_TOTALS, totals)
+            feed.commit(pending.upto)
+            return JobResult(pending.count, f"customer totals: built from {pending.count} orders")
+        if not pending.count:
+            return JobResult(0, "customer totals: no waiting changes")
+        # Used to find blocks, to look for lost dates and to merge: one row for each changed customer.
+        deltas = total_deltas(pending.rows).persist()
+        try:
+            source = changed_totals(store.read(CUSTOMER_TOTALS), store.read(ORDERS_SILVER), deltas)
+            values = [c for c in source.columns if c != "o_custkey"]
+            counts = store.merge(CUSTOMER_TOTALS, source, values, values, keys_from=deltas, offset=(TOTALS_FEED, pending.upto))
+        finally:
+            deltas.unpersist()
     finally:
-        deltas.unpersist()
+        pending.release()
     return JobResult(counts.affected, f"customer totals: {counts.affected} customers from {pending.count} change rows")
 
 

@@ -267,10 +267,14 @@ def apply_changes(
 def merge_changes(store: TableStore, job: SilverJob, now: Column | None = None) -> JobResult:
     """Apply what is waiting in the job's feed and move the feed forward, both or neither."""
     store.recover(job.target)
-    pending = job.feed(store).pending()
-    if not pending.count:
-        return JobResult(0, f"{job.target.name}: no waiting changes")
-    counts = apply_changes(store, job, pending.rows, now, offset=(job.feed_name, pending.upto))
+    # Counted, searched for blocks and merged: the net changes are found once.
+    pending = job.feed(store).pending(keep=True)
+    try:
+        if not pending.count:
+            return JobResult(0, f"{job.target.name}: no waiting changes")
+        counts = apply_changes(store, job, pending.rows, now, offset=(job.feed_name, pending.upto))
+    finally:
+        pending.release()
     return JobResult(
         counts.affected,
         f"{job.target.name}: {counts.affected} rows affected from {pending.count} change rows",

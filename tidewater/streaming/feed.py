@@ -23,12 +23,20 @@ _OFFSETS = (
 
 @dataclass(frozen=True)
 class Pending:
-    """Waiting change rows. ``restarted``: the table was written as a whole, and the rows are all it holds now."""
+    """Waiting change rows. ``restarted``: the table was written as a whole, and the rows are all it holds now.
+
+    ``kept``: the part of the rows that was persisted for a consumer that reads them more than once.
+    """
 
     rows: DataFrame
     count: int
     upto: int | None
     restarted: bool = False
+    kept: DataFrame | None = None
+
+    def release(self) -> None:
+        if self.kept is not None:
+            self.kept.unpersist()
 
 
 class ChangeFeed:
@@ -67,29 +75,48 @@ class ChangeFeed:
         if self.committed() is None:
             self.commit(BEFORE_ALL if include_initial else self.store.newest_number(self.spec))
 
-    def pending(self) -> Pending:
-        """Unapplied rows, their number, and the offset to commit once they are applied."""
+    def pending(self, keep: bool = False) -> Pending:
+        """Unapplied rows, their number, and the offset to commit once they are applied.
+
+        ``keep`` persists the net changes, which take shuffles to find, until ``release``. Rows of new loads are read
+        from the table each time.
+        """
         committed = self.committed()
         if committed is None:
             raise RuntimeError(f"feed {self.consumer} was not started")
         upto = self.store.newest_number(self.spec)
         if upto <= committed:
-            return Pending(self._rows(committed, committed), 0, None)
+            return Pending(self._rows(committed, self._changed(committed, committed), committed), 0, None)
         versions = self.store.versions(self.spec).listed()
         restarted = any(kind == "whole" and committed < number <= upto for _, number, kind, _ in versions)
-        rows = append_feed(self.store.read(self.spec), self.spec.keys) if restarted else self._rows(committed, upto)
-        return Pending(rows, rows.count(), upto, restarted)
-
-    def _rows(self, after: int, upto: int) -> DataFrame:
+        if restarted:
+            rows = append_feed(self.store.read(self.spec), self.spec.keys)
+            return Pending(rows, rows.count(), upto, restarted)
+        changed = self._changed(committed, upto)
+        kept = changed.persist() if keep else None
+        rows = self._rows(committed, changed, upto)
+        try:
+            return Pending(rows, rows.count(), upto, kept=kept)
+        except Exception:
+            if keep:
+                changed.unpersist()
+            raise
+
+    def _changed(self, after: int, upto: int) -> DataFrame:
+        """Net difference of the images."""
         images = self.store.images(self.spec, after, upto).drop(VERSION_COLUMN)
         origin = self.spec.partition_column
-        if origin != BATCH_COLUMN:
-            return net_changes(images, self.spec.keys, origin).drop(origin)
+        if origin == BATCH_COLUMN:
+            # A load that came after the offset is read as it is now: its images are history.
+            images = images.where(F.col(origin) <= after)
+        return net_changes(images, self.spec.keys, origin).drop(origin)
+
+    def _rows(self, after: int, changed: DataFrame, upto: int) -> DataFrame:
+        if self.spec.partition_column != BATCH_COLUMN:
+            return changed
         batch = F.col(BATCH_COLUMN)
         added = self.store.read_partitioned(self.spec).where((batch > after) & (batch <= upto))
-        # A load that came after the offset is read as it is now: its images are history.
-        changed = net_changes(images.where(batch <= after), self.spec.keys, origin)
-        return append_feed(added.drop(BATCH_COLUMN), self.spec.keys).unionByName(changed.drop(origin))
+        return append_feed(added.drop(BATCH_COLUMN), self.spec.keys).unionByName(changed)
 
     def commit(self, upto: int) -> None:
         self.store.commit_offset(self.consumer, upto)
