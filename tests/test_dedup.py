@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 
 from tidewater.operators import latest_per_key
+from tidewater.operators.dedup import evenly_dealt
 
 DATA = [
     (1, "old", "2024-01-01"),
@@ -58,3 +59,11 @@ def test_versions_are_cut_before_the_shuffle(spark):
     shuffle = physical.index("Exchange hashpartitioning")
     assert physical.index("Partial", shuffle) > shuffle  # printed below, so executed before
     assert "WindowGroupLimit" in physical[shuffle:]
+
+
+def test_a_key_with_many_versions_is_not_evenly_dealt(spark):
+    unique = spark.range(10000).selectExpr("id a", "id % 7 b")
+    assert evenly_dealt(unique, ["a", "b"], 8)
+    assert evenly_dealt(unique.where("false"), ["a", "b"], 8)
+    assert not evenly_dealt(unique.selectExpr("if(a % 3 = 0, 1, a) a", "1 b"), ["a", "b"], 8)
+    assert not evenly_dealt(unique.selectExpr("nullif(a, a) a", "1 b"), ["a", "b"], 8)

@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date, datetime
 from decimal import Decimal
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -193,3 +194,75 @@ def test_lookup_is_cut_to_the_batch(spark):
     lookup = spark.createDataFrame([(i, f"v{i}") for i in range(20)], "k int, v string")
     batch = spark.createDataFrame([(1,), (1,), (7,), (None,), (99,)], "f int")
     assert rows(silver.only_needed(lookup, "k", batch, "f")) == [(1, "v1"), (7, "v7")]
+
+
+def versions(spark, lines):
+    """Line items in up to three versions, some stamped alike, some without stamp, key, part or supplier."""
+    number = lambda c, bits: F.pmod(F.xxhash64("id", F.lit(c)), F.lit(bits))
+    have = {
+        "l_orderkey": F.when(F.col("id") % 41 != 0, F.col("id") % (lines // 2)),
+        "l_linenumber": F.lit(1),
+        "l_partkey": F.when(number("p", 9) > 0, number("p", 9)),
+        "l_suppkey": F.when(number("s", 5) > 0, number("s", 5)),
+        "l_extendedprice": number("e", 90),
+        "l_discount": F.lit("0.10"),
+        "l_comment": F.concat(F.lit("c"), number("c", 7).cast("string")),
+        "from_source": F.concat(F.lit("f"), number("f", 7).cast("string")),
+        "created_at": F.when(number("t", 4) > 0, F.timestamp_seconds(number("t", 4))),
+    }
+    fields = STAGING["lineitem"].read_schema
+    return spark.range(0, lines, 1, 3).select(
+        *[have.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
+    )
+
+
+def lookups(spark):
+    part = staged(spark, "part", *[{"p_partkey": i, "p_name": f"p{i}", "p_type": "t"} for i in range(7)])
+    supplier = staged(spark, "supplier", *[{"s_suppkey": i, "s_name": f"s{i}"} for i in range(3)])
+    return part, supplier
+
+
+@pytest.mark.parametrize("limit", [10, 5, 0])
+@pytest.mark.parametrize("partitions", [None, 4])
+@pytest.mark.parametrize("hot", [False, True])
+def test_dealt_line_items_are_the_same(spark, monkeypatch, limit, partitions, hot):
+    """Whatever the order of exchange and lookups: both, one or no lookup broadcast, and a key with most versions."""
+    monkeypatch.setattr(silver, "BROADCAST_ROWS", limit)
+    lines = versions(spark, 3000)
+    if hot:
+        lines = lines.withColumn("l_orderkey", F.when(F.col("l_orderkey") % 5 > 0, 1).otherwise(F.col("l_orderkey")))
+    part, supplier = lookups(spark)
+    plain = silver.lineitem_silver(lines, silver.lookup_part(part), silver.lookup_supplier(supplier))
+    for batch in (False, True):
+        assert rows(silver.stored_lineitem(lines, part, supplier, partitions, batch)) == rows(plain)
+
+
+def exchanges_of_a_full_load(spark, store, monkeypatch, job):
+    """Exchanges by key in the plan of a first whole write, with more shuffle partitions than buckets."""
+    store.create(job.target)
+    written = []
+    monkeypatch.setattr(store, "_replace", lambda spec, rows, **_: written.append(rows))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    try:
+        silver.full_load(store, job)
+        plan = written[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    return [line for line in plan.splitlines() if f"Exchange hashpartitioning({job.target.keys[0]}" in line]
+
+
+def test_line_items_are_exchanged_once_for_a_full_load(spark, store, monkeypatch):
+    part, supplier = lookups(spark)
+    store.write_batch(STAGING["part"], part, 0)
+    store.write_batch(STAGING["supplier"], supplier, 0)
+    store.write_batch(STAGING["lineitem"], versions(spark, 3000), 0)
+    monkeypatch.setattr(silver, "BROADCAST_ROWS", 5, raising=False)
+    found = exchanges_of_a_full_load(spark, store, monkeypatch, silver.LINEITEM_JOB)
+    assert len(found) == 1 and ", 4)" in found[0]
+
+
+def test_orders_are_exchanged_once_for_a_full_load(spark, store, monkeypatch):
+    store.write_batch(STAGING["orders"], staged(spark, "orders", *[order(i) for i in range(400)]), 0)
+    found = exchanges_of_a_full_load(spark, store, monkeypatch, silver.ORDERS_JOB)
+    assert len(found) == 1 and ", 4)" in found[0]

@@ -9,6 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 RANK_COLUMN = "_rank"
+#: A partition may get this many times the mean before its rows count as unevenly dealt.
+UNEVEN = 2
+
+
+def evenly_dealt(df: DataFrame, keys: Sequence[str], partitions: int) -> bool:
+    """Whether a hash of the keys deals the rows about evenly: no key has very many of them.
+
+    Reads the keys alone; one number for each partition is shuffled.
+    """
+    place = F.pmod(F.hash(*keys), F.lit(partitions))
+    dealt = df.groupBy(place.alias("_place")).agg(F.count(F.lit(1)).alias("_rows"))
+    most, rows = dealt.agg(F.max("_rows"), F.sum("_rows")).first()
+    return most is None or most * partitions <= UNEVEN * rows
 
 
 def latest_per_key(

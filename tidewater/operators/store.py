@@ -107,6 +107,13 @@ class TableStore:
         newest = noted.groupBy("block").agg(F.max_by(F.struct("stored", "low", "high"), "version").alias("of"))
         return newest.select("block", "of.*").join(self._block_rows(spec), "block", "left_semi")
 
+    def dealt(self, spec: TableSpec) -> int | None:
+        """Partitions by key from which a whole write or merge of the table goes on without another exchange.
+
+        None for a table without buckets, or whose first write is yet to decide on them.
+        """
+        return None if spec.narrow else self._buckets(spec) or None
+
     # -- whole-table writes --------------------------------------------------------------------
 
     def create(self, spec: TableSpec, replace: bool = False) -> None:

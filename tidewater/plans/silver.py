@@ -15,7 +15,7 @@ from ..functions import (
     clerk_id,
 )
 from ..operators.changes import FEED_COLUMNS, keep_inserts
-from ..operators.dedup import latest_per_key
+from ..operators.dedup import evenly_dealt, latest_per_key
 from ..operators.store import JobResult, MergeCounts, TableStore
 from ..schemas import CUSTOMER_SILVER, LINEITEM_SILVER, ORDERS_SILVER, STAGING, TableSpec
 from ..streaming.feed import ChangeFeed
@@ -74,37 +74,43 @@ def enrich_lineitem(lineitem: DataFrame, part: DataFrame, supplier: DataFrame) -
     AQE splits a hot part or supplier key once they are not. Both prices are rounded once, the
     final one from the unrounded net price.
     """
+    return _enriched(_named(lineitem, part, supplier))
+
+
+def _named(lineitem: DataFrame, part: DataFrame, supplier: DataFrame) -> DataFrame:
     parts = part.select("p_partkey", "p_name", "p_type")
     suppliers = supplier.select("s_suppkey", "s_name")
+    return lineitem.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left").join(
+        suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left"
+    )
+
+
+def _enriched(named: DataFrame) -> DataFrame:
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     delay = F.datediff(F.col("l_receiptdate"), F.col("l_commitdate"))
-    return (
-        lineitem.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-        .select(
-            "l_orderkey",
-            "l_linenumber",
-            "l_partkey",
-            F.col("p_name").alias("l_part_name"),
-            F.col("p_type").alias("l_part_type"),
-            "l_suppkey",
-            F.col("s_name").alias("l_supplier_name"),
-            "l_quantity",
-            "l_extendedprice",
-            "l_discount",
-            "l_tax",
-            "l_returnflag",
-            "l_linestatus",
-            "l_shipdate",
-            "l_commitdate",
-            "l_receiptdate",
-            "l_shipinstruct",
-            "l_shipmode",
-            "l_comment",
-            net.cast("decimal(12,2)").alias("l_net_price"),
-            (net * (1 + F.col("l_tax"))).cast("decimal(12,2)").alias("l_final_price"),
-            clamp_negative(delay).alias("l_ship_delay_days"),
-        )
+    return named.select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        F.col("p_name").alias("l_part_name"),
+        F.col("p_type").alias("l_part_type"),
+        "l_suppkey",
+        F.col("s_name").alias("l_supplier_name"),
+        "l_quantity",
+        "l_extendedprice",
+        "l_discount",
+        "l_tax",
+        "l_returnflag",
+        "l_linestatus",
+        "l_shipdate",
+        "l_commitdate",
+        "l_receiptdate",
+        "l_shipinstruct",
+        "l_shipmode",
+        "l_comment",
+        net.cast("decimal(12,2)").alias("l_net_price"),
+        (net * (1 + F.col("l_tax"))).cast("decimal(12,2)").alias("l_final_price"),
+        clamp_negative(delay).alias("l_ship_delay_days"),
     )
 
 
@@ -135,6 +141,46 @@ def lineitem_silver(lineitem: DataFrame, part: DataFrame, supplier: DataFrame) -
     return enrich_lineitem(_latest(lineitem, "lineitem"), part, supplier)
 
 
+# -- the same for a stored table -----------------------------------------------------------------
+
+#: Lookups of up to so many rows (about 150 MB in memory) are broadcast.
+BROADCAST_ROWS = 1_500_000
+
+
+def stored_orders(orders: DataFrame, partitions: int | None) -> DataFrame:
+    """Cleaned orders, exchanged once: to the partitions that the table is written or merged from."""
+    if partitions and evenly_dealt(orders, STAGING["orders"].keys, partitions):
+        orders = orders.repartition(partitions, *STAGING["orders"].keys)
+    return orders_silver(orders)
+
+
+def stored_lineitem(
+    lineitem: DataFrame, part: DataFrame, supplier: DataFrame, partitions: int | None, batch: bool = False
+) -> DataFrame:
+    """Cleaned line items for a table that goes on from ``partitions`` by key.
+
+    Unless a key has very many versions, line items go to those partitions at once: the versions are ranked there
+    and the rows written from there. A lookup too large to broadcast moves all line items, so it comes before
+    that, and its rows are held in hash tables, which needs no sort of the line items.
+    """
+    keys = STAGING["lineitem"].keys
+    small = [lookup.count() <= BROADCAST_ROWS for lookup in (part, supplier)]
+    if batch:
+        part = only_needed(part, "p_partkey", lineitem, "l_partkey")
+        supplier = only_needed(supplier, "s_suppkey", lineitem, "l_suppkey")
+    part, supplier = (
+        lookup.hint("broadcast" if fits else "shuffle_hash")
+        for lookup, fits in zip((lookup_part(part), lookup_supplier(supplier)), small, strict=True)
+    )
+    if not partitions or not evenly_dealt(lineitem, keys, partitions):
+        return lineitem_silver(lineitem, part, supplier)
+    if all(small):
+        return lineitem_silver(lineitem.repartition(partitions, *keys), part, supplier)
+    order = [c for c in lineitem.columns if c not in {*keys, "created_at"}]
+    named = _named(lineitem, part, supplier).repartition(partitions, *keys)
+    return _enriched(latest_per_key(named, keys, tie_break=order))
+
+
 def lookup_nation(nation: DataFrame) -> DataFrame:
     return _latest_lookup(nation, "nation", ("n_nationkey", "n_name", "n_regionkey"))
 
@@ -168,12 +214,13 @@ def only_needed(lookup: DataFrame, key: str, rows: DataFrame, fact_key: str) ->
 class SilverJob:
     """How one staging table becomes its cleaned table.
 
-    ``build`` gets the store, the staged rows and whether they are one batch of changes.
+    ``build`` gets the store, the staged rows, whether they are one batch of changes, and the partitions by key
+    from which the target is written or merged.
     """
 
     staging: str
     target: TableSpec
-    build: Callable[[TableStore, DataFrame, bool], DataFrame]
+    build: Callable[[TableStore, DataFrame, bool, int | None], DataFrame]
     stamp: str
     insert_only: tuple[str, ...] = ()
 
@@ -192,14 +239,14 @@ def _staged(store: TableStore, name: str) -> DataFrame:
 ORDERS_JOB = SilverJob(
     "orders",
     ORDERS_SILVER,
-    lambda store, rows, batch: orders_silver(rows),
+    lambda store, rows, batch, partitions: stored_orders(rows, partitions),
     "last_updated_at",
     ("first_loaded_at",),
 )
 CUSTOMER_JOB = SilverJob(
     "customer",
     CUSTOMER_SILVER,
-    lambda store, rows, batch: customer_silver(
+    lambda store, rows, batch, partitions: customer_silver(
         rows,
         lookup_nation(_staged(store, "nation")),
         lookup_region(_staged(store, "region")),
@@ -208,12 +255,8 @@ CUSTOMER_JOB = SilverJob(
 )
 
 
-def _build_lineitem(store: TableStore, rows: DataFrame, batch: bool) -> DataFrame:
-    part, supplier = _staged(store, "part"), _staged(store, "supplier")
-    if batch:
-        part = only_needed(part, "p_partkey", rows, "l_partkey")
-        supplier = only_needed(supplier, "s_suppkey", rows, "l_suppkey")
-    return lineitem_silver(rows, lookup_part(part), lookup_supplier(supplier))
+def _build_lineitem(store: TableStore, rows: DataFrame, batch: bool, partitions: int | None) -> DataFrame:
+    return stored_lineitem(rows, _staged(store, "part"), _staged(store, "supplier"), partitions, batch)
 
 
 LINEITEM_JOB = SilverJob("lineitem", LINEITEM_SILVER, _build_lineitem, "load_timestamp")
@@ -223,7 +266,7 @@ SILVER_JOBS = (ORDERS_JOB, CUSTOMER_JOB, LINEITEM_JOB)
 def full_load(store: TableStore, job: SilverJob, now: Column | None = None) -> None:
     """Rebuild a cleaned table from all staged rows."""
     stamp = F.current_timestamp() if now is None else now
-    rows = job.build(store, _staged(store, job.staging), False)
+    rows = job.build(store, _staged(store, job.staging), False, store.dealt(job.target))
     store.overwrite(job.target, rows.withColumn(job.stamp, stamp))
 
 
@@ -246,7 +289,7 @@ def apply_changes(
     images = keep_inserts(changes).drop(*FEED_COLUMNS)
     if keep_feed:
         images = images.persist()
-    source = job.build(store, images, True)
+    source = job.build(store, images, True, store.dealt(job.target))
     copied = [c for c in source.columns if c not in job.target.keys]
     try:
         return store.merge(

@@ -98,7 +98,7 @@ def cleaned(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
     if store is None:
         store = _cleaned[app, sf_dir] = TableStore(spark, scratch_dir(spark, "cleaned"))
     if (app, sf_dir, spec.name) not in _built:
-        store.overwrite(spec, _BUILD[spec.name](spark, sf_dir))
+        store.overwrite(spec, _BUILD[spec.name](spark, sf_dir, store.dealt(spec)))
         _built.add((app, sf_dir, spec.name))
     return store.read(spec)
 
@@ -107,8 +107,8 @@ def _stamped(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.lit("2024-06-01 00:00:00").cast("timestamp"))
 
 
-def _build_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stamped(silver.orders_silver(staged(spark, sf_dir, "orders")), "last_updated_at")
+def _build_orders(spark: SparkSession, sf_dir: str, partitions: int | None) -> DataFrame:
+    return _stamped(silver.stored_orders(staged(spark, sf_dir, "orders"), partitions), "last_updated_at")
 
 
 def _customers_from(spark: SparkSession, sf_dir: str, customer: DataFrame) -> DataFrame:
@@ -119,21 +119,17 @@ def _customers_from(spark: SparkSession, sf_dir: str, customer: DataFrame) -> Da
     )
 
 
-def _build_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _build_customer(spark: SparkSession, sf_dir: str, partitions: int | None) -> DataFrame:
     rows = _customers_from(spark, sf_dir, staged(spark, sf_dir, "customer"))
     return _stamped(rows, "load_timestamp")
 
 
-def _build_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = silver.lineitem_silver(
-        staged(spark, sf_dir, "lineitem"),
-        silver.lookup_part(staged(spark, sf_dir, "part")),
-        silver.lookup_supplier(staged(spark, sf_dir, "supplier")),
-    )
-    return _stamped(rows, "load_timestamp")
+def _build_lineitem(spark: SparkSession, sf_dir: str, partitions: int | None) -> DataFrame:
+    given = (staged(spark, sf_dir, name) for name in ("lineitem", "part", "supplier"))
+    return _stamped(silver.stored_lineitem(*given, partitions), "load_timestamp")
 
 
-def _build_ltv(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _build_ltv(spark: SparkSession, sf_dir: str, partitions: int | None) -> DataFrame:
     customers, orders = _customers(spark, sf_dir), _orders(spark, sf_dir)
     return _stamped(gold.customer_ltv(customers, orders, as_of=AS_OF), "load_timestamp")
 
@@ -435,7 +431,12 @@ def customer_silver_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_silver_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(_build_lineitem(spark, sf_dir).drop("load_timestamp"))
+    rows = silver.lineitem_silver(
+        staged(spark, sf_dir, "lineitem"),
+        silver.lookup_part(staged(spark, sf_dir, "part")),
+        silver.lookup_supplier(staged(spark, sf_dir, "supplier")),
+    )
+    return shown(rows)
 
 
 def lineitem_version_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
