@@ -196,6 +196,62 @@ def test_feed_counts_equal_rows(spark, store):
     assert shown(feed) == [(None, "N", "DELETE", False), (1, "A", "DELETE", False), (1, "A", "DELETE", False)]
 
 
+def images_of(spark, seed, hot):
+    """Images of a few keys, some NULL, that came, changed and went; with ``hot``, most are of one key."""
+    number = lambda c, n: F.pmod(F.xxhash64("id", F.lit(seed), F.lit(c)), F.lit(n))
+    key = F.when(number("k", 40) > 0, number("k", 40))
+    return spark.range(900).select(
+        (F.when(F.col("id") % 5 > 0, 7).otherwise(key) if hot else key).alias("k"),
+        F.when(number("v", 3) > 0, number("v", 3)).alias("v"),
+        F.when(number("w", 3) > 0, number("w", 3).cast("string")).alias("w"),
+        F.when(number("a", 2) > 0, "INSERT").otherwise("DELETE").alias("_action"),
+        F.lit(False).alias("_is_update"),
+        F.when(number("o", 4) > 0, number("o", 4)).alias("origin"),
+    )
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_net_changes_against_plain_counting(spark, hot):
+    from collections import Counter
+
+    from tidewater.operators.changes import narrowed, net_changes
+
+    images = images_of(spark, 3, hot)
+    net = Counter()
+    for r in images.collect():
+        net[r.k, r.v, r.w, r.origin] += 1 if r._action == "INSERT" else -1
+    signs = {}
+    for (k, _, _, origin), n in net.items():
+        signs.setdefault((k, origin), set()).add((n > 0) - (n < 0))
+    want = Counter()
+    for (k, v, w, origin), n in net.items():
+        want[k, v, w, origin, "INSERT" if n > 0 else "DELETE", {1, -1} <= signs[k, origin]] += abs(n)
+    found = net_changes(images, ["k"], "origin")
+    assert Counter(tuple(r) for r in found.drop("_row_id").collect()) == +want
+    # Narrowed to one column: the rest stays apart, also where a value and a NULL change places.
+    few = net_changes(narrowed(images, ["k"], ["v"], ["origin"]), ["k"], "origin")
+    less = Counter()
+    for (k, v, _, _, action, update), n in want.items():
+        less[k, v, action, update] += n
+    assert Counter(tuple(r) for r in few.select("k", "v", "_action", "_is_update").collect()) == +less
+
+
+def test_images_are_exchanged_once(spark, store):
+    """Rows cross the network once to be netted, and only with the columns that the consumer asks for."""
+    store.overwrite(ORDERS_SILVER, spark.range(4000).selectExpr("id AS o_orderkey", "'O' AS o_orderstatus"))
+    feed = ChangeFeed(store, ORDERS_SILVER, "reports")
+    feed.start()
+    store.update_where(ORDERS_SILVER, F.col("o_orderkey") >= 0, {"o_comment": F.lit("changed")})
+    whole, few = feed.pending(), feed.pending(columns=("o_custkey", "_action"))
+    assert whole.count == few.count == 8000 and few.rows.columns == ["o_custkey", "_action"]
+    for waiting, text in ((whole, True), (few, False)):
+        plan = waiting.rows._jdf.queryExecution().executedPlan().toString()
+        exchanges = [x for x in plan.splitlines() if "Exchange" in x]
+        assert len(exchanges) == 1 and "hashpartitioning(o_orderkey" in exchanges[0]
+        keyed = [x for x in plan.splitlines() if "HashAggregate(keys=" in x]
+        assert keyed and all(("o_comment#" in x) == text for x in keyed)
+
+
 def test_feed_of_a_merged_table(spark, store):
     feed = ChangeFeed(store, ORDERS_SILVER, "reports")
     one = spark.createDataFrame([(1, "O"), (2, "O")], "o_orderkey long, o_orderstatus string")

@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from .dedup import evenly_dealt
 
 ACTION = "_action"
 IS_UPDATE = "_is_update"
@@ -75,23 +78,41 @@ def table_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> D
     )
 
 
+def narrowed(images: DataFrame, keys: Sequence[str], wanted: Sequence[str], also: Sequence[str]) -> DataFrame:
+    """Change images of keys, ``wanted`` and ``also`` alone; the other columns become one hash.
+
+    With it, rows that differ in any column stay apart: they net to as many changes as whole rows do.
+    """
+    kept = [c for c in images.columns if c in {*keys, *wanted, *also, ACTION}]
+    rest = [c for c in images.columns if c not in {*kept, IS_UPDATE}]
+    # A hash passes NULLs over, so which columns hold one is hashed too.
+    parts = [part for c in rest for part in (F.col(c), F.col(c).isNull())]
+    return images.select(*kept, F.xxhash64(*parts).alias("_rest")) if rest else images.select(*kept)
+
+
 def net_changes(images: DataFrame, keys: Sequence[str], origin: str) -> DataFrame:
     """What a sequence of change images comes to: rows there before and not after, and the other way round.
 
     A row that one write adds and a later one takes away cancels out, as often as it occurs. What is left of
     a key on both sides, from the same ``origin``, is an update. ``images`` hold the table's columns,
-    ``origin`` and ``_action``.
+    ``origin`` and ``_action``. Unless a key has very many images, they are exchanged once, by key.
     """
     columns = [c for c in images.columns if c not in (ACTION, IS_UPDATE)]
+    even = evenly_dealt(images, keys, int(images.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if even:
+        images = images.repartition(*keys)
     sign = F.when(F.col(ACTION) == INSERT, 1).otherwise(-1)
     net = images.groupBy(*columns).agg(F.sum(sign).alias("_net")).where("_net <> 0").withColumn(ROW_ID, row_id(keys))
-    sides = net.groupBy(F.col(ROW_ID).alias("_id"), F.col(origin).alias("_from")).agg(
-        (F.min("_net") * F.max("_net") < 0).alias(IS_UPDATE)
-    )
-    same = (F.col(ROW_ID) == F.col("_id")) & F.col(origin).eqNullSafe(F.col("_from"))
+    if even:
+        of_key = Window.partitionBy(*keys, origin)
+        net = net.withColumn(IS_UPDATE, F.min("_net").over(of_key) * F.max("_net").over(of_key) < 0)
+    else:
+        sides = net.groupBy(F.col(ROW_ID).alias("_id"), F.col(origin).alias("_from")).agg(
+            (F.min("_net") * F.max("_net") < 0).alias(IS_UPDATE)
+        )
+        net = net.join(sides, (F.col(ROW_ID) == F.col("_id")) & F.col(origin).eqNullSafe(F.col("_from")))
     return (
-        net.join(sides, same)
-        .withColumn(ACTION, F.when(F.col("_net") > 0, INSERT).otherwise(DELETE))
+        net.withColumn(ACTION, F.when(F.col("_net") > 0, INSERT).otherwise(DELETE))
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.abs("_net"))))
         .select(*columns, ACTION, IS_UPDATE, ROW_ID)
     )

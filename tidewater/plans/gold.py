@@ -264,6 +264,8 @@ def customer_ltv_preview(
 # -- order totals kept by deltas -------------------------------------------------------------------
 
 TOTALS_FEED = "customer_totals"
+#: What the totals take from a change of an order.
+_TOTALED = ("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", ACTION)
 
 
 def total_deltas(changes: DataFrame) -> DataFrame:
@@ -315,7 +317,7 @@ def refresh_customer_totals(store: TableStore) -> JobResult:
     feed.start(include_initial=True)
     store.recover(CUSTOMER_TOTALS)
     # Counted, then added up.
-    pending = feed.pending(keep=True)
+    pending = feed.pending(keep=True, columns=_TOTALED)
     try:
         if pending.restarted:
             totals = order_totals(store.read(ORDERS_SILVER)).where("o_custkey IS NOT NULL")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType, TimestampType
 
-from ..operators.changes import append_feed, net_changes
+from ..operators.changes import append_feed, narrowed, net_changes
 from ..operators.store import VERSION_COLUMN, TableStore, read_or_empty
 from ..schemas import BATCH_COLUMN, TableSpec
 
@@ -75,26 +76,29 @@ class ChangeFeed:
         if self.committed() is None:
             self.commit(BEFORE_ALL if include_initial else self.store.newest_number(self.spec))
 
-    def pending(self, keep: bool = False) -> Pending:
+    def pending(self, keep: bool = False, columns: Sequence[str] | None = None) -> Pending:
         """Unapplied rows, their number, and the offset to commit once they are applied.
 
-        ``keep`` persists the net changes, which take shuffles to find, until ``release``. Rows of new loads are read
-        from the table each time.
+        ``keep`` persists the net changes, which take a shuffle to find, until ``release``. Rows of new loads are read
+        from the table each time. ``columns``, of the table and of the feed, are all that the rows shall have: as many
+        rows, of which little else than these columns is shuffled and kept.
         """
         committed = self.committed()
         if committed is None:
             raise RuntimeError(f"feed {self.consumer} was not started")
         upto = self.store.newest_number(self.spec)
         if upto <= committed:
-            return Pending(self._rows(committed, self._changed(committed, committed), committed), 0, None)
+            rows = self._rows(committed, self._changed(committed, committed, columns), committed, columns)
+            return Pending(rows, 0, None)
         versions = self.store.versions(self.spec).listed()
         restarted = any(kind == "whole" and committed < number <= upto for _, number, kind, _ in versions)
         if restarted:
             rows = append_feed(self.store.read(self.spec), self.spec.keys)
+            rows = rows.select(*columns) if columns else rows
             return Pending(rows, rows.count(), upto, restarted)
-        changed = self._changed(committed, upto)
+        changed = self._changed(committed, upto, columns)
         kept = changed.persist() if keep else None
-        rows = self._rows(committed, changed, upto)
+        rows = self._rows(committed, changed, upto, columns)
         try:
             return Pending(rows, rows.count(), upto, kept=kept)
         except Exception:
@@ -102,21 +106,25 @@ class ChangeFeed:
                 changed.unpersist()
             raise
 
-    def _changed(self, after: int, upto: int) -> DataFrame:
+    def _changed(self, after: int, upto: int, columns: Sequence[str] | None) -> DataFrame:
         """Net difference of the images."""
         images = self.store.images(self.spec, after, upto).drop(VERSION_COLUMN)
         origin = self.spec.partition_column
         if origin == BATCH_COLUMN:
             # A load that came after the offset is read as it is now: its images are history.
             images = images.where(F.col(origin) <= after)
+        if columns:
+            images = narrowed(images, self.spec.keys, columns, [origin])
+            return net_changes(images, self.spec.keys, origin).select(*columns)
         return net_changes(images, self.spec.keys, origin).drop(origin)
 
-    def _rows(self, after: int, changed: DataFrame, upto: int) -> DataFrame:
+    def _rows(self, after: int, changed: DataFrame, upto: int, columns: Sequence[str] | None) -> DataFrame:
         if self.spec.partition_column != BATCH_COLUMN:
             return changed
         batch = F.col(BATCH_COLUMN)
         added = self.store.read_partitioned(self.spec).where((batch > after) & (batch <= upto))
-        return append_feed(added.drop(BATCH_COLUMN), self.spec.keys).unionByName(changed)
+        added = append_feed(added.drop(BATCH_COLUMN), self.spec.keys)
+        return (added.select(*columns) if columns else added).unionByName(changed)
 
     def commit(self, upto: int) -> None:
         self.store.commit_offset(self.consumer, upto)
