@@ -1,17 +1,22 @@
 from __future__ import annotations
 
 import shutil
+import time
 from datetime import date
 from decimal import Decimal
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tidewater.operators import TableStore
+from tidewater.plans import refresh as refresh_module
 from tidewater.plans import silver
 from tidewater.plans.refresh import create_tables, initial_load, refresh, start_feeds
 from tidewater.schemas import CUSTOMER_LTV, CUSTOMER_SILVER, DAILY_SALES_SUMMARY, LINEITEM_SILVER
 from tidewater.schemas import ORDERS_SILVER, STAGING
+from tidewater.session import freed_shuffles
+from tidewater.verification import queries
 
 D = Decimal
 AS_OF = date(1998, 9, 2)
@@ -160,3 +165,76 @@ def test_changes_in_one_batch_keep_the_newest(spark, store, stage):
         ingest_all(target, str(stage), ("orders",))
         silver.merge_orders_cdc(target)
     assert rows(store.read(ORDERS_SILVER), "o_totalprice") == rows(other.read(ORDERS_SILVER), "o_totalprice")
+
+
+def shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {name for name in manager.getAllFiles().mkString("\n").splitlines() if name.endswith(".data")}
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    def grouped():
+        return spark.range(1000).repartition(5).groupBy((F.col("id") % 7).alias("k")).count()
+
+    before = shuffle_files(spark)
+    held = grouped()
+    held.collect()
+    assert shuffle_files(spark) - before  # kept as long as the driver holds the query
+    before = shuffle_files(spark)
+    with freed_shuffles(spark):
+        freed = grouped()
+        assert len(freed.collect()) == 7
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert len(freed.collect()) == 7  # run again, it shuffles again
+
+
+def test_a_refresh_frees_its_shuffles(spark, store, stage, monkeypatch):
+    seen = []
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    load = refresh_module.load_customer_ltv
+    monkeypatch.setattr(refresh_module, "load_customer_ltv", lambda *a, **k: (seen.append(spark.conf.get(name)), load(*a, **k))[1])
+    create_tables(store)
+    start_feeds(store)
+    base(stage)
+    was = spark.conf.get(name)
+    refresh(store, str(stage), AS_OF)
+    assert seen == ["true"] and spark.conf.get(name) == was
+
+
+def test_loaded_text_is_taken_back(spark, tmp_path, monkeypatch):
+    """The whole chain keeps no delivered text beside the tables loaded from it."""
+    given = {
+        "region": "SELECT 1L AS r_regionkey, 'ASIA' AS r_name",
+        "nation": "SELECT 5L AS n_nationkey, 'JAPAN' AS n_name, 1L AS n_regionkey",
+        "customer": "SELECT id AS c_custkey, 'c' AS c_name, 5L AS c_nationkey, 0.5D AS c_acctbal, 'M' AS c_mktsegment FROM range(1, 3)",
+        "supplier": "SELECT 3L AS s_suppkey, 's' AS s_name, 5L AS s_nationkey, 0.0D AS s_acctbal",
+        "part": "SELECT 7L AS p_partkey, 'p' AS p_name, 'b' AS p_brand, 't' AS p_type, 1L AS p_size, 1.0D AS p_retailprice",
+        "orders": "SELECT id AS o_orderkey, id % 2 + 1 AS o_custkey, IF(id < 3, 'P', 'O') AS o_orderstatus, 10.0D AS o_totalprice,"
+        " IF(id > 4, timestamp'2001-01-05', timestamp'2000-12-31') AS o_orderdate, '1-URGENT' AS o_orderpriority FROM range(1, 7)",
+        "lineitem": "SELECT 1L AS l_orderkey, 7L AS l_partkey, 3L AS l_suppkey, id AS l_linenumber, 1.0D AS l_quantity, 100.0D AS l_extendedprice,"
+        " 0.1D AS l_discount, 0.05D AS l_tax, 'N' AS l_returnflag, 'O' AS l_linestatus, timestamp'1998-07-01' AS l_shipdate FROM range(1, 4)",
+    }
+    for table, text in given.items():
+        spark.sql(text).write.parquet(f"{tmp_path}/sf/{table}.parquet")
+    made, found = [], []
+
+    def folder(_, label):
+        made.append(tmp_path / f"{label}-{len(made)}")
+        return str(made[-1])
+
+    def text():
+        return {part for path in made for f in path.rglob("*.csv") if f.is_file() for part in f.parts if part.startswith("tpch_")}
+
+    def watched(*args):
+        found.append(text())
+        return refresh(*args)
+
+    monkeypatch.setattr(queries, "scratch_dir", folder)
+    monkeypatch.setattr(queries, "refresh", watched)
+    sales = rows(queries.medallion_daily_sales(spark, f"{tmp_path}/sf"), "summary_date", "total_orders", "total_revenue")
+    assert sales == [("2000-12-31", 4, 60.0), ("2001-01-05", 2, 20.0)]
+    assert found == [{"tpch_sf1_orders_1.csv", "tpch_sf1_part_1.csv"}, {"tpch_sf1_orders_2.csv"}]
+    assert text() == set()

@@ -237,6 +237,28 @@ def test_dealt_line_items_are_the_same(spark, monkeypatch, limit, partitions, ho
         assert rows(silver.stored_lineitem(lines, part, supplier, partitions, batch)) == rows(plain)
 
 
+@pytest.mark.parametrize("limit", [5, 0])
+def test_large_lookups_do_not_move_whole_line_items(spark, monkeypatch, tmp_path, limit):
+    """With a key on every line, only the lines' keys go to a lookup that is too large to broadcast."""
+    monkeypatch.setattr(silver, "BROADCAST_ROWS", limit)
+    versions(spark, 3000).where("l_orderkey IS NOT NULL").write.parquet(f"{tmp_path}/lines")
+    lines = spark.read.parquet(f"{tmp_path}/lines")
+    part, supplier = lookups(spark)
+    plain = silver.lineitem_silver(lines, silver.lookup_part(part), silver.lookup_supplier(supplier))
+    for batch in (False, True):
+        found = silver.stored_lineitem(lines, part, supplier, 4, batch)
+        assert rows(found) == rows(plain)
+        before = spark.conf.get("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")  # plans with their children in order
+        try:
+            plan = silver.stored_lineitem(lines, part, supplier, 4, batch)._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", before)
+        steps = [x for x in plan.splitlines() if "ColumnarToRow" not in x]
+        whole = [x for x, below in zip(steps, steps[1:]) if "Exchange hashpartitioning" in x and "l_comment" in below]
+        assert len(whole) == 1 and "hashpartitioning(l_orderkey" in whole[0] and ", 4)" in whole[0]
+
+
 def exchanges_of_a_full_load(spark, store, monkeypatch, job):
     """Exchanges by key in the plan of a first whole write, with more shuffle partitions than buckets."""
     store.create(job.target)

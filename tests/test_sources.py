@@ -130,6 +130,19 @@ def test_lines_without_odd_quotes_are_not_brought_together(spark, stage):
     assert table == {"1": False, "2": True}
 
 
+def test_lines_are_not_sorted_to_find_headers(spark, stage):
+    """The first pass aggregates by hash: a sort of whole lines would spill as much text as a file holds."""
+    put(stage, "tpch_sf1_nation_1.csv", NATION_HEAD + '1,"x,y",2,c\n' * 3)
+    put(stage, "deep/tpch_sf1_nation_2.csv", "other,head\n" + "1,x,2,c\n" * 3)
+    table = _split_table(counted(read_lines(spark, str(stage))))
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan
+    found = table.collect()
+    assert {r._file[-5]: r.header for r in found} == {"1": NATION_HEAD.strip(), "2": "other,head"}
+    stamps = {f"{f}": f.stat().st_mtime for f in stage.rglob("*.csv")}
+    assert all(abs(r._modified.timestamp() - stamps[r._file.removeprefix("file:").replace("//", "/")]) < 1 for r in found)
+
+
 def test_only_numbers_and_lines_are_brought_together(spark, stage):
     """A file's path and stamp, longer than most lines, are neither sorted by nor exchanged with each line."""
     (stage / "tpch_sf1_region_1.csv").write_text('k,n,c\n1,"a\nb",x\n2,"c\r",y\r\n3,"d\n\r\n",z\r\n')

@@ -10,6 +10,7 @@ from pyspark import inheritable_thread_target
 
 from ..operators.store import JobResult, TableStore
 from ..schemas import DERIVED, STAGING
+from ..session import freed_shuffles
 from ..streaming.ingest import bulk_load_new_files, followed_whole, ingest_new_files, ingest_stage, started_singly
 from .gold import (
     DEFAULT_AS_OF,
@@ -61,12 +62,13 @@ def ingest_all(store: TableStore, stage_dir: str, tables: Sequence[str] = tuple(
 
 def refresh(store: TableStore, stage_dir: str, as_of: date = DEFAULT_AS_OF) -> list[JobResult]:
     """One run in dependency order. Each step can be repeated; merges without news do nothing."""
-    ingest_all(store, stage_dir)
-    merges = [lambda job=job: merge_changes(store, job) for job in SILVER_JOBS]
-    merged = _side_by_side(store, merges)
-    newest = newest_order_date(store)
-    reports = [
-        lambda: load_daily_sales_summary(store, newest=newest),
-        lambda: load_customer_ltv(store, as_of, newest=newest),
-    ]
-    return merged + _side_by_side(store, reports)
+    with freed_shuffles(store.spark):
+        ingest_all(store, stage_dir)
+        merges = [lambda job=job: merge_changes(store, job) for job in SILVER_JOBS]
+        merged = _side_by_side(store, merges)
+        newest = newest_order_date(store)
+        reports = [
+            lambda: load_daily_sales_summary(store, newest=newest),
+            lambda: load_customer_ltv(store, as_of, newest=newest),
+        ]
+        return merged + _side_by_side(store, reports)

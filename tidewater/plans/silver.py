@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -160,8 +161,9 @@ def stored_lineitem(
     """Cleaned line items for a table that goes on from ``partitions`` by key.
 
     Unless a key has very many versions, line items go to those partitions at once: the versions are ranked there
-    and the rows written from there. A lookup too large to broadcast moves all line items, so it comes before
-    that, and its rows are held in hash tables, which needs no sort of the line items.
+    and the rows written from there. A lookup too large to broadcast would move all line items once more, so their
+    keys alone go to it and bring its columns back. Only lines without a key cannot be found again: where there are
+    some, the large lookup comes first, and its rows are held in hash tables, which needs no sort of the line items.
     """
     keys = STAGING["lineitem"].keys
     small = [lookup.count() <= BROADCAST_ROWS for lookup in (part, supplier)]
@@ -176,9 +178,34 @@ def stored_lineitem(
         return lineitem_silver(lineitem, part, supplier)
     if all(small):
         return lineitem_silver(lineitem.repartition(partitions, *keys), part, supplier)
-    order = [c for c in lineitem.columns if c not in {*keys, "created_at"}]
-    named = _named(lineitem, part, supplier).repartition(partitions, *keys)
-    return _enriched(latest_per_key(named, keys, tie_break=order))
+    if not lineitem.where(reduce(Column.__or__, [F.col(k).isNull() for k in keys])).isEmpty():
+        order = [c for c in lineitem.columns if c not in {*keys, "created_at"}]
+        named = _named(lineitem, part, supplier).repartition(partitions, *keys)
+        return _enriched(latest_per_key(named, keys, tie_break=order))
+    named = _latest(lineitem.repartition(partitions, *keys), "lineitem")
+    lookups = ((part, "p_partkey", "l_partkey"), (supplier, "s_suppkey", "l_suppkey"))
+    for (lookup, key, of), fits in zip(lookups, small, strict=True):
+        if fits:
+            named = named.join(lookup, F.col(of) == F.col(key), "left")
+        else:
+            named = _brought(named, lineitem, lookup, key, of, partitions)
+    return _enriched(named)
+
+
+def _brought(latest: DataFrame, lineitem: DataFrame, lookup: DataFrame, key: str, of: str, partitions: int) -> DataFrame:
+    """Columns of a large lookup joined to ``latest`` where its rows are.
+
+    Any version of a line may turn out to be the latest, so a line gets the lookup's rows of all its versions and
+    keeps the one it refers to.
+    """
+    keys = STAGING["lineitem"].keys
+    lines = lineitem.select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col(of).alias("_refers"))
+    places = [f"_of_{k}" for k in keys]
+    found = lines.join(lookup, F.col("_refers") == F.col(key)).drop("_refers").repartition(partitions, *places).distinct()
+    of_line = reduce(Column.__and__, [F.col(k) == F.col(f"_of_{k}") for k in keys])
+    # Not an equality, which would ask for partitions by this column too.
+    same = (F.col(of) <= F.col(key)) & (F.col(of) >= F.col(key))
+    return latest.join(found, of_line & same, "left").drop(*places)
 
 
 def lookup_nation(nation: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -31,6 +34,26 @@ def build_session(
     return builder.getOrCreate()
 
 
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go as soon as their query ends, not when the driver's memory happens to be collected.
+
+    For jobs that run each of their DataFrames once: one that is run again has to shuffle again.
+    """
+    before = spark.conf.get(_FREED, None)
+    spark.conf.set(_FREED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREED)
+        else:
+            spark.conf.set(_FREED, before)
+
+
 def require_ansi(spark: SparkSession) -> None:
     """Loading relies on a bad cast being an error; refuse to run where it would become NULL."""
     if spark.conf.get("spark.sql.ansi.enabled") != "true":

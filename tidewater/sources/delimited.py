@@ -57,11 +57,12 @@ def _split_table(lines: DataFrame) -> DataFrame:
     """For each split: a number, whether it starts inside quotes, whether records in it may span lines, and the header.
 
     The first pass: quotes are counted where the lines are read, and only one row for each split is shuffled. A prefix
-    sum over a file's splits tells whether an odd number of quotes lies before one.
+    sum over a file's splits tells whether an odd number of quotes lies before one. A file has one stamp: collecting
+    it lets Spark aggregate by hash, where the header's text alone would make it sort all lines.
     """
     splits = lines.groupBy("file", "block").agg(
         F.sum("odd").alias("odd"),
-        F.max("modified").alias("modified"),
+        F.array_max(F.collect_set("modified")).alias("modified"),
         F.min_by("value", F.when(F.col("block") == 0, F.col("line"))).alias("header"),
     )
     whole_file = Window.partitionBy("file")

@@ -33,6 +33,7 @@ from ..operators.layout import write_on_curve
 from ..operators.masking import masked
 from ..operators.merge import deactivate_stale, delete_where
 from ..operators.store import TableStore, write_clustered
+from ..operators.versions import Files
 from ..plans import analytics, gold, governance, profiling, silver
 from ..plans.refresh import create_tables, ingest_all, initial_load, refresh, start_feeds
 from ..schemas import (
@@ -50,6 +51,7 @@ from ..schemas import (
     key_range_block,
     month_block,
 )
+from ..session import freed_shuffles
 from ..sources.catalog import register_masked, register_tables, use_role
 from ..sources.delimited import bulk_load
 from ..sources.given_tables import staging_table
@@ -230,6 +232,11 @@ def _deliver(df: DataFrame, stage: str, name: str) -> None:
     )
 
 
+def _take_back(spark: SparkSession, folder: str) -> None:
+    """Delivered text that has been loaded goes: it is larger than all tables built of it."""
+    Files(spark, folder).delete(folder)
+
+
 def _file_columns(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[f.name for f in STAGING[table].file_columns])
 
@@ -1010,20 +1017,25 @@ def _chained(spark: SparkSession, sf_dir: str) -> TableStore:
     orders = staged(spark, sf_dir, "orders")
     first = F.col("o_orderdate") < F.lit(date(2001, 1, 1))
     bulk = ("region", "nation", "supplier", "partsupp", "customer", "lineitem")
-    for name in bulk:
-        file_name = {"lineitem": "line_item_0"}.get(name, name)
-        rows = _file_columns(staged(spark, sf_dir, name), name)
-        _deliver(rows, stage, f"tpch_sf1_{file_name}.csv")
-    _deliver(_file_columns(orders.filter(first), "orders"), later, "tpch_sf1_orders_1.csv")
-    part = _file_columns(staged(spark, sf_dir, "part"), "part")
-    _deliver(part, later, "tpch_sf1_part_1.csv")
+    with freed_shuffles(spark):
+        for name in bulk:
+            file_name = {"lineitem": "line_item_0"}.get(name, name)
+            rows = _file_columns(staged(spark, sf_dir, name), name)
+            _deliver(rows, stage, f"tpch_sf1_{file_name}.csv")
     create_tables(store)
     initial_load(store, stage, bulk)
+    _take_back(spark, stage)
     start_feeds(store, include_initial=True)
+    _deliver(_file_columns(orders.filter(first), "orders"), later, "tpch_sf1_orders_1.csv")
+    part = _file_columns(staged(spark, sf_dir, "part"), "part")
+    _deliver(part, later, "tpch_sf1_part_1.csv")
     refresh(store, later, AS_OF)
+    for name in ("tpch_sf1_orders_1.csv", "tpch_sf1_part_1.csv"):
+        _take_back(spark, f"{later}/{name}")
     second = _finish_pending(orders).filter(~first | (orders["o_orderstatus"] == "P"))
     _deliver(_file_columns(second, "orders"), later, "tpch_sf1_orders_2.csv")
     refresh(store, later, AS_OF)
+    _take_back(spark, later)
     _chains[key] = store
     return store
 
