@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import shutil
+import threading
 import time
 from datetime import date
 from decimal import Decimal
@@ -204,6 +205,21 @@ def test_a_refresh_frees_its_shuffles(spark, store, stage, monkeypatch):
     assert seen == ["true"] and spark.conf.get(name) == was
 
 
+def test_steps_side_by_side_have_their_own_properties(spark, store):
+    """Shared ones also hold the number of the running query, which then fails when another step's query ends."""
+    both = threading.Barrier(2, timeout=30)
+
+    def step(number):
+        def run():
+            spark.sparkContext.setLocalProperty("tidewater.step", str(number))
+            both.wait()
+            return spark.sparkContext.getLocalProperty("tidewater.step")
+
+        return run
+
+    assert refresh_module._side_by_side(store, [step(1), step(2)]) == ["1", "2"]
+
+
 def test_loaded_text_is_taken_back(spark, tmp_path, monkeypatch):
     """The whole chain keeps no delivered text beside the tables loaded from it."""
     given = {

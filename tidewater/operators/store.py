@@ -461,9 +461,12 @@ class TableStore:
         def move(b: int) -> None:
             self.spark.sql(f"ALTER TABLE {name} PARTITION (`{column}`='{b}') SET LOCATION '{place[b]}'")
 
-        # One statement a block; several at a time, as each mostly waits for the catalog.
+        # One statement a block, each with a copy of the session's properties; several at a time, as each mostly
+        # waits for the catalog.
+        moves = [(inheritable_thread_target(self.spark)(move), b) for b in note.blocks if b in there]
         with ThreadPoolExecutor(max_workers=8) as pool:
-            list(pool.map(inheritable_thread_target(self.spark)(move), [b for b in note.blocks if b in there]))
+            for done in [pool.submit(*each) for each in moves]:
+                done.result()
         new = [f"PARTITION (`{column}`='{b}') LOCATION '{place[b]}'" for b in note.blocks if b not in there]
         if new:
             self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(new)}")

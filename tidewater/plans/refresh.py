@@ -23,9 +23,10 @@ from .silver import SILVER_JOBS, merge_changes
 
 def _side_by_side(store: TableStore, steps: Sequence[Callable[[], object]]) -> list:
     """Run independent Spark jobs at the same time; results in the given order."""
+    # Each step gets a copy of the session's properties: shared ones would mix up the steps' query numbers.
+    own = [inheritable_thread_target(store.spark)(step) for step in steps]
     with ThreadPoolExecutor(max_workers=8) as pool:
-        run = inheritable_thread_target(store.spark)
-        return [f.result() for f in [pool.submit(run(step)) for step in steps]]
+        return [f.result() for f in [pool.submit(step) for step in own]]
 
 
 def create_tables(store: TableStore, replace: bool = False) -> None:

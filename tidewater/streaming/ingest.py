@@ -129,9 +129,10 @@ def _load(
             store.write_batch(spec, new, store.batch_number(spec, load, batch_id))
 
         named = [spec for spec in patterns if own[spec]]
+        # Each table's load gets a copy of the session's properties.
+        loads = [(inheritable_thread_target(store.spark)(load_table), spec) for spec in named]
         with ThreadPoolExecutor(max_workers=8) as pool:
-            run = inheritable_thread_target(store.spark)
-            for done in [pool.submit(run(load_table), spec) for spec in named]:
+            for done in [pool.submit(*each) for each in loads]:
                 done.result()
         if named and after_batch:
             after_batch(batch_id)
